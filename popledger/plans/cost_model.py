@@ -139,7 +139,8 @@ def claims_distribution(limited: DataFrame, client: str) -> DataFrame:
         F.sum("prm_costs").alias("_cost"), F.max("memmos").alias("_months")
     )
     # every row of a member and window has the same months, so the sum of the yearly rates is the rate of the sum
-    yearly = per_member.withColumn("prm_costs", annualised("_cost", "_months"))
+    # as an exact amount, so that bucket totals do not depend on the order of the members
+    yearly = per_member.withColumn("prm_costs", annualised("_cost", "_months").cast("decimal(24,6)"))
     return (
         yearly.withColumn("cost_bucket", bucket_label("prm_costs", COST_BUCKETS, COST_BUCKET_BEYOND))
         .groupBy("time_period", "elig_status_1", "cost_bucket")
