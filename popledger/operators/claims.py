@@ -33,11 +33,31 @@ def incurred_day(basis: str = "discharge") -> Column:
 def claims_in_windows(claims: DataFrame, windows: DataFrame, basis: str = "discharge") -> DataFrame:
     """Claim lines with the label of every window they fall in and were paid for."""
     spans = windows.select("time_period", "inc_start", "inc_end", F.col("paid_thru").alias("_thru"))
-    return in_windows(
-        claims.withColumn("_incurred", incurred_day(basis)),
-        spans,
-        F.col("_incurred").between(F.col("inc_start"), F.col("inc_end")) & (F.col("paiddate") <= F.col("_thru")),
-    ).drop("_incurred", "inc_start", "inc_end", "_thru")
+    return in_windows(claims.withColumn("_incurred", incurred_day(basis)), spans, _placed()).drop(
+        "_incurred", "inc_start", "inc_end", "_thru"
+    )
+
+
+def claims_of_roster(claims: DataFrame, windows: DataFrame, roster: DataFrame, basis: str = "discharge") -> DataFrame:
+    """Claim lines in the windows their member is rostered in, with the roster's columns.
+
+    Lines meet the roster on the member alone, before they multiply by window: each line
+    is moved once, and only matches come out. What lies above is summed on the map side.
+    A member with very many lines is split by the adaptive skew join, since the other
+    side has at most one row per window for it.
+    """
+    spans = roster.join(
+        F.broadcast(windows.select("time_period", "inc_start", "inc_end", F.col("paid_thru").alias("_thru"))), "time_period"
+    ).withColumnRenamed("member_id", "_member")
+    return (
+        claims.withColumn("_incurred", incurred_day(basis))
+        .join(spans, (F.col("member_id") == F.col("_member")) & _placed(), "inner")
+        .drop("_incurred", "_member", "inc_start", "inc_end", "_thru")
+    )
+
+
+def _placed() -> Column:
+    return F.col("_incurred").between(F.col("inc_start"), F.col("inc_end")) & (F.col("paiddate") <= F.col("_thru"))
 
 
 def agg_claims(
@@ -48,17 +68,27 @@ def agg_claims(
     basis: str = "discharge",
     measures: dict[str, str] | None = None,
     cases: DataFrame | None = None,
+    roster: DataFrame | None = None,
 ) -> DataFrame:
     """Sums of the measures and the number of lines, by window and dimension.
 
     Lines are cut to the needed columns, filtered and matched with the broadcast window
     table before a single group-by, whose partial sums run on the map side.
-    With ``cases`` the attributes of the case come along (``caseadmitid`` must be a dimension).
+    With ``roster`` only lines of members rostered in the window count, and dimensions may
+    name roster columns. With ``cases`` the attributes of the case come along
+    (``caseadmitid`` must be a dimension).
     """
-    measures = measures or MEASURES
+    measures = MEASURES if measures is None else measures
     lines = claims if where is None else claims.where(where)
-    needed = dict.fromkeys([*dims, "prm_line", "prm_fromdate", "prm_todate", "paiddate", *measures.values()])
-    placed = claims_in_windows(lines.select(*needed), windows, basis)
+    carried = [] if roster is None else [d for d in dims if d in roster.columns and d != "member_id"]
+    needed = dict.fromkeys(
+        [*[d for d in dims if d not in carried], "prm_line", "prm_fromdate", "prm_todate", "paiddate", *measures.values()]
+    )
+    if roster is None:
+        placed = claims_in_windows(lines.select(*needed), windows, basis)
+    else:
+        needed["member_id"] = None
+        placed = claims_of_roster(lines.select(*needed), windows, roster.select("member_id", "time_period", *carried), basis)
     out = placed.groupBy("time_period", *dims).agg(
         *[F.sum(src).alias(name) for name, src in measures.items()],
         F.count(F.lit(1)).alias("claim_lines"),

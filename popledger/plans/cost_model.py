@@ -51,6 +51,33 @@ CLAIM_SHARE_LABELS = {
 }
 
 
+def _both_sources(
+    outclaims: DataFrame, outpharmacy: DataFrame | None, windows: DataFrame, members: DataFrame, dims: list[str],
+    settings: ReportSettings, measures: dict[str, str] | None = None, where=None,
+) -> DataFrame:
+    """Medical and, where supplied, pharmacy claims of rostered members, summed and stacked.
+
+    The status is the claim line's where the claim tables carry one, else the roster's.
+    """
+    status = coalesce_text("elig_status_1", "Unknown").alias("elig_status_1")
+    own_status = "elig_status_1" in outclaims.columns
+    roster = members.select("member_id", "time_period", "memmos", *([] if own_status else [status]))
+
+    def summed(claims: DataFrame, kind: str) -> DataFrame:
+        have = [d for d in dims if d in claims.columns or d in roster.columns]
+        rows = agg_claims(claims, windows, have, where=where, basis=settings.claims_basis, measures=measures, roster=roster)
+        return rows.withColumn("prm_coverage_type", F.lit(kind))
+
+    parts = [summed(outclaims, "Medical")]
+    if settings.has_rx and outpharmacy is not None:
+        parts.append(summed(outpharmacy, "Rx"))
+    stacked = stack(parts)
+    defaults = {m: F.coalesce(F.col(m), F.lit(0)) for m in ["prm_costs", "allowed", "paid"] if m in stacked.columns}
+    if own_status:
+        defaults["elig_status_1"] = status
+    return stacked.withColumns(defaults)
+
+
 def claims_limited(
     outclaims: DataFrame,
     outpharmacy: DataFrame | None,
@@ -58,39 +85,49 @@ def claims_limited(
     members: DataFrame,
     link: DataFrame,
     settings: ReportSettings,
+    reporting_lines: list[str] | None = None,
 ) -> DataFrame:
-    """Claims summed by window, member and detail, for rostered members only.
+    """Claims of rostered members by window, member, line, network, provider and procedure.
 
-    The status is the claim line's where the claim tables carry one, else the roster's.
-    The pharmacy table is optional.
+    ``reporting_lines`` restricts the claims before they are summed.
     """
-    own_status = ["elig_status_1"] if "elig_status_1" in outclaims.columns else []
-    dims = ["member_id", "prm_line", *own_status, "prv_net_aco_yn", "providerid"]
-    med = agg_claims(outclaims, windows, [*dims, "hcpcs"], basis=settings.claims_basis)
-    parts = [med.withColumn("prm_coverage_type", F.lit("Medical"))]
-    if settings.has_rx and outpharmacy is not None:
-        rx = agg_claims(outpharmacy, windows, dims, basis=settings.claims_basis)
-        parts.append(rx.withColumn("prm_coverage_type", F.lit("Rx")))
-    everything = stack(parts).withColumns({
-        "prv_net_aco_yn": coalesce_text("prv_net_aco_yn", "N"),
-        **{m: F.coalesce(F.col(m), F.lit(0)) for m in ["prm_costs", "allowed", "paid"]},
-    })
-    status = coalesce_text("elig_status_1", "Unknown").alias("elig_status_1")
-    limit = members.select("member_id", "time_period", "memmos", *([] if own_status else [status]))
-    if own_status:
-        everything = everything.withColumn("elig_status_1", status)
     lines = line_map(link, settings.lob).withColumnRenamed("mr_line", "prm_line")
-    return everything.join(limit, ["member_id", "time_period"]).join(lines, "prm_line", "left")
+    if reporting_lines:
+        # a handful of service lines: the small list cuts the claims before any shuffle
+        lines = lines.where(F.col("mcrm_line").isin(reporting_lines))
+        wanted = F.broadcast(lines.select("prm_line"))
+        outclaims = outclaims.join(wanted, "prm_line", "left_semi")
+        outpharmacy = None if outpharmacy is None else outpharmacy.join(wanted, "prm_line", "left_semi")
+    dims = ["member_id", "prm_line", "elig_status_1", "memmos", "prv_net_aco_yn", "providerid", "hcpcs"]
+    rows = _both_sources(outclaims, outpharmacy, windows, members, dims, settings)
+    return rows.withColumn("prv_net_aco_yn", coalesce_text("prv_net_aco_yn", "N")).join(lines, "prm_line", "left")
+
+
+def member_spend(
+    outclaims: DataFrame, outpharmacy: DataFrame | None, windows: DataFrame, members: DataFrame, settings: ReportSettings
+) -> DataFrame:
+    """Costs and utilisation per rostered member, window and status."""
+    rows = _both_sources(outclaims, outpharmacy, windows, members, ["member_id", "elig_status_1", "memmos"], settings)
+    measures = [*MEASURE_NAMES, "claim_lines"]
+    return rows.groupBy("member_id", "time_period", "elig_status_1", "memmos").agg(*[F.sum(m).alias(m) for m in measures])
 
 
-def cost_util(limited: DataFrame, client: str) -> DataFrame:
+def cost_util(
+    outclaims: DataFrame, outpharmacy: DataFrame | None, windows: DataFrame, members: DataFrame, link: DataFrame,
+    settings: ReportSettings,
+) -> DataFrame:
     """Discharges, days, utilisation and amounts by window, line, status, network and coverage."""
-    summed = limited.groupBy(
-        "time_period", "prm_line", "mcrm_line", "elig_status_1", "prv_net_aco_yn", "prm_coverage_type"
-    ).agg(*[F.sum(m).alias(m) for m in MEASURE_NAMES])
+    rows = _both_sources(outclaims, outpharmacy, windows, members, ["prm_line", "elig_status_1", "prv_net_aco_yn"], settings)
+    lines = line_map(link, settings.lob).withColumnRenamed("mr_line", "prm_line")
+    summed = (
+        rows.withColumn("prv_net_aco_yn", coalesce_text("prv_net_aco_yn", "N"))
+        .join(lines, "prm_line", "left")
+        .groupBy("time_period", "prm_line", "mcrm_line", "elig_status_1", "prv_net_aco_yn", "prm_coverage_type")
+        .agg(*[F.sum(m).alias(m) for m in MEASURE_NAMES])
+    )
     inpatient = starts_ci("prm_line", "I")
     return summed.select(
-        F.lit(client).alias("name_client"),
+        F.lit(settings.client).alias("name_client"),
         "time_period", "prm_line", "mcrm_line", "elig_status_1", "prv_net_aco_yn",
         F.when(inpatient, F.col("discharges")).otherwise(0).alias("prm_discharges"),
         F.when(inpatient, F.col("prm_util")).otherwise(0).alias("prm_days"),
@@ -133,14 +170,14 @@ def ref_prm_line(mr_line_info: DataFrame, link: DataFrame, ref_mcrm_line: DataFr
     )
 
 
-def claims_distribution(limited: DataFrame, client: str) -> DataFrame:
-    """Members and yearly cost by cost bucket."""
-    per_member = limited.groupBy("member_id", "time_period", "elig_status_1").agg(
-        F.sum("prm_costs").alias("_cost"), F.max("memmos").alias("_months")
-    )
-    # every row of a member and window has the same months, so the sum of the yearly rates is the rate of the sum
-    # as an exact amount, so that bucket totals do not depend on the order of the members
-    yearly = per_member.withColumn("prm_costs", annualised("_cost", "_months").cast("decimal(24,6)"))
+def claims_distribution(spend: DataFrame, client: str) -> DataFrame:
+    """Members and yearly cost by cost bucket.
+
+    All claims of a member and window share its months, so the yearly rate of the sum is
+    the sum of the yearly rates. It is kept as an exact amount: bucket totals do not
+    depend on the order of the members.
+    """
+    yearly = spend.withColumn("prm_costs", annualised("prm_costs", "memmos").cast("decimal(24,6)"))
     return (
         yearly.withColumn("cost_bucket", bucket_label("prm_costs", COST_BUCKETS, COST_BUCKET_BEYOND))
         .groupBy("time_period", "elig_status_1", "cost_bucket")
@@ -268,8 +305,8 @@ def member_elig_from_roster(members: DataFrame, client: str) -> DataFrame:
     )
 
 
-def member_costs(limited: DataFrame, client: str) -> DataFrame:
+def member_costs(spend: DataFrame, client: str) -> DataFrame:
     """Paid total per member and window."""
-    return limited.groupBy("member_id", "time_period").agg(F.sum("paid").alias("total_cost")).withColumn(
+    return spend.groupBy("member_id", "time_period").agg(F.sum("paid").alias("total_cost")).withColumn(
         "name_client", F.lit(client)
     )

@@ -39,12 +39,11 @@ def ed_cases(
 ) -> DataFrame:
     """Emergency cases of rostered members with visit shares and the mean service score."""
     claims = agg_claims(
-        outclaims, windows, ["member_id", "caseadmitid", "prm_line"], where=starts_ci("prm_line", "O11"),
+        outclaims, windows, ["member_id", "elig_status_1", "caseadmitid", "prm_line"], where=starts_ci("prm_line", "O11"),
         basis=settings.claims_basis, measures={"prm_util": "prm_util"},
-        cases=cases.select("caseadmitid", *CLASSES.values()),
+        cases=cases.select("caseadmitid", *CLASSES.values()), roster=members,
     )
-    kept = claims.join(members.select("member_id", "time_period", "elig_status_1"), ["member_id", "time_period"])
-    mapped = kept.join(line_map(link, settings.lob).withColumnRenamed("mr_line", "prm_line"), "prm_line", "left")
+    mapped = claims.join(line_map(link, settings.lob).withColumnRenamed("mr_line", "prm_line"), "prm_line", "left")
     return with_service_risk(mapped, riskscr).withColumn("prm_util_riskadj", safe_ratio("prm_util", "riskscr_1_util_avg"))
 
 

@@ -34,16 +34,13 @@ def by_group(table: DataFrame, closure: DataFrame, field: str = "member_id") ->
     return table.join(closure.withColumnRenamed("member_id", field), field)
 
 
-def cost_by_group(limited: DataFrame, closure: DataFrame) -> DataFrame:
+def cost_by_group(spend: DataFrame, closure: DataFrame) -> DataFrame:
     """Cost and utilisation by group, window and status in one pass.
 
-    Claims are summed per member first, so the join to the groups moves one row per
-    member, window and status.
+    Claims come summed per member, so the join to the groups moves one row per member,
+    window and status.
     """
-    per_member = limited.groupBy("member_id", "time_period", "elig_status_1").agg(
-        F.sum("prm_costs").alias("prm_costs"), F.sum("prm_util").alias("prm_util"), F.sum("discharges").alias("discharges")
-    )
-    return by_group(per_member, closure).groupBy("group", "time_period", "elig_status_1").agg(
+    return by_group(spend, closure).groupBy("group", "time_period", "elig_status_1").agg(
         F.countDistinct("member_id").alias("members"),
         *[F.sum(c).alias(c) for c in ["prm_costs", "prm_util", "discharges"]],
     )

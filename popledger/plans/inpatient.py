@@ -61,16 +61,21 @@ def is_acute_line() -> Column:
     return starts_ci("prm_line", "I") & ~same_ci("prm_line", "I31")
 
 
-def inpatient_claims(outclaims: DataFrame, cases: DataFrame, windows: DataFrame, settings: ReportSettings) -> DataFrame:
-    """Acute inpatient lines per window, case, member, line, status, provider and unit type, with case attributes."""
+def inpatient_claims(
+    outclaims: DataFrame, cases: DataFrame, windows: DataFrame, settings: ReportSettings, members: DataFrame | None = None
+) -> DataFrame:
+    """Acute inpatient lines per window, case, member, line, status, provider and unit type, with case attributes.
+    With ``members`` only rostered members' lines, with the member's status."""
     return agg_claims(
         outclaims,
         windows,
-        ["prm_line", "caseadmitid", "member_id", "dischargestatus", "providerid", "prm_util_type"],
+        ["prm_line", "caseadmitid", "member_id", *(["elig_status_1"] if members is not None else []),
+         "dischargestatus", "providerid", "prm_util_type"],
         where=is_acute_line(),
         basis=settings.claims_basis,
         measures={"discharges": "prm_admits", "prm_util": "prm_util", "prm_costs": "prm_costs"},
         cases=cases,
+        roster=members,
     )
 
 
@@ -79,12 +84,11 @@ def _discharge_text(code: str) -> Column:
     return F.coalesce(F.try_element_at(mapping, F.col(code)), F.lit("Other"))
 
 
-def partial_details(claims: DataFrame, members: DataFrame, link: DataFrame, settings: ReportSettings) -> DataFrame:
+def partial_details(claims: DataFrame, link: DataFrame, settings: ReportSettings) -> DataFrame:
     """Stays of rostered members summed over everything the details and the metrics need."""
-    kept = claims.join(members.select("member_id", "time_period", "elig_status_1"), ["member_id", "time_period"])
     lines = line_map(link, settings.lob).withColumnRenamed("mr_line", "prm_line")
     yn = lambda test: F.when(test, "Y").otherwise("N")
-    rows = kept.join(lines, "prm_line", "left").select(
+    rows = claims.join(lines, "prm_line", "left").select(
         "time_period",
         "elig_status_1",
         F.coalesce("providerid", F.lit("Unknown")).alias("prv_id_inpatient"),

@@ -62,12 +62,10 @@ def util_types_per_metric(lines: DataFrame) -> DataFrame:
 
 def outpatient_claims(outclaims: DataFrame, windows: DataFrame, members: DataFrame, settings: ReportSettings) -> DataFrame:
     """Utilisation of rostered members by window, status and line."""
-    claims = agg_claims(
-        outclaims, windows, ["member_id", "prm_line"], where=wanted_lines(),
-        basis=settings.claims_basis, measures={"prm_util": "prm_util"},
+    return agg_claims(
+        outclaims, windows, ["elig_status_1", "prm_line"], where=wanted_lines(),
+        basis=settings.claims_basis, measures={"prm_util": "prm_util"}, roster=members,
     )
-    kept = claims.join(members.select("member_id", "time_period", "elig_status_1"), ["member_id", "time_period"])
-    return kept.groupBy("time_period", "elig_status_1", "prm_line").agg(F.sum("prm_util").alias("prm_util"))
 
 
 def pct_office_visits(claims: DataFrame) -> DataFrame:

@@ -41,6 +41,10 @@ class Report:
     def outclaims(self) -> DataFrame:
         return self._keep(self.m.outclaims, "outclaims")
 
+    @cached_property
+    def outpharmacy(self) -> DataFrame | None:
+        return self._keep(self.m.outpharmacy, "outpharmacy") if self.s.has_rx else None
+
     @cached_property
     def members_all(self) -> DataFrame:
         people = roster.member_roster(self.eligibility, self.m.member, self.m.windows)
@@ -53,11 +57,16 @@ class Report:
         return self._keep(roster.members(self.members_all), "members")
 
     @cached_property
-    def claims_limited(self) -> DataFrame:
-        limited = cost_model.claims_limited(
-            self.outclaims, self.m.outpharmacy, self.m.windows, self.members, self.m.link_mr_mcrm_line, self.s
+    def member_spend(self) -> DataFrame:
+        spend = cost_model.member_spend(self.outclaims, self.outpharmacy, self.m.windows, self.members, self.s)
+        return self._keep(spend, "member_spend")
+
+    @cached_property
+    def drug_claims(self) -> DataFrame:
+        return cost_model.claims_limited(
+            self.outclaims, self.outpharmacy, self.m.windows, self.members, self.m.link_mr_mcrm_line, self.s,
+            cost_model.OFFICE_DRUG_LINES,
         )
-        return self._keep(limited, "claims_limited")
 
     @cached_property
     def riskscr_service(self) -> DataFrame:
@@ -81,7 +90,8 @@ class Report:
 
     @cached_property
     def inpatient_partial(self) -> DataFrame:
-        partial = inpatient.partial_details(self.inpatient_claims, self.members, self.m.link_mr_mcrm_line, self.s)
+        claims = inpatient.inpatient_claims(self.outclaims, self.cases, self.m.windows, self.s, self.members)
+        partial = inpatient.partial_details(claims, self.m.link_mr_mcrm_line, self.s)
         return self._keep(partial, "inpatient")
 
     @cached_property
@@ -126,7 +136,9 @@ class Report:
 
     @cached_property
     def cost_util(self) -> DataFrame:
-        return self._keep(cost_model.cost_util(self.claims_limited, self.s.client), "cost_util")
+        return self._keep(cost_model.cost_util(
+            self.outclaims, self.outpharmacy, self.m.windows, self.members, self.m.link_mr_mcrm_line, self.s
+        ), "cost_util")
 
     @cached_property
     def memmos(self) -> DataFrame:
@@ -138,11 +150,11 @@ class Report:
 
     @cached_property
     def claims_distribution(self) -> DataFrame:
-        return cost_model.claims_distribution(self.claims_limited, self.s.client)
+        return cost_model.claims_distribution(self.member_spend, self.s.client)
 
     @cached_property
     def office_admin_drug(self) -> DataFrame:
-        return cost_model.office_admin_drug(self.claims_limited, self.m.providers, self.s.client)
+        return cost_model.office_admin_drug(self.drug_claims, self.m.providers, self.s.client)
 
     @cached_property
     def member_elig(self) -> DataFrame:
@@ -151,7 +163,7 @@ class Report:
 
     @cached_property
     def member_costs(self) -> DataFrame:
-        return cost_model.member_costs(self.claims_limited, self.s.client)
+        return cost_model.member_costs(self.member_spend, self.s.client)
 
     @cached_property
     def cost_util_benchmark(self) -> DataFrame:
@@ -171,8 +183,8 @@ class Report:
 
     @cached_property
     def details_snf_professional(self) -> DataFrame:
-        lines = snf.snf_professional_claims(self.outclaims, self.m.windows, self.m.mr_line_info, self.s)
-        return snf.details_snf_professional(lines, self.members, self.m.link_mr_mcrm_line, self.riskscr_service, self.s)
+        lines = snf.snf_professional_claims(self.outclaims, self.m.windows, self.members, self.m.mr_line_info, self.s)
+        return snf.details_snf_professional(lines, self.m.link_mr_mcrm_line, self.riskscr_service, self.s)
 
     # -- metrics -------------------------------------------------------------------------
 
@@ -182,7 +194,7 @@ class Report:
 
     @cached_property
     def metrics_claims_percentages(self) -> DataFrame:
-        return cost_model.metrics_claims_percentages(self.members, self.outclaims, self.m.outpharmacy, self.m.windows, self.s)
+        return cost_model.metrics_claims_percentages(self.members, self.outclaims, self.outpharmacy, self.m.windows, self.s)
 
     @cached_property
     def metrics_cclf_assign(self) -> DataFrame:

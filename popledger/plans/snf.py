@@ -74,12 +74,11 @@ def details_snf_wide(
     riskscr: DataFrame, settings: ReportSettings,
 ) -> DataFrame:
     """Stays by provider, readmission flag and length, with risk-adjusted sums."""
-    stays = agg_claims(
-        outclaims, windows, ["providerid", "member_id", "prm_line", "caseadmitid"], where=same_ci("prm_line", SNF_LINE),
-        basis=settings.claims_basis,
+    active = agg_claims(
+        outclaims, windows, ["providerid", "member_id", "elig_status_1", "prm_line", "caseadmitid"],
+        where=same_ci("prm_line", SNF_LINE), basis=settings.claims_basis, roster=members,
         measures={"discharges": "prm_admits", "prm_util": "prm_util", "prm_costs": "prm_costs"},
     )
-    active = stays.join(members.select("member_id", "time_period", "elig_status_1"), ["member_id", "time_period"])
     flagged = with_flag(active, readmissions, ["member_id", "caseadmitid"], "snf_readmit_yn")
     mapped = flagged.join(line_map(link, settings.lob).withColumnRenamed("mr_line", "prm_line"), "prm_line", "left")
     keys = ["time_period", "elig_status_1", "prv_id_snf", "snf_readmit_yn", "los_snf"]
@@ -122,16 +121,16 @@ def metrics_snf(details: DataFrame, basic: DataFrame, client: str) -> DataFrame:
 
 
 def snf_professional_claims(
-    outclaims: DataFrame, windows: DataFrame, mr_line_info: DataFrame, settings: ReportSettings
+    outclaims: DataFrame, windows: DataFrame, members: DataFrame, mr_line_info: DataFrame, settings: ReportSettings
 ) -> DataFrame:
-    """Professional lines whose facility case is a skilled-nursing case of the same member and window."""
+    """Rostered members' professional lines whose facility case is a skilled-nursing case of the same member and window."""
     facility = agg_claims(
         outclaims, windows, ["caseadmitid", "member_id"], where=same_ci("prm_line", SNF_LINE),
-        basis=settings.claims_basis, measures={},
+        basis=settings.claims_basis, measures={}, roster=members,
     ).select("member_id", "time_period", F.col("caseadmitid").alias("facilitycaseid"))
     lines = agg_claims(
-        outclaims, windows, ["providerid", "member_id", "prm_line", "facilitycaseid"], where=starts_ci("prm_line", "P"),
-        basis=settings.claims_basis, measures={"prm_costs": "prm_costs"},
+        outclaims, windows, ["providerid", "member_id", "elig_status_1", "prm_line", "facilitycaseid"],
+        where=starts_ci("prm_line", "P"), basis=settings.claims_basis, measures={"prm_costs": "prm_costs"}, roster=members,
     )
     allowed = mr_line_info.where(same_ci("prm_line_desc1", "PROF") | in_ci("mr_line", EQUIPMENT_LINES)).select(
         F.col("mr_line").alias("prm_line")
@@ -140,10 +139,9 @@ def snf_professional_claims(
 
 
 def details_snf_professional(
-    professional: DataFrame, members: DataFrame, link: DataFrame, riskscr: DataFrame, settings: ReportSettings
+    professional: DataFrame, link: DataFrame, riskscr: DataFrame, settings: ReportSettings
 ) -> DataFrame:
-    active = professional.join(members.select("member_id", "time_period", "elig_status_1"), ["member_id", "time_period"])
-    mapped = active.join(line_map(link, settings.lob).withColumnRenamed("mr_line", "prm_line"), "prm_line", "left")
+    mapped = professional.join(line_map(link, settings.lob).withColumnRenamed("mr_line", "prm_line"), "prm_line", "left")
     by_line = mapped.groupBy(
         "time_period", "elig_status_1", F.coalesce("providerid", F.lit("Unknown")).alias("prv_id_snf"), "mcrm_line"
     ).agg(F.sum("prm_costs").alias("_c"))

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from popledger.oracle.base import with_ctes
 from popledger.plans.report import Report
+from popledger.session import apply_plan_settings
 from popledger.sources.star import StarModel
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +38,7 @@ def report(spark: SparkSession, path: str) -> Report:
     """Report over the tables of a folder; its plans are built once per application."""
     key = (spark.sparkContext.applicationId, path)
     if key not in _REPORTS:
+        apply_plan_settings(spark)
         _REPORTS[key] = Report(StarModel(spark, path))
     return _REPORTS[key]
 
@@ -47,7 +49,7 @@ def staged_report(spark: SparkSession, path: str) -> Report:
     The folder is the cluster's; a local session without one gets a folder of its own."""
     if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local"):
         spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="popledger-"))
-    return Report(StarModel(spark, path), staged=True)
+    return Report(StarModel(apply_plan_settings(spark), path), staged=True)
 
 
 def query(name: str, sql: str | None = None):

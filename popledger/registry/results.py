@@ -604,7 +604,7 @@ def _(r):
     from lim join closure using (member_id) group by all""",
 )
 def _(r):
-    return groups.cost_by_group(r.claims_limited, _closure(r))
+    return groups.cost_by_group(r.member_spend, _closure(r))
 
 
 MARKETS = ["Automobile", "Building", "Furniture", "Household"]

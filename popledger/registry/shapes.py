@@ -19,7 +19,7 @@ from popledger.sources.readers import optional_table, read_parquet
 from popledger.sources.schema import MartSchema, conform, key_violations, value_violations
 
 C = F.col
-N_ROWS = F.count(F.lit(1))
+
 
 
 def _day(c: str):
@@ -41,7 +41,7 @@ def _(r):
 def _(r):
     nation = r.m.table("nation")
     absent = optional_table(r.m.spark, None, nation.schema)
-    return R.stack([nation, absent]).groupBy("n_regionkey").agg(N_ROWS.alias("n"))
+    return R.stack([nation, absent]).groupBy("n_regionkey").agg(A.freq().alias("n"))
 
 
 # -- projections and filters ------------------------------------------------------------------
@@ -62,7 +62,7 @@ def _(r):
     rows = r.m.table("lineitem").where(
         C("l_shipdate").between(F.lit("1999-01-01").cast("timestamp"), F.lit("1999-12-31").cast("timestamp")) & C("l_quantity").between(10, 20)
     )
-    return rows.groupBy("l_returnflag").agg(N_ROWS.alias("n"))
+    return rows.groupBy("l_returnflag").agg(A.freq().alias("n"))
 
 
 @query("p_semi_filter", "select c_custkey, c_name from customer where c_custkey in (select o_custkey from orders where o_orderdate >= timestamp '2000-07-01' and o_orderdate < timestamp '2001-07-01')")
@@ -103,13 +103,13 @@ def _(r):
 )
 def _(r):
     filled = default_columns(r.outclaims.select("hcpcs", "prv_net_aco_yn", "providerid"), {"hcpcs": "XXXXX", "prv_net_aco_yn": "N", "providerid": "Unknown"})
-    return filled.groupBy("hcpcs", "prv_net_aco_yn", "providerid").agg(N_ROWS.alias("n"))
+    return filled.groupBy("hcpcs", "prv_net_aco_yn", "providerid").agg(A.freq().alias("n"))
 
 
 @query("p_one_to_many", "select claimid, linenum, prm_line, prm_fromdate, time_period, count(*) as n from pm group by all")
 def _(r):
     placed = claims_in_windows(r.outclaims.select("claimid", "linenum", "prm_line", "prm_fromdate", "prm_todate", "paiddate"), r.m.windows)
-    return placed.groupBy("claimid", "linenum", "prm_line", "prm_fromdate", "time_period").agg(N_ROWS.alias("n"))
+    return placed.groupBy("claimid", "linenum", "prm_line", "prm_fromdate", "time_period").agg(A.freq().alias("n"))
 
 
 @query(
@@ -119,7 +119,7 @@ def _(r):
 )
 def _(r):
     parts = fixes.split_by_setting(r.outclaims.select("prm_line", "prm_fromdate"), date(2000, 1, 1), date(2000, 2, 1))
-    return R.stack([p.groupBy("prm_line").agg(N_ROWS.alias("n")).withColumn("part", F.lit(n)) for n, p in zip(["snf", "ip", "rest"], parts)])
+    return R.stack([p.groupBy("prm_line").agg(A.freq().alias("n")).withColumn("part", F.lit(n)) for n, p in zip(["snf", "ip", "rest"], parts)])
 
 
 @query(
@@ -138,7 +138,7 @@ def _(r):
 
 @query("p_list_explode", "select w as word, count(*) as n from (select unnest(string_split(p_name, ' ')) as w from part) group by 1")
 def _(r):
-    return r.m.table("part").select(F.explode(F.split("p_name", " ")).alias("word")).groupBy("word").agg(N_ROWS.alias("n"))
+    return r.m.table("part").select(F.explode(F.split("p_name", " ")).alias("word")).groupBy("word").agg(A.freq().alias("n"))
 
 
 @query("p_conditional_update", "select o_orderkey, case when o_orderdate >= timestamp '2000-10-01' and o_orderstatus = 'P' then 'F' else o_orderstatus end as o_orderstatus from orders")
@@ -167,10 +167,8 @@ def _(r):
 
 @query("j_inner", f"select m.elig_status_1, p.time_period, {money('sum(prm_costs)')} as prm_costs, count(*) as n from pm p join mem m on p.member_id = m.member_id and p.time_period = m.time_period group by 1, 2")
 def _(r):
-    spend = agg_claims(r.outclaims, r.m.windows, ["member_id"], measures={"prm_costs": "prm_costs"})
-    return spend.join(r.members.select("member_id", "time_period", "elig_status_1"), ["member_id", "time_period"]).groupBy("elig_status_1", "time_period").agg(
-        F.sum("prm_costs").alias("prm_costs"), F.sum("claim_lines").alias("n")
-    )
+    spend = agg_claims(r.outclaims, r.m.windows, ["elig_status_1"], measures={"prm_costs": "prm_costs"}, roster=r.members)
+    return spend.withColumnRenamed("claim_lines", "n")
 
 
 @query(
@@ -187,7 +185,7 @@ def _(r):
         .join(t("customer").select("c_custkey", "c_mktsegment", "c_nationkey"), C("o_custkey") == C("c_custkey"), "left")
         .join(t("part").select("p_partkey", "p_type"), C("l_partkey") == C("p_partkey"), "left")
         .join(geo, C("c_nationkey") == C("n_nationkey"), "left")
-        .groupBy("r_name", "p_type", "c_mktsegment").agg(N_ROWS.alias("n"), F.sum("price").alias("price"))
+        .groupBy("r_name", "p_type", "c_mktsegment").agg(A.freq().alias("n"), F.sum("price").alias("price"))
     )
 
 
@@ -205,19 +203,19 @@ def _(r):
 @query("j_point_in_span", "select time_period, count(*) as n, count(distinct o_custkey) as members from orders join win on cast(o_orderdate as date) between inc_start and inc_end group by 1")
 def _(r):
     placed = I.in_windows(r.m.table("orders").select("o_custkey", _day("o_orderdate").alias("d")), r.m.windows, C("d").between(C("inc_start"), C("inc_end")))
-    return placed.groupBy("time_period").agg(N_ROWS.alias("n"), F.countDistinct("o_custkey").alias("members"))
+    return placed.groupBy("time_period").agg(A.freq().alias("n"), F.countDistinct("o_custkey").alias("members"))
 
 
 @query("j_in_span_by_member", "select m.member_id, m.prm_fromdate, e.date_start, count(*) as n from med m join elig e on m.member_id = e.member_id and m.prm_fromdate between e.date_start and e.date_end group by all")
 def _(r):
     hits = I.point_in_span(r.outclaims.select("member_id", "prm_fromdate"), "prm_fromdate", r.eligibility.select("member_id", "date_start", "date_end"), "date_start", "date_end", ["member_id"])
-    return hits.groupBy("member_id", "prm_fromdate", "date_start").agg(N_ROWS.alias("n"))
+    return hits.groupBy("member_id", "prm_fromdate", "date_start").agg(A.freq().alias("n"))
 
 
 @query("j_band", "select l.member_id, count(*) as n from med l join orders o on l.member_id = cast(o.o_custkey as varchar) and l.prm_fromdate - cast(o.o_orderdate as date) between 0 and 30 group by 1")
 def _(r):
     orders = r.m.table("orders").select(C("o_custkey").cast("string").alias("member_id"), _day("o_orderdate").alias("ordered"))
-    return I.band_join(r.outclaims.select("member_id", "prm_fromdate"), orders, ["member_id"], "prm_fromdate", "ordered", 0, 30).groupBy("member_id").agg(N_ROWS.alias("n"))
+    return I.band_join(r.outclaims.select("member_id", "prm_fromdate"), orders, ["member_id"], "prm_fromdate", "ordered", 0, 30).groupBy("member_id").agg(A.freq().alias("n"))
 
 
 @query("j_nearest", "select time_period, inc_end, date_latestpaid from nearest")
@@ -259,7 +257,7 @@ def _(r):
 @query("j_lookup", "select l_orderkey, l_linenumber, l_partkey, p_brand, count(*) as n from lineitem left join part on l_partkey = p_partkey group by all")
 def _(r):
     ref = r.m.table("part").select(C("p_partkey").alias("l_partkey"), "p_brand")
-    lines = r.m.table("lineitem").groupBy("l_orderkey", "l_linenumber", "l_partkey").agg(N_ROWS.alias("n"))
+    lines = r.m.table("lineitem").groupBy("l_orderkey", "l_linenumber", "l_partkey").agg(A.freq().alias("n"))
     return J.strict_lookup(lines, ref, ["l_partkey"])
 
 
@@ -277,14 +275,13 @@ def _(r):
 @query("j_crosswalk", "select coalesce(crnt_hic_num, bene_hic_num) as member_id, count(*) as n from rawstack left join xref on bene_hic_num = prvs_hic_num group by 1")
 def _(r):
     raw = r.m.member_raw_stack.select(C("bene_hic_num").alias("member_id"))
-    return J.crosswalk(raw, "member_id", r.m.bene_xref, "prvs_hic_num", "crnt_hic_num").groupBy("member_id").agg(N_ROWS.alias("n"))
+    return J.crosswalk(raw, "member_id", r.m.bene_xref, "prvs_hic_num", "crnt_hic_num").groupBy("member_id").agg(A.freq().alias("n"))
 
 
 @query("j_three_key", f"select p.time_period, p.prm_line, count(*) as n, {money('sum(prm_costs)')} as prm_costs from prof p group by 1, 2")
 def _(r):
-    lines = snf.snf_professional_claims(r.outclaims, r.m.windows, r.m.mr_line_info, r.s)
-    active = lines.join(r.members.select("member_id", "time_period"), ["member_id", "time_period"])
-    return active.groupBy("time_period", "prm_line").agg(N_ROWS.alias("n"), F.sum("prm_costs").alias("prm_costs"))
+    lines = snf.snf_professional_claims(r.outclaims, r.m.windows, r.members, r.m.mr_line_info, r.s)
+    return lines.groupBy("time_period", "prm_line").agg(A.freq().alias("n"), F.sum("prm_costs").alias("prm_costs"))
 
 
 @query("j_fanout_guard", "select (select count(*) from lineitem) as rows_before, (select count(*) from lineitem left join supplier on l_suppkey = s_suppkey) as rows_after, 'N' as fanned_out")
@@ -361,24 +358,24 @@ def _(r):
 
 @query("a_having", f"select l_partkey, {ratio('sum(l_quantity)')} as q, count(*) as n from lineitem group by 1 having sum(l_quantity) > 900 and count(*) > 20")
 def _(r):
-    return r.m.table("lineitem").groupBy("l_partkey").agg(F.sum("l_quantity").alias("q"), N_ROWS.alias("n")).where("q > 900 and n > 20")
+    return r.m.table("lineitem").groupBy("l_partkey").agg(F.sum("l_quantity").alias("q"), A.freq().alias("n")).where("q > 900 and n > 20")
 
 
 @query("a_two_stage", "select b as bucket, count(*) as members from (select o_custkey, case when sum(o_totalprice) <= 1000000 then 'small' when sum(o_totalprice) <= 3000000 then 'medium' else 'large' end as b from orders group by 1) group by 1")
 def _(r):
     per = r.m.table("orders").groupBy("o_custkey").agg(F.sum("o_totalprice").alias("t"))
-    return per.groupBy(bucket_label("t", [(1000000, "small"), (3000000, "medium")], "large").alias("bucket")).agg(N_ROWS.alias("members"))
+    return per.groupBy(bucket_label("t", [(1000000, "small"), (3000000, "medium")], "large").alias("bucket")).agg(A.freq().alias("members"))
 
 
 @query("a_reroll", f"select l_returnflag, {ratio('sum(l_quantity)')} as q, count(*) as n from lineitem group by 1")
 def _(r):
-    fine = r.m.table("lineitem").groupBy("l_returnflag", "l_linestatus", "l_suppkey").agg(F.sum("l_quantity").alias("q"), N_ROWS.alias("n"))
+    fine = r.m.table("lineitem").groupBy("l_returnflag", "l_linestatus", "l_suppkey").agg(F.sum("l_quantity").alias("q"), A.freq().alias("n"))
     return fine.groupBy("l_returnflag").agg(F.sum("q").alias("q"), F.sum("n").alias("n"))
 
 
 @query("a_grand_total", f"select count(*) as n, {money('sum(cast(l_extendedprice as decimal(18,4)))')} as price from lineitem")
 def _(r):
-    return r.m.table("lineitem").agg(N_ROWS.alias("n"), F.sum(N.money("l_extendedprice")).alias("price"))
+    return r.m.table("lineitem").agg(A.freq().alias("n"), F.sum(N.money("l_extendedprice")).alias("price"))
 
 
 @query("a_remerge", f"select distinct o_custkey, o_orderstatus, o_orderpriority, {money('sum(cast(o_totalprice as decimal(18,4))) over (partition by o_custkey)')} as total from orders")
@@ -400,8 +397,7 @@ def _(r):
 
 @query("a_annualise", f"select member_id, time_period, {ratio('cast(sum(prm_costs) as double) / max(memmos) * 12')} as yearly from lim group by 1, 2")
 def _(r):
-    per = r.claims_limited.groupBy("member_id", "time_period").agg(F.sum("prm_costs").alias("c"), F.max("memmos").alias("m"))
-    return per.select("member_id", "time_period", annualised("c", "m").alias("yearly"))
+    return r.member_spend.select("member_id", "time_period", annualised("prm_costs", "memmos").alias("yearly"))
 
 
 # -- windows, order, set operations ---------------------------------------------------------------------
@@ -442,7 +438,7 @@ def _(r):
 
 @query("o_sorted", f"select p_brand, p_type, count(*) as n, {ratio('sum(p_retailprice)')} as price from part group by 1, 2 order by n desc, p_brand, p_type")
 def _(r):
-    g = r.m.table("part").groupBy("p_brand", "p_type").agg(N_ROWS.alias("n"), F.sum("p_retailprice").alias("price"))
+    g = r.m.table("part").groupBy("p_brand", "p_type").agg(A.freq().alias("n"), F.sum("p_retailprice").alias("price"))
     return O.sorted_output(g, C("n").desc(), C("p_brand"), C("p_type"))
 
 
@@ -501,7 +497,7 @@ def _(r):
 
 @query("r_unpivot", f"select l_suppkey, 'qty' as metric_id, 'Quantity' as metric_name, {ratio('sum(l_quantity)')} as metric_value from lineitem group by 1 union all select l_suppkey, 'lines', 'Lines', {ratio('count(*)')} from lineitem group by 1")
 def _(r):
-    wide = r.m.table("lineitem").groupBy("l_suppkey").agg(F.sum("l_quantity").alias("qty"), N_ROWS.alias("lines"))
+    wide = r.m.table("lineitem").groupBy("l_suppkey").agg(F.sum("l_quantity").alias("qty"), A.freq().alias("lines"))
     return R.metrics_long(wide, ["l_suppkey"], {"qty": "Quantity", "lines": "Lines"})
 
 
@@ -514,7 +510,7 @@ def _(r):
 
 @query("r_pivot", "select l_suppkey, " + ", ".join(f"sum(case when l_returnflag = '{f}' then 1 end) as \"{f}\"" for f in "ANR") + " from lineitem group by 1")
 def _(r):
-    long = r.m.table("lineitem").groupBy("l_suppkey", "l_returnflag").agg(N_ROWS.alias("n"))
+    long = r.m.table("lineitem").groupBy("l_suppkey", "l_returnflag").agg(A.freq().alias("n"))
     return R.pivot_ids(long, ["l_suppkey"], "l_returnflag", "n", list("ANR"))
 
 
@@ -525,7 +521,7 @@ def _(r):
 
 @query("r_one_row", f"select 'lines' as name, {ratio('count(*)')} as value from lineitem union all select 'qty', {ratio('sum(l_quantity)')} from lineitem union all select 'max_part', {ratio('max(l_partkey)')} from lineitem")
 def _(r):
-    one = r.m.table("lineitem").agg(N_ROWS.alias("lines"), F.sum("l_quantity").alias("qty"), F.max("l_partkey").alias("max_part"))
+    one = r.m.table("lineitem").agg(A.freq().alias("lines"), F.sum("l_quantity").alias("qty"), F.max("l_partkey").alias("max_part"))
     return R.row_to_pairs(one, "name", "value")
 
 
@@ -624,7 +620,7 @@ def _(r):
 
 @query("null_violations", "select claimid, linenum, count(*) as n from med where providerid is null group by 1, 2")
 def _(r):
-    return checks.nulls_in(r.outclaims, "providerid").groupBy("claimid", "linenum").agg(N_ROWS.alias("n"))
+    return checks.nulls_in(r.outclaims, "providerid").groupBy("claimid", "linenum").agg(A.freq().alias("n"))
 
 
 @query("v_populated", "select 'rows_of_2005' as name_table, count(*) as rows from lineitem where l_shipdate >= timestamp '2005-01-01' having count(*) = 0")
@@ -654,7 +650,7 @@ def _(r):
       full join (select time_period, elig_status_1, round(cast(sum(paid) as double), 2) as b from lim where prm_coverage_type = 'Rx' group by 1, 2) using (time_period, elig_status_1) where a is distinct from b""",
 )
 def _(r):
-    rx = r.claims_limited.where("prm_coverage_type = 'Rx'")
+    rx = agg_claims(r.outpharmacy, r.m.windows, ["elig_status_1"], measures={"paid": "paid"}, roster=r.members)
     return checks.rounded_totals_differ(r.cost_util, rx, ["time_period", "elig_status_1"], [("prm_costs", "paid", 2)])
 
 

@@ -11,6 +11,8 @@ CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a skewed join even when that costs the sums above it a shuffle of their own
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -32,3 +34,11 @@ def get_session(
     for key, value in {**CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def apply_plan_settings(spark: SparkSession) -> SparkSession:
+    """Set the adaptive features the plans count on in a session made elsewhere."""
+    for key, value in CONF.items():
+        if key.startswith("spark.sql.adaptive."):
+            spark.conf.set(key, value)
+    return spark
