@@ -11,7 +11,7 @@ from popledger.plans import (
     cost_model, emergency, end_of_life, exclusions, inpatient, mart, outpatient, overlap, risk, roster, snf,
 )
 from popledger.sources.schema import MartSchema
-from popledger.sources.writers import materialise, write_declared
+from popledger.sources.writers import materialise, staging_folder, write_declared
 
 
 class Report:
@@ -21,11 +21,11 @@ class Report:
     def __init__(self, model, staged: bool = False):
         self.m = model
         self.s = model.settings
-        self.staged = staged
+        self.folder = staging_folder(model.spark) if staged else None
         self.schema = MartSchema.declared(self.s)
 
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
-        return materialise(df, name) if self.staged else df
+        return materialise(df, name, self.folder)
 
     # -- shared intermediates --------------------------------------------------------
 
@@ -47,10 +47,8 @@ class Report:
 
     @cached_property
     def members_all(self) -> DataFrame:
-        people = roster.member_roster(self.eligibility, self.m.member, self.m.windows)
-        return roster.members_all(
-            people, self.eligibility, self.m.member, self.m.windows, self.m.hcc_results, self.m.component_scores, self.s
-        )
+        people = roster.roster_with_months(self.eligibility, self.m.member, self.m.windows)
+        return roster.members_all(people, self.m.windows, self.m.hcc_results, self.m.component_scores, self.s)
 
     @cached_property
     def members(self) -> DataFrame:

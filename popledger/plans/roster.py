@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from popledger.functions.dates import age_at, days_apart
+from popledger.functions.dates import age_at, days_apart, whole_months
 from popledger.functions.nulls import gt_missing, le_missing, safe_ratio
 from popledger.functions.text import in_ci, same_ci, starts_ci
 from popledger.operators.aggregate import freq, weighted_mean_all
-from popledger.operators.claims import agg_claims, agg_memmos
+from popledger.operators.claims import agg_claims
 from popledger.operators.intervals import band_join, in_windows
 from popledger.operators.windows import widened
 from popledger.settings import ReportSettings
@@ -46,18 +46,35 @@ def scores_for_period_type(component_scores: DataFrame, windows: DataFrame) -> D
     )
 
 
+def roster_with_months(eligibility: DataFrame, member: DataFrame, windows: DataFrame) -> DataFrame:
+    """Roster, demographics and medical member months in one pass over the spans.
+
+    Demographics join while the spans are still one row each and partitioned by member.
+    Spans of a member do not overlap, so at most one of them holds a window's last day.
+    """
+    people = member.select(
+        "member_id", "dob", "gender", "mem_name", F.col("risk_score_type").alias("riskscr_1_type")
+    )
+    attributes = ["elig_status_1", "mem_prv_id_align", "prv_name_align", "riskscr_1_type", "dob", "gender", "mem_name"]
+    placed = in_windows(
+        eligibility.join(people, "member_id", "left"),
+        windows.select("time_period", "inc_start", "inc_end"),
+        (F.col("date_start") <= F.col("inc_end")) & (F.col("date_end") >= F.col("inc_start")),
+    )
+    active = same_ci("assignment_indicator", "Y") & F.col("inc_end").between(F.col("date_start"), F.col("date_end"))
+    months = F.when(
+        same_ci("cover_medical", "Y"), whole_months(F.greatest("date_start", "inc_start"), F.least("date_end", "inc_end"))
+    ).otherwise(0)
+    per_window = placed.groupBy("member_id", "time_period", "inc_end").agg(
+        F.sum(months.cast("double")).alias("memmos"), F.max(F.when(active, F.struct(*attributes))).alias("_who")
+    )
+    return per_window.where("_who is not null").select("member_id", "time_period", "inc_end", "memmos", "_who.*")
+
+
 def members_all(
-    roster: DataFrame,
-    eligibility: DataFrame,
-    member: DataFrame,
-    windows: DataFrame,
-    hcc_results: DataFrame,
-    component_scores: DataFrame,
-    settings: ReportSettings,
+    roster: DataFrame, windows: DataFrame, hcc_results: DataFrame, component_scores: DataFrame, settings: ReportSettings
 ) -> DataFrame:
-    """Roster with demographics, member months and the chosen risk score, before the zero-month rows are dropped."""
-    people = member.select("member_id", "dob", "gender", "mem_name")
-    months = agg_memmos(eligibility, windows, ["member_id"]).select("member_id", "time_period", "memmos_medical")
+    """Roster with age and the chosen risk score, before the zero-month rows are dropped."""
     hcc = hcc_results.select(
         F.col("hicno").alias("member_id"), F.col("time_slice").alias("time_period"),
         "score_community", "score_new_enrollee", F.col("riskscr_mm").alias("_hcc_mm"),
@@ -67,28 +84,21 @@ def members_all(
     )
     is_hcc = same_ci("riskscr_1_type", settings.hcc_label)
     is_component = same_ci("riskscr_1_type", settings.component_label)
-    joined = (
-        roster.join(people, "member_id", "left")
-        .join(F.broadcast(windows.select("time_period", "inc_end")), "time_period", "left")
-        .join(months, ["member_id", "time_period"], "left")
-        .join(hcc, ["member_id", "time_period"], "left")
-        .join(component, ["member_id", "time_period"], "left")
-    )
-    memmos = F.coalesce("memmos_medical", F.lit(0.0))
+    joined = roster.join(hcc, ["member_id", "time_period"], "left").join(component, ["member_id", "time_period"], "left")
     return joined.select(
-        *roster.columns,
+        "member_id", "time_period", "elig_status_1", "mem_prv_id_align", "prv_name_align", "riskscr_1_type",
         "dob",
         "gender",
         "mem_name",
         age_at("dob", "inc_end").alias("age"),
-        memmos.alias("memmos"),
+        "memmos",
         F.when(
             is_hcc,
             F.when(le_missing("_hcc_mm", 11), F.col("score_new_enrollee")).otherwise(F.col("score_community")),
         )
         .when(is_component, F.col("_component"))
         .alias("riskscr_1"),
-        F.when(is_hcc, F.col("_hcc_mm")).when(is_component, memmos).alias("riskscr_memmos"),
+        F.when(is_hcc, F.col("_hcc_mm")).when(is_component, F.col("memmos")).alias("riskscr_memmos"),
     )
 
 

@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -44,11 +43,7 @@ def report(spark: SparkSession, path: str) -> Report:
 
 
 def staged_report(spark: SparkSession, path: str) -> Report:
-    """Report whose shared intermediates are written to the checkpoint folder.
-
-    The folder is the cluster's; a local session without one gets a folder of its own."""
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local"):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="popledger-"))
+    """Report whose shared intermediates are written to the cluster's checkpoint folder."""
     return Report(StarModel(apply_plan_settings(spark), path), staged=True)
 
 

@@ -15,6 +15,16 @@ CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # plans here are built from many small expressions; do not capture a call site for each
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+
+# A single local machine: keep all cores busy on small shuffles and compiled stages in memory.
+LOCAL_CONF = {
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    "spark.sql.codegen.cache.maxEntries": "2000",
+    "spark.ui.enabled": "false",
 }
 
 
@@ -31,7 +41,8 @@ def get_session(
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in {**CONF, **(extra or {})}.items():
+    local = LOCAL_CONF if master and master.startswith("local") else {}
+    for key, value in {**CONF, **local, **(extra or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -193,7 +193,9 @@ class StarModel:
         """Claim lines with their member. The day filter reaches the lineitem scan."""
         first_day = earliest_claim_day(self.settings)
         lines = self.table("lineitem").where(F.col("l_shipdate") >= F.lit(first_day).cast("timestamp"))
-        return lines.join(self.table("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+        # both sides are fact tables: meet by key whatever their size, which also spreads a scan of few splits
+        orders = self.table("orders").select("o_orderkey", "o_custkey").hint("merge")
+        return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
     def _claim_columns(self, prm_line: Column) -> list[Column]:
         k, day = F.col("o_custkey"), F.col("l_shipdate").cast("date")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -52,16 +53,25 @@ def file_digests(spark: SparkSession, folder: str, pattern: str = "*") -> DataFr
     return files.select(F.element_at(F.split("path", "/"), -1).alias("filename"), F.md5("content").alias("md5"))
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write a shared intermediate to the folder the cluster keeps for checkpoints and read it back.
+def staging_folder(spark: SparkSession) -> str | None:
+    """Folder for shared intermediates: the cluster's checkpoint folder. Only a local
+    session without one gets a temporary folder; a cluster without one gets none."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return f"{shared.rstrip('/')}/{spark.sparkContext.applicationId}"
+    if spark.sparkContext.master.startswith("local"):
+        return tempfile.mkdtemp(prefix="popledger-")
+    return None
+
+
+def materialise(df: DataFrame, name: str, folder: str | None) -> DataFrame:
+    """Write a shared intermediate to the staging folder and read it back.
 
     Later stages then start from columnar files that outlive a lost executor. Without a
-    checkpoint folder the plan is returned as it is.
+    folder the plan is returned as it is.
     """
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
+    if not folder:
         return df
-    path = f"{base.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:8]}"
+    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex[:8]}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(path)
