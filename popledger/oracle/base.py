@@ -66,7 +66,7 @@ CTE = {
     select member_id, min(date_start) as date_start, max(date_end) as date_end from (
       select *, sum(opens) over (partition by member_id order by date_start, date_end rows unbounded preceding) as island from (
         select *, case when date_start > max(date_end) over (partition by member_id order by date_start, date_end rows between unbounded preceding and 1 preceding)
-                       then 1 else 0 end as opens from ospans)) group by member_id, island""",
+                       then 1 else 0 end as opens from (select distinct * from ospans))) group by member_id, island""",
     "elig": """
     select s.*, c_mktsegment as elig_status_1, case when c_custkey % 11 = 5 then 'N' else 'Y' end as assignment_indicator, 'Y' as cover_medical,
       case when c_custkey % 3 = 0 then 'N' else 'Y' end as cover_rx, 'P' || c_nationkey as mem_prv_id_align, 'Practice ' || c_nationkey as prv_name_align

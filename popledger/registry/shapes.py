@@ -430,7 +430,7 @@ def _(r):
 @query(
     "w_merge_spans",
     """select member_id, min(date_start) as date_start, max(date_end) as date_end from (select *, sum(opens) over (partition by member_id order by date_start, date_end rows unbounded preceding) as island from (
-      select *, case when date_start > max(date_end) over (partition by member_id order by date_start, date_end rows between unbounded preceding and 1 preceding) + 1 then 1 else 0 end as opens from ospans)) group by member_id, island""",
+      select *, case when date_start > max(date_end) over (partition by member_id order by date_start, date_end rows between unbounded preceding and 1 preceding) + 1 then 1 else 0 end as opens from (select distinct * from ospans))) group by member_id, island""",
 )
 def _(r):
     return I.merge_spans(r.m.order_spans, ["member_id"], "date_start", "date_end", touching_days=1)
