@@ -101,7 +101,7 @@ class Report:
 
     @cached_property
     def snf_cases(self) -> DataFrame:
-        return snf.open_inpatient_cases(self.outclaims, self.cases, self.s)
+        return self._keep(snf.open_inpatient_cases(self.outclaims, self.cases, self.s), "snf_cases")
 
     @cached_property
     def snf_wide(self) -> DataFrame:

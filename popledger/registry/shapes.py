@@ -60,14 +60,14 @@ def _(r):
 @query("p_between", "select l_returnflag, count(*) as n from lineitem where l_shipdate between timestamp '1999-01-01' and timestamp '1999-12-31' and l_quantity between 10 and 20 group by 1")
 def _(r):
     rows = r.m.table("lineitem").where(
-        C("l_shipdate").between(F.lit("1999-01-01").cast("timestamp"), F.lit("1999-12-31").cast("timestamp")) & C("l_quantity").between(10, 20)
+        C("l_shipdate").between(F.expr("timestamp_ntz'1999-01-01'"), F.expr("timestamp_ntz'1999-12-31'")) & C("l_quantity").between(10, 20)
     )
     return rows.groupBy("l_returnflag").agg(A.freq().alias("n"))
 
 
 @query("p_semi_filter", "select c_custkey, c_name from customer where c_custkey in (select o_custkey from orders where o_orderdate >= timestamp '2000-07-01' and o_orderdate < timestamp '2001-07-01')")
 def _(r):
-    recent = r.m.table("orders").where("o_orderdate >= timestamp'2000-07-01' and o_orderdate < timestamp'2001-07-01'").select(C("o_custkey").alias("c_custkey"))
+    recent = r.m.table("orders").where("o_orderdate >= timestamp_ntz'2000-07-01' and o_orderdate < timestamp_ntz'2001-07-01'").select(C("o_custkey").alias("c_custkey"))
     return r.m.table("customer").join(recent, "c_custkey", "left_semi").select("c_custkey", "c_name")
 
 
@@ -143,7 +143,7 @@ def _(r):
 
 @query("p_conditional_update", "select o_orderkey, case when o_orderdate >= timestamp '2000-10-01' and o_orderstatus = 'P' then 'F' else o_orderstatus end as o_orderstatus from orders")
 def _(r):
-    late = (C("o_orderdate") >= F.expr("timestamp'2000-10-01'")) & (C("o_orderstatus") == "P")
+    late = (C("o_orderdate") >= F.expr("timestamp_ntz'2000-10-01'")) & (C("o_orderstatus") == "P")
     return r.m.table("orders").withColumn("o_orderstatus", F.when(late, "F").otherwise(C("o_orderstatus"))).select("o_orderkey", "o_orderstatus")
 
 
@@ -474,7 +474,7 @@ def _(r):
 
 @query("u_difference", "select p_partkey as k from part except select l_partkey from lineitem where l_returnflag = 'R' and l_shipdate >= timestamp '2000-01-01'")
 def _(r):
-    returned = r.m.table("lineitem").where("l_returnflag = 'R' and l_shipdate >= timestamp'2000-01-01'").select(C("l_partkey").alias("k"))
+    returned = r.m.table("lineitem").where("l_returnflag = 'R' and l_shipdate >= timestamp_ntz'2000-01-01'").select(C("l_partkey").alias("k"))
     return r.m.table("part").select(C("p_partkey").alias("k")).subtract(returned)
 
 
@@ -625,7 +625,7 @@ def _(r):
 
 @query("v_populated", "select 'rows_of_2005' as name_table, count(*) as rows from lineitem where l_shipdate >= timestamp '2005-01-01' having count(*) = 0")
 def _(r):
-    return checks.populated(r.m.table("lineitem").where("l_shipdate >= timestamp'2005-01-01'"), "rows_of_2005")
+    return checks.populated(r.m.table("lineitem").where("l_shipdate >= timestamp_ntz'2005-01-01'"), "rows_of_2005")
 
 
 @query("v_threshold", f"select {ratio('avg(case when memmos = 0 then 1.0 else 0.0 end)')} as value from mem_all where time_period = (select max(time_period) from mem_all) having avg(case when memmos = 0 then 1.0 else 0.0 end) < 0.01")

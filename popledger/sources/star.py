@@ -192,7 +192,9 @@ class StarModel:
     def _lines(self) -> DataFrame:
         """Claim lines with their member. The day filter reaches the lineitem scan."""
         first_day = earliest_claim_day(self.settings)
-        lines = self.table("lineitem").where(F.col("l_shipdate") >= F.lit(first_day).cast("timestamp"))
+        lines = self.table("lineitem")
+        # a literal of the column's own type: any other would wrap the column in a cast and stop the pushdown
+        lines = lines.where(F.col("l_shipdate") >= F.lit(first_day).cast(lines.schema["l_shipdate"].dataType))
         # both sides are fact tables: meet by key whatever their size, which also spreads a scan of few splits
         orders = self.table("orders").select("o_orderkey", "o_custkey").hint("merge")
         return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
