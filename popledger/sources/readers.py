@@ -44,7 +44,7 @@ def read_fixed_width(spark: SparkSession, path: str, widths: dict[str, int], ski
         lines = lines.withColumn("_at", F.col("_metadata.file_block_start"))
         lines = lines.withColumn("_row", F.monotonically_increasing_id())
         first = lines.where("_at = 0").groupBy(F.input_file_name().alias("_f")).agg(F.min("_row").alias("_first"))
-        lines = lines.join(F.broadcast(first.select("_first")), F.col("_row") == F.col("_first"), "left_anti")
+        lines = lines.join(first.select("_first"), F.col("_row") == F.col("_first"), "left_anti")
     position, cols = 1, []
     for name, width in widths.items():
         cols.append(F.nullif(F.trim(F.substring("value", position, width)), F.lit("")).alias(name))
