@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from popledger.llm import substring_dedup, suffix_dedup
-from popledger.llm.common import table
+from popledger.llm import bpe, decontaminate, quality, substring_dedup, suffix_dedup, tokenfiles
+from popledger.llm.common import shared_folder, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -18,6 +19,22 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+def tokenizer_path() -> str:
+    """Tokenizer file of the queries; the operators take it as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 @query
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.find(table(spark, sf_dir, "documents"))
@@ -28,3 +45,24 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.find(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op7_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path()
+    found = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", quality.is_held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/tokens-{uuid.uuid4().hex[:12]}"
+    manifest = stored(tokenfiles.write(table(spark, sf_dir, "documents"), folder, tokenizer_path()), "token-manifest")
+    return tokenfiles.read(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

@@ -43,3 +43,26 @@ def suffix_dedup(docs, length=50):
                 gone[i : i + length] = b"\1" * length
         out[d] = (len(b), sum(gone), len(re.findall(b"\1+", bytes(gone))), sha(bytes(x for x, g in zip(b, gone) if not g)))
     return out
+
+
+TEXT_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = {i: i + 32 for i in range(65, 91)}
+
+
+def decontaminate(docs, items, n=10):
+    owners = defaultdict(set)
+    for item, t in items:
+        w = TEXT_WORD.findall((t or "").translate(LOWER))
+        size = min(n, len(w))
+        for i in range(len(w) - size + 1) if size else ():
+            owners[tuple(w[i : i + size])].add(str(item))
+    out = {}
+    for d, t in docs:
+        w, hit, found = TEXT_WORD.findall((t or "").translate(LOWER)), set(), set()
+        for size in {len(x) for x in owners}:
+            for i in range(len(w) - size + 1):
+                if own := owners.get(tuple(w[i : i + size])):
+                    found |= own
+                    hit.update(range(i, i + size))
+        out[d] = (len(w), len(hit), len(found), sha(",".join(sorted(found))), bool(hit))
+    return out
