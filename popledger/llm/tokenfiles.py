@@ -207,7 +207,8 @@ def read(manifest: DataFrame, only: list[int] | None = None) -> DataFrame:
                     )
                 reader.close()
 
-    spread = files.select("path", "width", "before").repartition(F.col("path"))
+    # a number of its own: the few bytes of a manifest would else be read, with all files behind them, by one task
+    spread = files.select("path", "width", "before").repartition(max(1, manifest.count()), F.col("path"))
     return spread.mapInArrow(run, DOCUMENTS)
 
 
