@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from popledger.llm import bpe, decontaminate, ngram_join, quality, substring_dedup, suffix_dedup, tokenfiles, topk_search, toxicity
+from popledger.llm import bpe, decontaminate, license_scan, ngram_join, quality, substring_dedup, suffix_dedup, tokenfiles, topk_search, toxicity
 from popledger.llm.common import shared_folder, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +80,11 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
