@@ -1,42 +1,87 @@
-"""Corpus pipeline: the stages in order, each over all documents its predecessor kept."""
+"""Corpus pipeline: the stages in order, each over all documents its predecessor kept.
+
+``run`` writes the result of every stage to the cluster's checkpoint folder and reads it again, so a lost executor costs at most one
+stage. Documents without an id are passed on untouched by stages that decide by id. Every stage returns the columns of
+``documents`` (the last one adds token ids), with ``n_chars`` brought up to date where a text changes.
+"""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from popledger.llm import suffix_dedup
-from popledger.llm.common import shared_folder
+from popledger.llm import bpe, decontaminate, ngram_join, suffix_dedup, toxicity as toxic
+from popledger.llm.common import shared_folder, table
+from popledger.llm.registry import tokenizer_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the 50-byte strings that a document with a smaller id has; partly removed characters go whole,
-    and documents of which nothing is left go."""
-    found = suffix_dedup.find(docs).where("n_removed = 0 or n_removed < n_bytes")
-    kept = found.select("doc_id", "n_removed", F.try_validate_utf8("kept").alias("clean"), "kept")
-    text = F.coalesce("clean", F.regexp_replace(F.decode("kept", "UTF-8"), "�", ""))
-    changed = kept.where("n_removed > 0").select(F.col("doc_id").alias("id"), text.alias("rest"))
-    return replaced(docs.join(found.select(F.col("doc_id").alias("left_id")), F.col("doc_id") == F.col("left_id"), "left_semi"), changed)
-
-
-def replaced(docs: DataFrame, changed: DataFrame) -> DataFrame:
-    """Documents with the changed texts (id, rest) put in."""
-    joined = docs.join(changed, F.col("doc_id") == F.col("id"), "left")
+def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Documents whose id is not among the rejected ones (column ``id``)."""
+    return docs.join(rejected, F.col("doc_id").cast("bigint") == F.col("id"), "left_anti")
+
+
+def with_text(docs: DataFrame, changed: DataFrame) -> DataFrame:
+    """Documents with the changed texts (``id``, ``rest``) put in."""
+    joined = docs.join(changed, F.col("doc_id").cast("bigint") == F.col("id"), "left")
     text = F.when(F.col("id").isNull(), F.col("text")).otherwise(F.col("rest"))
-    values = {"text": text, "n_chars": F.length(text).cast("bigint")}
-    return joined.select(*[values[c].alias(c) if c in values else F.col(c) for c in docs.columns])
+    new: dict[str, Column] = {"text": text, "n_chars": F.length(text).cast("bigint")}
+    return joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the chain, fitted on the labelled ones, scores 0.5 or more go."""
+    model = toxic.fit(docs, table(spark, sf_dir, "labels"))
+    return without(docs, toxic.score(docs, model).where("score >= 0.5 and doc_id is not null").select(F.col("doc_id").alias("id")))
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents connected by a similarity of 0.8 or more on five-word shingles, the one with the smallest id stays."""
+    groups = ngram_join.join(docs, n=5, percent=80)
+    return without(docs, groups.where("doc_id != component_id").select(F.col("doc_id").alias("id")))
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings of 50 bytes or more that a document with a smaller id has are cut out; characters cut in part go whole, and
+    documents of which nothing is left go."""
+    found = suffix_dedup.find(docs).where("n_removed > 0 and doc_id is not null")
+    text = F.regexp_replace(F.decode("kept", "UTF-8"), "�", "")
+    changed = found.select(F.col("doc_id").alias("id"), F.when(F.col("n_removed") < F.col("n_bytes"), text).otherwise(F.lit("")).alias("rest"))
+    spans = with_text(docs, changed.withColumn("rest", F.coalesce("rest", F.lit(""))))
+    gone = changed.where("rest = ''").select("id")
+    return without(spans, gone)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a ten-word window of a benchmark item, or a whole shorter item, go."""
+    hits = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"))
+    return without(docs, hits.where("n_hit > 0 and doc_id is not null").select(F.col("doc_id").alias("id")))
+
+
+def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their token ids; the text is what the ids decode to."""
+    path = tokenizer_path()
+    coded = bpe.decode(bpe.encode(docs, path), path).select(F.col("doc_id").alias("id"), "n_tokens", "ids", "decoded")
+    joined = docs.drop("text").join(coded, F.col("doc_id").cast("bigint").eqNullSafe(F.col("id")))
+    return joined.select(*[F.col("decoded").alias(c) if c == "text" else F.col(c) for c in docs.columns], "n_tokens", "ids")
 
 
-STAGES: list[tuple[str, Stage]] = [("suffix_array_dedup", suffix_array_dedup)]
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity),
+    ("ngram_jaccard_join", ngram_jaccard_join),
+    ("suffix_array_dedup", suffix_array_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("bpe_encoding", bpe_encoding),
+]
+#: The fitted chain and the token ids have no counterpart in SQL; tests compare the stages with plain definitions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Result of the last stage over ``documents``; every stage is written to the shared folder and read again."""
+    """Result of the last stage over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/pipeline-{uuid.uuid4().hex[:12]}"
     for name, stage in STAGES:
