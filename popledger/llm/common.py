@@ -4,15 +4,35 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 #: Texts handed to a Python worker at once.
 BATCH_ROWS = 512
+_OWN_FOLDERS: dict[str, str] = {}
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that their Python workers can import it wherever they run."""
+    package = Path(__file__).resolve().parents[1]
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED or not package.is_dir():
+        return
+    _SHIPPED.add(app)
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Arrow batches small enough for long texts; skewed joins are split also where that costs a shuffle above."""
+    """Package on the executors; Arrow batches small enough for long texts; skewed joins are split also where that costs a
+    shuffle above."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     return spark
@@ -40,9 +60,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = "file://" + tempfile.mkdtemp(prefix="llm-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    own = spark.sparkContext.applicationId
+    if own not in _OWN_FOLDERS:
+        _OWN_FOLDERS[own] = "file://" + tempfile.mkdtemp(prefix="llm-")
+    return _OWN_FOLDERS[own]
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
