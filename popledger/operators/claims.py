@@ -47,7 +47,7 @@ def claims_of_roster(claims: DataFrame, windows: DataFrame, roster: DataFrame, b
     side has at most one row per window for it.
     """
     spans = roster.join(
-        F.broadcast(windows.select("time_period", "inc_start", "inc_end", F.col("paid_thru").alias("_thru"))), "time_period"
+        windows.select("time_period", "inc_start", "inc_end", F.col("paid_thru").alias("_thru")), "time_period"
     ).withColumnRenamed("member_id", "_member")
     return (
         claims.withColumn("_incurred", incurred_day(basis))

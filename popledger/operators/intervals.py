@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def in_windows(df: DataFrame, windows: DataFrame, condition: Column) -> DataFrame:
-    """Every row in each window it belongs to. The window table is small by construction."""
-    return df.join(F.broadcast(windows), condition, "inner")
+    """Every row in each window it belongs to. Windows have four rows a year and are made from literals, so Spark knows
+    how small they are and broadcasts them; a larger table would be joined otherwise."""
+    return df.join(windows, condition, "inner")
 
 
 def merge_spans(df: DataFrame, keys: Sequence[str], start: str, end: str, touching_days: int = 0) -> DataFrame:

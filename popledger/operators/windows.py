@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -56,10 +56,7 @@ def time_windows(params: DataFrame, runout_months: int = 2) -> DataFrame:
 
 
 def windows_for(spark: SparkSession, settings: ReportSettings) -> DataFrame:
-    """The run's window table. It has four rows per year of history, so it is always
-    small enough to broadcast; a run over more than a century is refused."""
-    if settings.paid_thru.year - settings.credible_start.year > 100:
-        raise ValueError("more than 100 years of windows: the window table would no longer be small")
+    """The run's window table: four rows per year of history."""
     return time_windows(run_parameters(spark, settings), settings.runout_months)
 
 
@@ -76,8 +73,3 @@ def open_window(spark: SparkSession, start: date, label: str = "all") -> DataFra
 def widened(windows: DataFrame, days_before: int) -> DataFrame:
     """Same windows with an earlier start."""
     return windows.withColumn("inc_start", F.date_sub("inc_start", days_before))
-
-
-def earliest_claim_day(settings: ReportSettings, lookback: int = 90) -> date:
-    """No window reads claims incurred before this day; used to prune the claim scan."""
-    return settings.credible_start - timedelta(days=lookback)

@@ -95,7 +95,7 @@ CTE = {
       case when death_date <= last_day(cast(o_orderdate as date)) then death_date end as bene_death_dt
     from orders left join death on cast(o_custkey as varchar) = member_id""",
     "lines": """
-    select l.*, o_custkey, cast(l_shipdate as date) as d from lineitem l join orders on l_orderkey = o_orderkey where l_shipdate >= timestamp '1998-10-03 00:00:00'""",
+    select l.*, o_custkey, cast(l_shipdate as date) as d from lineitem l join orders on l_orderkey = o_orderkey""",
     "med": f"""
     select {_claim_columns()} from (select *, {_list(MEDICAL_LINES)}[l_partkey % 18 + 1] as prm_line from lines where l_linestatus = 'O')""",
     "rx": f"""

@@ -8,6 +8,8 @@ number of Spark jobs does not grow with them.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import Interaction, OneHotEncoder, StringIndexer, VectorAssembler
@@ -15,8 +17,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from popledger.functions.nulls import safe_ratio
-from popledger.functions.text import same_ci
 
+LOG = logging.getLogger("popledger.case_mix")
 LEVEL = "prv_id_inpatient"
 
 
@@ -51,8 +53,12 @@ def one_vs_rest(counts: DataFrame, level: str = LEVEL) -> DataFrame:
     )
 
 
-def fit_shares(counts: DataFrame, level: str = LEVEL, penalty: float = 1.0, max_iter: int = 30) -> DataFrame:
-    """Adjusted probability of each status per window and reporting level, before normalisation."""
+def fit_shares(
+    counts: DataFrame, level: str = LEVEL, penalty: float = 1.0, max_iter: int = 200, tolerance: float = 1e-6
+) -> DataFrame:
+    """Adjusted probability of each status per window and reporting level, before normalisation.
+
+    Warns when ``max_iter`` steps have not brought the fit within ``tolerance``; ``converged`` says so in every row."""
     cells = one_vs_rest(counts, level).withColumn("block", F.concat_ws("|", "time_period", "discharge_status_desc"))
     cells = cells.withColumns({
         "block_level": F.concat_ws("|", "block", level), "block_drg": F.concat_ws("|", "block", "drg"), "lift": F.lit(10.0)
@@ -73,12 +79,15 @@ def fit_shares(counts: DataFrame, level: str = LEVEL, penalty: float = 1.0, max_
     total = rows.agg(F.sum("weight")).first()[0] or 1.0
     model = LogisticRegression(
         featuresCol="features", labelCol="label", weightCol="weight", fitIntercept=False, standardization=False,
-        regParam=penalty / total, elasticNetParam=0.0, maxIter=max_iter,
+        regParam=penalty / total, elasticNetParam=0.0, maxIter=max_iter, tol=tolerance,
     ).fit(encode.transform(rows))
+    converged = model.summary.totalIterations < max_iter
+    if not converged:
+        LOG.warning("the case-mix fit stopped after %d steps", max_iter)
     # an unknown case type contributes nothing: what is left is intercept plus reporting level
     grid = cells.select("time_period", level, "discharge_status_desc", "block", "block_level", "lift").distinct()
     scored = model.transform(encode.transform(grid.withColumn("block_drg", F.lit(""))))
-    return scored.select("time_period", level, "discharge_status_desc", vector_to_array("probability")[1].alias("mu"))
+    return scored.select("time_period", level, "discharge_status_desc", vector_to_array("probability")[1].alias("mu"), F.lit(converged).alias("converged"))
 
 
 def normalised(fitted: DataFrame, raw: DataFrame, level: str = LEVEL) -> DataFrame:
@@ -102,8 +111,3 @@ def distortion(normal: DataFrame) -> DataFrame:
     return normal.groupBy("time_period", "discharge_status_desc").agg(
         mean("mu_raw").alias("mu_comp_raw"), mean("mu").alias("mu_comp_slop"), mean("mu_normalized").alias("mu_comp_normalized")
     )
-
-
-def fit_one_status(counts: DataFrame, status: str, level: str = LEVEL) -> DataFrame:
-    """Adjusted probabilities of a single status."""
-    return fit_shares(counts, level).where(same_ci("discharge_status_desc", status))

@@ -7,7 +7,6 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from popledger.functions.text import same_ci, starts_ci
-from popledger.operators.reshape import stack
 
 
 def version_fix(claims: DataFrame, day: str = "prm_fromdate", version: str = "icdversion", start: date = date(2015, 10, 1)) -> DataFrame:
@@ -26,8 +25,18 @@ def split_by_setting(claims: DataFrame, ip_start: date, snf_start: date) -> tupl
     return claims.where(snf), claims.where(ip), claims.where(~snf & ~ip)
 
 
-def _corrected(claims: DataFrame, totals: DataFrame) -> DataFrame:
-    clash = ~F.sign("_admits").eqNullSafe(F.sign("_util"))
+def sign_fix(claims: DataFrame, ip_start: date = date(2016, 1, 1), snf_start: date = date(2016, 2, 1)) -> DataFrame:
+    """Cases whose admits and days differ in sign: zeroed when they cost less than 2, else the days take the admits' sign.
+    Only inpatient lines from their setting's first day on are corrected; totals are formed once and joined once."""
+    snf = same_ci("prm_line", "I31") & (F.col("prm_fromdate") >= F.lit(snf_start))
+    ip = starts_ci("prm_line", "I") & ~same_ci("prm_line", "I31") & (F.col("prm_fromdate") >= F.lit(ip_start))
+    concerned = F.coalesce(snf | ip, F.lit(False))
+    totals = (
+        claims.where(starts_ci("prm_line", "I") & (F.col("prm_fromdate") >= F.lit(ip_start)))
+        .groupBy("caseadmitid")
+        .agg(F.sum("prm_admits").alias("_admits"), F.sum("prm_util").alias("_util"), F.sum("prm_costs").alias("_costs"))
+    )
+    clash = concerned & ~F.sign("_admits").eqNullSafe(F.sign("_util"))
     trivial = clash & (F.abs("_costs") < 2)
 
     def zero_when_trivial(c: str) -> Column:
@@ -40,14 +49,3 @@ def _corrected(claims: DataFrame, totals: DataFrame) -> DataFrame:
         "prm_costs": zero_when_trivial("prm_costs"),
         "prm_admits": zero_when_trivial("prm_admits"),
     }).select(*claims.columns)
-
-
-def sign_fix(claims: DataFrame, ip_start: date = date(2016, 1, 1), snf_start: date = date(2016, 2, 1)) -> DataFrame:
-    """Cases whose admits and days differ in sign: zeroed when they cost less than 2, else the days take the admits' sign."""
-    snf, ip, rest = split_by_setting(claims, ip_start, snf_start)
-    totals = (
-        claims.where(starts_ci("prm_line", "I") & (F.col("prm_fromdate") >= F.lit(ip_start)))
-        .groupBy("caseadmitid")
-        .agg(F.sum("prm_admits").alias("_admits"), F.sum("prm_util").alias("_util"), F.sum("prm_costs").alias("_costs"))
-    )
-    return stack([rest, _corrected(ip, totals), _corrected(snf, totals)])

@@ -62,8 +62,11 @@ def numbered_lists(tidy: DataFrame) -> DataFrame:
     return number_in_group(tidy, "market_name", "hicno", "count")
 
 
-def ragged_lists(numbered: DataFrame, markets: Sequence[str]) -> DataFrame:
-    """One column per market, one row per number; short lists end early."""
+def ragged_lists(numbered: DataFrame, markets: Sequence[str] | None = None) -> DataFrame:
+    """One column per market, one row per number; short lists end early. Without ``markets``, those of the data: they become
+    columns, so they are few."""
+    if markets is None:
+        markets = sorted(r.market_name for r in numbered.where("market_name is not null").select("market_name").distinct().collect())
     return pivot_ids(numbered, ["count"], "market_name", "hicno", markets)
 
 

@@ -87,10 +87,6 @@ def util_rates(
     summed = with_service_risk(by_line, riskscr).groupBy("time_period", "elig_status_1", "metric_id", "metric_name").agg(
         F.sum("_util").cast("double").alias("_raw"), sum_of_ratio("_util", "riskscr_1_util_avg").alias("_adj")
     )
-    months = pivot_ids(
-        basic_metrics.where(same_ci("metric_id", "memmos_sum")), ["time_period", "elig_status_1"], "metric_id", "metric_value", ["memmos_sum"]
-    )
-    with_months = summed.join(months, ["time_period", "elig_status_1"], "left")
     pair = F.array(
         F.struct(F.col("metric_id").alias("id"), F.col("metric_name").alias("name"), F.col("_raw").alias("value")),
         F.struct(
@@ -99,7 +95,7 @@ def util_rates(
             F.col("_adj").alias("value"),
         ),
     )
-    return with_months.select("time_period", "elig_status_1", F.explode(pair).alias("m")).select(
+    return summed.select("time_period", "elig_status_1", F.explode(pair).alias("m")).select(
         "time_period", "elig_status_1", F.col("m.id").alias("metric_id"), F.col("m.name").alias("metric_name"),
         F.col("m.value").alias("metric_value"),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from popledger.functions.text import same_ci
 from popledger.operators.aggregate import freq, share_of_rows
-from popledger.operators.intervals import in_windows, nearest_day, point_in_span
+from popledger.operators.intervals import in_windows, nearest_day
 from popledger.operators.joins import crosswalk
 from popledger.operators.reshape import stack
 
@@ -28,18 +28,17 @@ def feed_by_period(
     """Feed members per window, taken from the snapshot nearest to the window's end."""
     ends = windows.select("time_period", "inc_end")
     chosen = nearest_day(ends, "inc_end", raw_stack, "date_latestpaid")
-    # a snapshot may serve several windows; the small table cuts the stack before any shuffle
-    picked = raw_stack.join(F.broadcast(chosen), "date_latestpaid")
+    # a snapshot may serve several windows; the table of chosen days has one row per window
+    picked = raw_stack.join(chosen, "date_latestpaid")
     current = crosswalk(
         picked.select(F.col("bene_hic_num").alias("member_id"), "time_period", "inc_end", "bene_death_dt"),
         "member_id", xref, "prvs_hic_num", "crnt_hic_num",
     )
     people = current.groupBy("member_id", "time_period", "inc_end").agg(F.max("bene_death_dt").alias("_death"))
-    status = point_in_span(
-        people.select("member_id", "time_period", "inc_end"),
-        "inc_end",
-        eligibility.select("member_id", "date_start", "date_end", "elig_status_1"),
-        "date_start", "date_end", ["member_id"],
+    # the question is only which span holds a window's last day: spans meet the few windows, not the months they touch
+    status = in_windows(
+        eligibility.select("member_id", "date_start", "date_end", "elig_status_1"), ends,
+        F.col("inc_end").between(F.col("date_start"), F.col("date_end")),
     ).select("member_id", "time_period", "elig_status_1")
     return (
         people.join(status, ["member_id", "time_period"], "left")

@@ -16,12 +16,12 @@ from popledger.sources.writers import materialise, staging_folder, write_declare
 
 class Report:
     """Lazy results by name. With ``staged`` the intermediates that many results share are
-    written once to the checkpoint folder; without it every result is one plan."""
+    written once to the checkpoint folder (or to ``folder``); without it every result is one plan."""
 
-    def __init__(self, model, staged: bool = False):
+    def __init__(self, model, staged: bool = False, folder: str | None = None):
         self.m = model
         self.s = model.settings
-        self.folder = staging_folder(model.spark) if staged else None
+        self.folder = folder or (staging_folder(model.spark) if staged else None)
         self.schema = MartSchema.declared(self.s)
 
     def _keep(self, df: DataFrame, name: str) -> DataFrame:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -8,6 +9,7 @@ from popledger.oracle.base import with_ctes
 from popledger.plans.report import Report
 from popledger.session import apply_plan_settings
 from popledger.sources.star import StarModel
+from popledger.sources.writers import staging_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,8 +45,21 @@ def report(spark: SparkSession, path: str) -> Report:
 
 
 def staged_report(spark: SparkSession, path: str) -> Report:
-    """Report whose shared intermediates are written to the cluster's checkpoint folder."""
-    return Report(StarModel(apply_plan_settings(spark), path), staged=True)
+    """Report whose shared intermediates are written to the shared folder."""
+    return Report(StarModel(apply_plan_settings(spark), path), folder=shared_folder(spark))
+
+
+_OWN_FOLDERS: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder; a session on one machine that has none, as in tests, is given a temporary one."""
+    own = spark.sparkContext.applicationId
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local"):
+        if own not in _OWN_FOLDERS:
+            _OWN_FOLDERS[own] = "file://" + tempfile.mkdtemp(prefix="popledger-")
+        return _OWN_FOLDERS[own]
+    return staging_folder(spark)
 
 
 def query(name: str, sql: str | None = None):

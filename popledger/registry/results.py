@@ -12,7 +12,8 @@ from popledger.operators.windows import time_windows
 from popledger.plans import (
     case_mix, cost_model, end_of_life, emergency, exclusions, fixes, groups, inpatient, mart, outpatient, roster, scores, snf, supplemental,
 )
-from popledger.registry.base import QUERIES, long_sql, money, query, ratio, staged_report, tidy, whole
+from popledger.registry.base import ORACLES, QUERIES, long_sql, money, query, ratio, staged_report, tidy, whole
+from popledger.oracle.base import with_ctes
 from popledger.plans.roster import EOL_FLAGS
 from popledger.sources.star import StarModel
 
@@ -379,6 +380,34 @@ def _case_mix_fit(spark, path):
 QUERIES["case_mix_fit"] = _case_mix_fit
 
 
+def _case_mix_sums(spark, path):
+    """What holds for every fit: shares of a provider add up to one, over all statuses of the window, each within bounds."""
+    fitted = _case_mix_fit(spark, path)
+    return tidy(fitted.groupBy("time_period", "prv_id_inpatient").agg(
+        F.count(F.lit(1)).alias("statuses"), F.round(F.sum("mu_normalized"), 3).alias("total"),
+        F.min(F.col("mu_normalized").between(0, 1)).alias("within"), F.min("converged").alias("converged"),
+    ))
+
+
+QUERIES["case_mix_sums"] = _case_mix_sums
+ORACLES["case_mix_sums"] = with_ctes("""
+    select p.time_period, p.prv_id_inpatient, s.n as statuses, cast(1.0 as double) as total, true as within, true as converged
+    from (select distinct time_period, prv_id_inpatient from cmc) p join (select time_period, count(distinct discharge_status_desc) as n from cmc group by 1) s using (time_period)""")
+
+
+def _case_mix_distortion(spark, path):
+    """Composite shares: the raw one is exact, the fitted ones lie within bounds."""
+    d = case_mix.distortion(_case_mix_fit(spark, path))
+    within = F.col("mu_comp_slop").between(0, 1) & F.col("mu_comp_normalized").between(0, 1)
+    return tidy(d.select("time_period", "discharge_status_desc", F.round("mu_comp_raw", 4).alias("mu_comp_raw"), within.alias("within")))
+
+
+QUERIES["case_mix_distortion"] = _case_mix_distortion
+ORACLES["case_mix_distortion"] = with_ctes("""
+    select time_period, discharge_status_desc, round(cast(sum(discharges_sum) as double) / any_value(total), 4) as mu_comp_raw, true as within
+    from cmc join (select time_period, cast(sum(discharges_sum) as double) as total from cmc group by 1) using (time_period) group by 1, 2""")
+
+
 # -- outpatient, end of life, nursing facility, emergency --------------------------------------------
 
 _OP_SQL = f"""select {CLIENT}, time_period, elig_status_1, 'outpatient' as metric_category, metric_id, metric_name, {ratio('raw')} as metric_value from opu
@@ -615,7 +644,7 @@ CTE["mkt"] = """select hicno, market_name, row_number() over (partition by marke
 @query("ragged_lists", "select n as count, " + ", ".join(f"max(case when market_name = '{m}' then hicno end) as \"{m}\"" for m in MARKETS) + " from mkt group by n")
 def _(r):
     tidy_lists = groups.market_lists(r.m.market_list, left_out=["Machinery"])
-    return groups.ragged_lists(groups.numbered_lists(tidy_lists), MARKETS)
+    return groups.ragged_lists(groups.numbered_lists(tidy_lists))
 
 
 _slots = ", ".join(f"case when (s_suppkey + {j}) % 61 = 0 then '06' else '05' end" for j in range(1, StarModel.SLOTS + 1))

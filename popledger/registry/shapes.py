@@ -805,16 +805,6 @@ def _(r):
     return mart.table_counts(mart.assemble({n: getattr(r, n) for n in ["cost_util", "member_costs", "details_inpatient", "memcnt"]}, r.schema))
 
 
-_SUM = lambda t, cols: f"select '{t}' as name_table, count(*) as rows, cast(sum(cast(('0x' || substr(md5(concat_ws('|', {cols})), 1, 15)) as bigint)) as double) as checksum from {t}"
-
-
-@query("table_manifest", _SUM("nation", "n_name, n_nationkey, n_regionkey") + " union all " + _SUM("region", "r_name, r_regionkey") + " union all " + _SUM("customer", "c_custkey, c_mktsegment, c_name, c_nationkey").replace("from customer", "from customer"))
-def _(r):
-    t = r.m.table
-    sums = mart.manifest({"nation": t("nation"), "region": t("region"), "customer": t("customer").drop("c_acctbal")})
-    return sums.withColumn("checksum", C("checksum").cast("double"))
-
-
 _DICT = [("name_client", "varchar", "Y"), ("member_id", "char", "Y"), ("time_period", "varchar", "Y"), ("total_cost", "float", "N")]
 
 

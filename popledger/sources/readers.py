@@ -37,14 +37,10 @@ def read_guessed(spark: SparkSession, path: str, sampling: float = 1.0) -> DataF
 
 
 def read_fixed_width(spark: SparkSession, path: str, widths: dict[str, int], skip_header: bool = True) -> DataFrame:
-    """Fixed-width text; fields are cut by position and trimmed, blank ones are missing."""
-    lines = spark.read.text(path)
-    if skip_header:
-        # the header is the line at the start of its file; only the first block of a file holds it
-        lines = lines.withColumn("_at", F.col("_metadata.file_block_start"))
-        lines = lines.withColumn("_row", F.monotonically_increasing_id())
-        first = lines.where("_at = 0").groupBy(F.input_file_name().alias("_f")).agg(F.min("_row").alias("_first"))
-        lines = lines.join(first.select("_first"), F.col("_row") == F.col("_first"), "left_anti")
+    """Fixed-width text; fields are cut by position and trimmed, blank ones are missing.
+
+    Lines are read as delimited text with one column, by a separator that no text holds: that reader knows each file's header."""
+    lines = spark.read.schema("value string").option("sep", "\u0001").option("quote", "").option("header", skip_header).csv(path)
     position, cols = 1, []
     for name, width in widths.items():
         cols.append(F.nullif(F.trim(F.substring("value", position, width)), F.lit("")).alias(name))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from popledger.functions.dates import month_begin, month_end
 from popledger.functions.numbers import money
 from popledger.operators.intervals import merge_spans
-from popledger.operators.windows import earliest_claim_day, windows_for
+from popledger.operators.windows import windows_for
 from popledger.settings import ReportSettings
 
 # Service line of a medical claim line by l_partkey % 18, of a pharmacy line by % 3.
@@ -190,14 +190,9 @@ class StarModel:
     # -- claims --------------------------------------------------------------------
 
     def _lines(self) -> DataFrame:
-        """Claim lines with their member. The day filter reaches the lineitem scan."""
-        first_day = earliest_claim_day(self.settings)
-        lines = self.table("lineitem")
-        # a literal of the column's own type: any other would wrap the column in a cast and stop the pushdown
-        lines = lines.where(F.col("l_shipdate") >= F.lit(first_day).cast(lines.schema["l_shipdate"].dataType))
-        # both sides are fact tables: meet by key whatever their size, which also spreads a scan of few splits
-        orders = self.table("orders").select("o_orderkey", "o_custkey").hint("merge")
-        return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        """All claim lines with their member."""
+        orders = self.table("orders").select("o_orderkey", "o_custkey")
+        return self.table("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
     def _claim_columns(self, prm_line: Column) -> list[Column]:
         k, day = F.col("o_custkey"), F.col("l_shipdate").cast("date")

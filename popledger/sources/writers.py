@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from popledger.sources.schema import MartSchema, conform
 
@@ -39,29 +38,38 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def row_text(df: DataFrame) -> Column:
+    """Text of a row that differs whenever the row does: every value with its length before it, N for a missing one.
+
+    Fractions are written with nine digits, so that engines agree on them."""
+    parts = []
+    for f in sorted(df.schema.fields, key=lambda f: f.name):
+        c = F.col(f"`{f.name}`")
+        value = c.cast("decimal(38,9)").cast("string") if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else c.cast("string")
+        parts.append(F.coalesce(F.concat(F.length(value).cast("string"), F.lit(":"), value), F.lit("N")))
+    return F.concat(*parts)
+
+
 def checksum(df: DataFrame, name: str) -> DataFrame:
     """Row count and a sum of row digests that does not depend on the order of the rows."""
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in sorted(df.columns)])
     # the first 15 hexadecimal digits of a digest fit a bigint; their decimal sum cannot overflow
-    digest = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(20,0)")
+    digest = F.conv(F.substring(F.md5(row_text(df)), 1, 15), 16, 10).cast("decimal(20,0)")
     return df.agg(F.count(F.lit(1)).alias("rows"), F.sum(digest).alias("checksum")).select(F.lit(name).alias("name_table"), "rows", "checksum")
 
 
 def file_digests(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """Digest of every delivered file."""
+    """Digest of every delivered file, for deliveries of ordinary size: a file is read as one value, which Spark limits to 2 GB.
+    Tables have ``checksum`` instead, at any size."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folder)
     return files.select(F.element_at(F.split("path", "/"), -1).alias("filename"), F.md5("content").alias("md5"))
 
 
-def staging_folder(spark: SparkSession) -> str | None:
-    """Folder for shared intermediates: the cluster's checkpoint folder. Only a local
-    session without one gets a temporary folder; a cluster without one gets none."""
+def staging_folder(spark: SparkSession) -> str:
+    """Folder for shared intermediates: the checkpoint folder that driver and executors share."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{spark.sparkContext.applicationId}"
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="popledger-")
-    return None
+    if not shared:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{shared.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
 def materialise(df: DataFrame, name: str, folder: str | None) -> DataFrame:

@@ -1,6 +1,5 @@
 """A whole report: written, checked against itself, and against DuckDB."""
 
-import os
 from collections import Counter
 
 import pytest
@@ -13,14 +12,6 @@ from popledger.sources.schema import schema_violations
 duckdb = pytest.importorskip("duckdb")
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
-# one or two of each kind; POPLEDGER_ALL=1 compares every query
-SAMPLE = [
-    "time_windows", "spans_merged", "members", "decedents", "roster_overlap", "riskscr_service", "cost_util", "claims_distribution",
-    "member_elig", "inpatient_metrics", "snf_readmissions", "ed_by_member", "claim_sign_fix", "ragged_lists", "first_slot",
-    "score_explanation", "j_nearest", "j_band", "a_remerge", "w_counter", "f_text", "table_manifest",
-]
-
-
 @pytest.fixture(scope="module")
 def stored(report, tmp_path_factory):
     return report.write(str(tmp_path_factory.mktemp("mart")))
@@ -75,7 +66,7 @@ def con(small):
 def names():
     from popledger.registry import ORACLES
 
-    return sorted(ORACLES) if os.environ.get("POPLEDGER_ALL") else SAMPLE
+    return sorted(ORACLES)
 
 
 @pytest.mark.parametrize("name", names())

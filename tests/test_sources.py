@@ -65,6 +65,14 @@ def test_tables_copy_export_and_manifest(spark, tmp_path):
     assert wr.checksum(df, "t").first().checksum != wr.checksum(df.limit(1), "t").first().checksum
 
 
+def test_checksum_tells_rows_apart(spark):
+    sums = [
+        wr.checksum(spark.createDataFrame([row], "a string, b string, c double"), "t").first().checksum
+        for row in [("x|y", "z", 1.0), ("x", "y|z", 1.0), (None, "z", 1.0), ("~", "z", 1.0), ("N", "z", 1.0), ("x", "y|z", 1.5), ("1:x", "z", None), (None, None, None)]
+    ]
+    assert len(set(sums)) == len(sums)
+
+
 def test_absent_source_is_an_empty_typed_table(spark):
     s = MartSchema.declared()
     assert empty_table(spark, s, "member_costs").count() == 0
@@ -111,3 +119,13 @@ def test_staged_tables_go_to_the_checkpoint_folder(spark):
     df = wr.materialise(spark.range(3).toDF("id"), "three", folder)
     assert df.count() == 3 and all(folder in f for f in df.inputFiles())
     assert wr.materialise(df, "none", None) is df
+
+
+def test_staging_needs_a_shared_folder():
+    import pytest
+
+    class Session:
+        conf = {}
+
+    with pytest.raises(ValueError):
+        wr.staging_folder(Session())
