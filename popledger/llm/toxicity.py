@@ -2,6 +2,7 @@
 
 Training labels are on documents, so labelled tokens are derived first: words and word beginnings that occur in many more toxic than
 clean documents of the sample form a lexicon with log odds, and in toxic documents the tokens that the lexicon is sure of are labelled.
+Copies of a toxic document would make all its words look toxic, so an occurrence counts once per word before it: copies share that.
 A two-state chain is then fitted on these token sequences by gradient ascent of the conditional likelihood; its features are the
 lexicon class of a token and of both neighbours, and its length. Scoring runs forward-backward over whole texts; the marginals of the toxic
 state give offending spans, and their noisy-or gives the document's score.
@@ -30,7 +31,7 @@ from popledger.llm.sequences import FOLDED_VALUES, WORD_BYTE, packed, parts, pre
 PART = 1 << 20
 BEGINNINGS = (3, 4, 5, 6)
 CLASS_BOUNDS = np.array([2.0, 3.0, 4.0, 5.0, 6.0])
-SURE = 3.0
+SURE = 4.0
 #: Log likelihood ratio (twice) from which a word's preference for toxic documents is no accident: about one in two million.
 EVIDENCE = 25.0
 CLASSES = len(CLASS_BOUNDS) + 1
@@ -172,21 +173,29 @@ class Model:
 
 
 def counts_of(sample: DataFrame, wanted: np.ndarray | None, least: int) -> dict[int, int]:
-    """Number of documents with each word or beginning, of those in at least ``least`` (or of the ``wanted`` ones)."""
+    """Number of documents with each word or beginning, but at most the number of different words before it; of those with at
+    least ``least`` (or of the ``wanted`` ones)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, _, _, _, word_at, hashes in tokens(batch.column(1)):
                 doc = np.repeat(np.arange(j - i), np.diff(word_at))
-                every, owner = np.concatenate(hashes), np.tile(doc, len(hashes))
+                before = np.r_[np.uint64(0), hashes[0][:-1]][: len(doc)]
+                before[word_at[:-1][np.diff(word_at) > 0]] = 0
+                every, owner, before = np.concatenate(hashes), np.tile(doc, len(hashes)), np.tile(before, len(hashes))
                 keep = every != 0
                 if wanted is not None:
                     keep &= np.isin(every, wanted)
-                pairs = np.unique(np.stack([every[keep].astype(np.int64), owner[keep]], axis=1), axis=0)
-                key, n = np.unique(pairs[:, 0], return_counts=True)
-                yield pa.record_batch([pa.array(key), pa.array(n)], names=["key", "n"])
-
-    found = sample.select("doc_id", "text").mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toArrow()
+                rows = np.unique(np.stack([every[keep].astype(np.int64), before[keep].astype(np.int64), owner[keep]], axis=1), axis=0)
+                new = np.ones(len(rows), dtype=bool)  # a document counts at its first row of a key
+                order = np.lexsort([rows[:, 1], rows[:, 2], rows[:, 0]])
+                rows = rows[order]
+                new[1:] = (rows[1:, 0] != rows[:-1, 0]) | (rows[1:, 2] != rows[:-1, 2])
+                yield pa.record_batch([pa.array(rows[:, 0]), pa.array(rows[:, 1]), pa.array(new.astype(np.int64))], names=["key", "before", "n"])
+
+    found = sample.select("doc_id", "text").mapInArrow(run, "key bigint, before bigint, n bigint")
+    found = found.groupBy("key", "before").agg(F.sum("n").alias("n")).groupBy("key").agg(F.least(F.sum("n"), F.count(F.lit(1))).alias("n"))
+    found = found.where(F.col("n") >= least).toArrow()
     return dict(zip(found.column("key").to_pylist(), found.column("n").to_pylist()))
 
 
