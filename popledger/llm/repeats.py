@@ -30,7 +30,7 @@ from popledger.llm.sequences import mix, prefix, sliding_min, spread, stretch_ha
 GROUP_BYTES = 4 << 20
 BUCKET_BYTES = 8 << 20
 #: Symbols handled at once inside a group.
-PART = 1 << 20
+PART = 1 << 18
 POSITION_BITS = np.uint64(22)
 
 
@@ -106,7 +106,7 @@ class Part:
 @dataclass
 class Sent:
     """Runs to send: hash of the anchor, key of the run, two numbers (the first is added up where ``counted``, else
-    the least is kept; of the second the greatest), and ``sizes`` items of ``payload`` each."""
+    the least is kept; of the second the greatest), and ``sizes`` items of ``payload`` each, or no payload at all."""
 
     anchor: np.ndarray
     key: np.ndarray
@@ -163,13 +163,16 @@ def mark_windows(
     apply: Callable,
     schema: str,
     distinct_texts: bool,
+    content: Callable | None = None,
 ) -> DataFrame:
     """Run the three steps over ``docs`` (doc_id, text).
 
     ``read(table)`` yields (first text, symbols' hashes, offsets, state) for parts of a group. ``collect(table, part, chosen)``
     describes the runs to send (see ``merge``), ``resolve(asks)`` answers them in a bucket, and
     ``apply(table, parts, answers)`` makes the result rows. ``distinct_texts``: an anchor counts as occurring again
-    only in another text.
+    only in another text. With ``content(table, part, chosen)``, groups ask with hashes only; of anchors that have several distinct
+    runs the bucket then fetches the content of each run once, from one group that has it, and
+    ``resolve(asks, contents)`` gets both.
     """
     texts, buckets = grouped(docs)
 
@@ -228,15 +231,59 @@ def mark_windows(
         found = resolve([unblob(x.as_py()) for x in table.column("ask")])
         return rows(_ANSWER, [(g, key[0].as_py(), x) for g, x in zip(table.column("gid").to_pylist(), found, strict=True) if x is not None])
 
+    def request(key, table):
+        """For anchors with several distinct runs, each run's key, sent to one group that has the run."""
+        asks = [unblob(x.as_py()) for x in table.column("ask")]
+        gids = np.array(table.column("gid").to_pylist())
+        anchor, run = np.concatenate([a[0] for a in asks]), np.concatenate([a[1] for a in asks])
+        owner = np.repeat(gids, [len(a[0]) for a in asks])
+        order, at = first_places(anchor, run)
+        pick = order[at]
+        wanted = pick[among_several(anchor[pick])]
+        by = wanted[np.argsort(owner[wanted], kind="stable")]
+        cut = np.flatnonzero(np.r_[True, owner[by][1:] != owner[by][:-1]]) if len(by) else by
+        return rows(_ANSWER, [(int(owner[part[0]]), key[0].as_py(), blob(np.sort(run[part]))) for part in np.split(by, cut[1:]) if len(part)])
+
+    def send(key, table, answers):
+        if not answers.num_rows:
+            return rows(_ASK, [])
+        wanted = np.sort(np.concatenate([unblob(x.as_py())[0] for x in answers.column("answer")]))
+        sent = []
+        for part in parts_of(table):
+            own = part.runs.key
+            chosen = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)] == own)
+            if len(chosen):
+                sent.append(content(table, part, chosen))
+        return rows(_ASK, [(b, key[0].as_py(), x) for b, x in merge(sent, buckets)] if sent else [])
+
+    def answer_with(key, table, sent):
+        if not table.num_rows:
+            return rows(_ANSWER, [])
+        gids = table.column("gid").to_pylist()
+        found = resolve([unblob(x.as_py()) for x in table.column("ask")], [unblob(x.as_py()) for x in sent.column("ask")])
+        return rows(_ANSWER, [(g, key[0].as_py(), x) for g, x in zip(gids, found, strict=True) if x is not None])
+
     def finish(key, table, answers):
         return apply(table, parts_of(table), [unblob(x.as_py()) for x in answers.column("answer")])
 
     first = texts.groupBy("gid").applyInArrow(ask_anchors, ASK).groupBy("bucket").applyInArrow(answer_anchors, ANSWER)
     asked = texts.groupBy("gid").cogroup(first.groupBy("gid")).applyInArrow(ask_runs, ASK)
-    second = asked.groupBy("bucket").applyInArrow(answer_runs, ANSWER)
+    if content is None:
+        second = asked.groupBy("bucket").applyInArrow(answer_runs, ANSWER)
+    else:
+        wanted = asked.groupBy("bucket").applyInArrow(request, ANSWER)
+        sent = texts.groupBy("gid").cogroup(wanted.groupBy("gid")).applyInArrow(send, ASK)
+        second = asked.groupBy("bucket").cogroup(sent.groupBy("bucket")).applyInArrow(answer_with, ANSWER)
     return texts.groupBy("gid").cogroup(second.groupBy("gid")).applyInArrow(finish, schema)
 
 
+def among_several(anchor: np.ndarray) -> np.ndarray:
+    """Places of the sorted anchors that occur more than once."""
+    at = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
+    size = np.diff(np.r_[at, len(anchor)])
+    return np.flatnonzero(np.repeat(size > 1, size))
+
+
 def merge(sent: list[Sent], buckets: int):
     """The distinct runs of a group, by bucket: anchor, key, low, high, sizes, payload."""
     anchor, key, low, high, sizes, payload = (np.concatenate([getattr(s, f) for s in sent]) for f in ("anchor", "key", "low", "high", "sizes", "payload"))
@@ -250,7 +297,8 @@ def merge(sent: list[Sent], buckets: int):
     for b in range(buckets):
         o = order[cut[b] : cut[b + 1]]
         if len(o):
-            yield b, blob(anchor[o], key[o], low[o], high[o], sizes[o].astype(np.uint32), payload[spread(begin[o], sizes[o])])
+            data = payload[spread(begin[o], sizes[o])] if len(payload) else payload
+            yield b, blob(anchor[o], key[o], low[o], high[o], sizes[o].astype(np.uint32), data)
 
 
 def answer(key: np.ndarray, run_values: np.ndarray, counts: np.ndarray) -> bytes:

@@ -3,8 +3,8 @@
 The longest previous factor of a position is the longest string that starts there and also at an earlier place. In suffix
 order the match lies at the previous or next smaller position, so one ordering answers all positions. Here "earlier"
 is a text with a smaller id, and only factors of at least ``length`` bytes matter. Suffixes that cannot match are never ordered: runs of
-positions meet by their anchor (``repeats``), runs that are equal byte for byte collapse to one with the smallest id, and the
-distinct runs of an anchor are put in suffix order with ties by id, where the previous smaller position of
+positions meet by their anchor (``repeats``), equal runs collapse to one with the smallest id, and the bytes of the
+distinct runs of an anchor, fetched once each, are put in suffix order with ties by id, where the previous smaller position of
 a suffix stands directly above it and their common prefix tells whether the factor is long enough.
 
 Defined results: a null or empty text has no bytes; texts shorter than ``length`` stay whole; matches never
@@ -19,12 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from popledger.llm.common import keyed, prepare
-from popledger.llm.repeats import PART, Part, Sent, answer, covered, first_places, mark_windows, window_values
+from popledger.llm.repeats import PART, Part, Sent, among_several, answer, covered, first_places, mark_windows, window_values
 from popledger.llm.sequences import BYTE_VALUES, packed, parts, runs_of, spread
 
 SCHEMA = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, span_start array<bigint>, span_end array<bigint>, kept binary"
 #: Suffixes put in order at once; one anchor's suffixes always stay together.
-ORDERED = 1 << 18
+ORDERED = 1 << 15
 
 
 def read(table: pa.Table):
@@ -38,7 +38,7 @@ def suffix_order(data: np.ndarray, start: np.ndarray, length: int, doc: np.ndarr
     """Suffixes of ``length`` bytes in order (group, bytes, doc), and whether each shares all of them with the one above."""
     wide = -(-length // 8) * 8
     block = np.zeros((len(start), wide), dtype=np.uint8)
-    block[:, :length] = data[start[:, None] + np.arange(length)]
+    block[:, :length] = np.lib.stride_tricks.sliding_window_view(data, length)[start]
     columns = block.view(">u8").astype(np.uint64)
     order = np.lexsort([doc, *columns.T[::-1], group])
     columns, group = columns[order], group[order]
@@ -62,24 +62,32 @@ def find(docs: DataFrame, length: int = 50, k: int = 16, key: str = "doc_id", te
     def collect(table: pa.Table, part: Part, chosen: np.ndarray) -> Sent:
         runs = part.runs
         doc = table.column("doc_id").to_numpy()[part.first + runs.doc[chosen]]
+        return Sent(runs.anchor[chosen], runs.key[chosen], doc, doc, runs.count[chosen], np.zeros(0, np.uint8), counted=False)
+
+    def content(table: pa.Table, part: Part, chosen: np.ndarray) -> Sent:
+        runs = part.runs
         sizes = runs.count[chosen] + length - 1
-        return Sent(runs.anchor[chosen], runs.key[chosen], doc, doc, sizes, part.state[0][spread(runs.start[chosen], sizes)], counted=False)
+        none = np.zeros(len(chosen), dtype=np.int64)
+        return Sent(runs.anchor[chosen], runs.key[chosen], none, none, sizes, part.state[0][spread(runs.start[chosen], sizes)], counted=False)
 
-    def resolve(asks: list[list[np.ndarray]]) -> list[bytes | None]:
+    def resolve(asks: list[list[np.ndarray]], contents: list[list[np.ndarray]]) -> list[bytes | None]:
         """Per ask, the smallest text that has each window."""
-        anchor, key, low, high, sizes, data = (np.concatenate([a[i] for a in asks]) for i in range(6))
-        sizes = sizes.astype(np.int64)
-        begin = np.cumsum(sizes) - sizes
+        anchor, key, low, sizes = (np.concatenate([a[i] for a in asks]) for i in (0, 1, 2, 4))
         order, at = first_places(anchor, key)
         pick = order[at]
         least = np.minimum.reduceat(low[order], at)
-        counts = sizes[pick] - length + 1
+        counts = sizes[pick].astype(np.int64)
         first = np.cumsum(counts) - counts
         value = np.repeat(least, counts)
         # anchors with several distinct runs: which of their windows agree is decided in suffix order
-        of = anchor[pick]
-        bounds = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
-        several = np.flatnonzero(np.repeat(np.diff(np.r_[bounds, len(of)]) > 1, np.diff(np.r_[bounds, len(of)])))
+        of, run = anchor[pick], key[pick]
+        several = among_several(of)
+        if len(several):
+            sent = np.concatenate([c[1] for c in contents])
+            bytes_sent = np.concatenate([c[4] for c in contents]).astype(np.int64)
+            data = np.concatenate([c[5] for c in contents])
+            by = np.argsort(sent, kind="stable")
+            begin = (np.cumsum(bytes_sent) - bytes_sent)[by[np.searchsorted(sent[by], run[several])]]
         done = 0
         while done < len(several):
             reach = np.cumsum(counts[several[done:]])
@@ -88,9 +96,7 @@ def find(docs: DataFrame, length: int = 50, k: int = 16, key: str = "doc_id", te
                 until += 1
             now = several[done:until]
             windows = spread(first[now], counts[now])
-            value[windows] = earliest(
-                data, spread(begin[pick[now]], counts[now]), length, value[windows], np.repeat(of[now], counts[now])
-            )
+            value[windows] = earliest(data, spread(begin[done:until], counts[now]), length, value[windows], np.repeat(of[now], counts[now]))
             done = until
         place = np.empty(len(anchor), dtype=np.int64)
         place[order] = np.repeat(np.arange(len(at)), np.diff(np.r_[at, len(order)]))
@@ -132,4 +138,4 @@ def find(docs: DataFrame, length: int = 50, k: int = 16, key: str = "doc_id", te
         )
 
     prepare(docs.sparkSession)
-    return mark_windows(keyed(docs, key, text), read, length, k, collect, resolve, apply, SCHEMA, distinct_texts=True)
+    return mark_windows(keyed(docs, key, text), read, length, k, collect, resolve, apply, SCHEMA, distinct_texts=True, content=content)
