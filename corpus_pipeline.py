@@ -21,15 +21,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """Documents whose id is not among the rejected ones (column ``id``)."""
-    return docs.join(rejected, F.col("doc_id").cast("bigint") == F.col("id"), "left_anti")
-
-
-def with_text(docs: DataFrame, changed: DataFrame) -> DataFrame:
-    """Documents with the changed texts (``id``, ``rest``) put in."""
-    joined = docs.join(changed, F.col("doc_id").cast("bigint") == F.col("id"), "left")
-    text = F.when(F.col("id").isNull(), F.col("text")).otherwise(F.col("rest"))
-    new: dict[str, Column] = {"text": text, "n_chars": F.length(text).cast("bigint")}
-    return joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+    return docs.join(rejected, docs["doc_id"].cast("bigint") == rejected["id"], "left_anti")
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,12 +39,12 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 50 bytes or more that a document with a smaller id has are cut out; characters cut in part go whole, and
     documents of which nothing is left go."""
-    found = suffix_dedup.find(docs).where("n_removed > 0 and doc_id is not null")
-    text = F.regexp_replace(F.decode("kept", "UTF-8"), "�", "")
-    changed = found.select(F.col("doc_id").alias("id"), F.when(F.col("n_removed") < F.col("n_bytes"), text).otherwise(F.lit("")).alias("rest"))
-    spans = with_text(docs, changed.withColumn("rest", F.coalesce("rest", F.lit(""))))
-    gone = changed.where("rest = ''").select("id")
-    return without(spans, gone)
+    found = suffix_dedup.find(docs, characters=True).where("n_removed > 0 and doc_id is not null")
+    changed = found.select(F.col("doc_id").alias("id"), F.col("kept").cast("string").alias("rest"), (F.col("n_removed") == F.col("n_bytes")).alias("gone"))
+    joined = docs.join(changed, docs["doc_id"].cast("bigint") == changed["id"], "left").where(changed["gone"].isNull() | ~changed["gone"])
+    text = F.when(changed["id"].isNull(), docs["text"]).otherwise(changed["rest"])
+    new: dict[str, Column] = {"text": text, "n_chars": F.length(text).cast("bigint")}
+    return joined.select(*[new[c].alias(c) if c in new else docs[c] for c in docs.columns])
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,8 +57,8 @@ def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents with their token ids; the text is what the ids decode to."""
     path = tokenizer_path()
     coded = bpe.decode(bpe.encode(docs, path), path).select(F.col("doc_id").alias("id"), "n_tokens", "ids", "decoded")
-    joined = docs.drop("text").join(coded, F.col("doc_id").cast("bigint").eqNullSafe(F.col("id")))
-    return joined.select(*[F.col("decoded").alias(c) if c == "text" else F.col(c) for c in docs.columns], "n_tokens", "ids")
+    joined = docs.join(coded, docs["doc_id"].cast("bigint").eqNullSafe(coded["id"]))
+    return joined.select(*[coded["decoded"].alias(c) if c == "text" else docs[c] for c in docs.columns], coded["n_tokens"], coded["ids"])
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -56,8 +56,19 @@ def earliest(data: np.ndarray, start: np.ndarray, length: int, doc: np.ndarray,
     return out
 
 
-def find(docs: DataFrame, length: int = 50, k: int = 16, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, byte spans removed, and the bytes kept."""
+def whole_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """The bytes of all characters that have one of the bytes ``gone``."""
+    first = (data & 0xC0) != 0x80
+    first[:1] = True
+    begins = np.flatnonzero(first)
+    if not gone.any() or len(begins) == len(data):
+        return gone
+    return np.repeat(np.logical_or.reduceat(gone, begins), np.diff(np.r_[begins, len(data)]))
+
+
+def find(docs: DataFrame, length: int = 50, k: int = 16, key: str = "doc_id", text: str = "text", characters: bool = False) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, byte spans removed, and the bytes kept. With ``characters``, a character of
+    which a byte is to go goes whole, so what is kept is text."""
 
     def collect(table: pa.Table, part: Part, chosen: np.ndarray) -> Sent:
         runs = part.runs
@@ -120,6 +131,8 @@ def find(docs: DataFrame, length: int = 50, k: int = 16, key: str = "doc_id", te
             here = slice(p.first, p.first + len(p.offsets) - 1)
             start, doc, value = window_values(known, p.runs)
             gone = covered(len(piece), start[value < ids[p.first + doc]], length)
+            if characters:
+                gone = whole_characters(piece, gone)
             total[here] = np.diff(p.offsets)
             removed[here] = np.diff(np.r_[0, np.cumsum(gone)][p.offsets])
             left = (total[here] - removed[here]).cumsum()
