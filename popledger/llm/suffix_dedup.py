@@ -20,10 +20,10 @@ from pyspark.sql import DataFrame
 
 from popledger.llm.common import keyed, prepare
 from popledger.llm.repeats import PART, Part, Sent, among_several, answer, covered, first_places, mark_windows, window_values
-from popledger.llm.sequences import BYTE_VALUES, packed, parts, runs_of, spread
+from popledger.llm.sequences import BYTE_VALUES, mix, packed, parts, runs_of, spread
 
 SCHEMA = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, span_start array<bigint>, span_end array<bigint>, kept binary"
-#: Suffixes put in order at once; one anchor's suffixes always stay together.
+#: Suffixes put in order at once. If an anchor has more, they go in several turns; equal ones meet in the same turn.
 ORDERED = 1 << 15
 
 
@@ -34,12 +34,31 @@ def read(table: pa.Table):
         yield i, BYTE_VALUES[piece], at, (piece,)
 
 
+def columns_of(data: np.ndarray, start: np.ndarray, length: int) -> np.ndarray:
+    """The first ``length`` bytes of each suffix as numbers that compare alike, eight bytes each."""
+    block = np.zeros((len(start), -(-length // 8) * 8), dtype=np.uint8)
+    block[:, :length] = np.lib.stride_tricks.sliding_window_view(data, length)[start]
+    return block.view(">u8").astype(np.uint64)
+
+
+def turns_of(data: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes by turn, about ``ORDERED`` each, and where each turn begins; the turn follows from the bytes."""
+    if len(start) <= ORDERED:
+        return np.arange(len(start)), np.array([0, len(start)])
+    turns = -(-len(start) // ORDERED)
+    turn = np.empty(len(start), dtype=np.int32)
+    for i in range(0, len(start), ORDERED):
+        h = np.zeros(len(start[i : i + ORDERED]), dtype=np.uint64)
+        for column in columns_of(data, start[i : i + ORDERED], length).T:
+            h = mix(h ^ column)
+        turn[i : i + ORDERED] = h % np.uint64(turns)
+    order = np.argsort(turn, kind="stable")
+    return order, np.searchsorted(turn[order], np.arange(turns + 1))
+
+
 def suffix_order(data: np.ndarray, start: np.ndarray, length: int, doc: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes of ``length`` bytes in order (group, bytes, doc), and whether each shares all of them with the one above."""
-    wide = -(-length // 8) * 8
-    block = np.zeros((len(start), wide), dtype=np.uint8)
-    block[:, :length] = np.lib.stride_tricks.sliding_window_view(data, length)[start]
-    columns = block.view(">u8").astype(np.uint64)
+    columns = columns_of(data, start, length)
     order = np.lexsort([doc, *columns.T[::-1], group])
     columns, group = columns[order], group[order]
     same = np.zeros(len(order), dtype=bool)
@@ -49,10 +68,14 @@ def suffix_order(data: np.ndarray, start: np.ndarray, length: int, doc: np.ndarr
 
 def earliest(data: np.ndarray, start: np.ndarray, length: int, doc: np.ndarray, group: np.ndarray) -> np.ndarray:
     """For each suffix the smallest text among all suffixes of its group with the same first ``length`` bytes."""
-    order, same = suffix_order(data, start, length, doc, group)
     out = np.empty(len(start), dtype=np.int64)
-    first = np.flatnonzero(~same)
-    out[order] = np.repeat(doc[order][first], np.diff(np.r_[first, len(order)]))
+    by, cut = turns_of(data, start, length)
+    for i, j in zip(cut, cut[1:]):
+        now = by[i:j]
+        if len(now):
+            order, same = suffix_order(data, start[now], length, doc[now], group[now])
+            first = np.flatnonzero(~same)
+            out[now[order]] = np.repeat(doc[now[order]][first], np.diff(np.r_[first, len(order)]))
     return out
 
 
