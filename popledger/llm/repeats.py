@@ -130,8 +130,8 @@ _ANSWER = [("gid", pa.int32()), ("bucket", pa.int32()), ("answer", pa.binary())]
 
 
 def by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the keys by bucket, and where each bucket begins in it."""
-    bucket = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    """Order of the keys by bucket, and where each bucket begins in it. Anchors are least hashes, so they are mixed again to spread."""
+    bucket = ((mix(keys) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
 
