@@ -2,7 +2,7 @@
 
 Training labels are on documents, so labelled tokens are derived first: words and word beginnings that occur in many more toxic than
 clean documents of the sample form a lexicon with log odds, and in toxic documents the tokens that the lexicon is sure of are labelled.
-Copies of a toxic document would make all its words look toxic, so an occurrence counts once per word before it: copies share that.
+Copies of a toxic document would make all its words look toxic, so a lexicon word counts at most once per word before it: copies share that.
 A two-state chain is then fitted on these token sequences by gradient ascent of the conditional likelihood; its features are the
 lexicon class of a token and of both neighbours, and its length. Scoring runs forward-backward over whole texts; the marginals of the toxic
 state give offending spans, and their noisy-or gives the document's score.
@@ -173,32 +173,49 @@ class Model:
 
 
 def counts_of(sample: DataFrame, wanted: np.ndarray | None, least: int) -> dict[int, int]:
-    """Number of documents with each word or beginning, but at most the number of different words before it; of those with at
-    least ``least`` (or of the ``wanted`` ones)."""
+    """Number of documents with each word or beginning, of those in at least ``least`` (or of the ``wanted`` ones)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, _, _, _, word_at, hashes in tokens(batch.column(1)):
                 doc = np.repeat(np.arange(j - i), np.diff(word_at))
-                before = np.r_[np.uint64(0), hashes[0][:-1]][: len(doc)]
-                before[word_at[:-1][np.diff(word_at) > 0]] = 0
-                every, owner, before = np.concatenate(hashes), np.tile(doc, len(hashes)), np.tile(before, len(hashes))
+                every, owner = np.concatenate(hashes), np.tile(doc, len(hashes))
                 keep = every != 0
                 if wanted is not None:
                     keep &= np.isin(every, wanted)
-                rows = np.unique(np.stack([every[keep].astype(np.int64), before[keep].astype(np.int64), owner[keep]], axis=1), axis=0)
-                new = np.ones(len(rows), dtype=bool)  # a document counts at its first row of a key
-                order = np.lexsort([rows[:, 1], rows[:, 2], rows[:, 0]])
-                rows = rows[order]
-                new[1:] = (rows[1:, 0] != rows[:-1, 0]) | (rows[1:, 2] != rows[:-1, 2])
-                yield pa.record_batch([pa.array(rows[:, 0]), pa.array(rows[:, 1]), pa.array(new.astype(np.int64))], names=["key", "before", "n"])
-
-    found = sample.select("doc_id", "text").mapInArrow(run, "key bigint, before bigint, n bigint")
-    found = found.groupBy("key", "before").agg(F.sum("n").alias("n")).groupBy("key").agg(F.least(F.sum("n"), F.count(F.lit(1))).alias("n"))
-    found = found.where(F.col("n") >= least).toArrow()
+                pairs = np.unique(np.stack([every[keep].astype(np.int64), owner[keep]], axis=1), axis=0)
+                key, n = np.unique(pairs[:, 0], return_counts=True)
+                yield pa.record_batch([pa.array(key), pa.array(n)], names=["key", "n"])
+
+    found = sample.select("doc_id", "text").mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toArrow()
+    return dict(zip(found.column("key").to_pylist(), found.column("n").to_pylist()))
+
+
+def contexts_of(sample: DataFrame, wanted: np.ndarray) -> dict[int, int]:
+    """Number of different words that stand before each of the ``wanted`` words or beginnings."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, _, _, _, word_at, hashes in tokens(batch.column(1)):
+                before = np.r_[np.uint64(0), hashes[0][:-1]][: len(hashes[0])]
+                before[word_at[:-1][np.diff(word_at) > 0]] = 0
+                every, before = np.concatenate(hashes), np.tile(before, len(hashes))
+                keep = np.isin(every, wanted)
+                pairs = np.unique(np.stack([every[keep], before[keep]], axis=1).astype(np.int64), axis=0)
+                yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["key", "before"])
+
+    found = sample.select("doc_id", "text").mapInArrow(run, "key bigint, before bigint").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("n")).toArrow()
     return dict(zip(found.column("key").to_pylist(), found.column("n").to_pylist()))
 
 
+def preferred(n_toxic: np.ndarray, n_clean: np.ndarray, all_toxic: int, all_clean: int) -> tuple[np.ndarray, np.ndarray]:
+    """Log odds of words for toxic documents, and which of them are large and no accident."""
+    odds = np.log((n_toxic + 0.5) / (all_toxic + 1)) - np.log((n_clean + 0.5) / (all_clean + 1))
+    both, base = n_toxic + n_clean, all_toxic / (all_clean + all_toxic)
+    ratio = 2 * (n_toxic * np.log(n_toxic / (both * base)) + n_clean * np.log(np.maximum(n_clean, 1) / (both * (1 - base))))
+    return odds, (odds >= CLASS_BOUNDS[0]) & (ratio >= EVIDENCE)
+
+
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, chain_rows: int = 800, label: str = "toxic") -> Model:
     """Lexicon and chain from at most about ``fit_rows`` labelled documents that are not held out."""
     prepare(docs.sparkSession)
@@ -211,12 +228,14 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, chain_rows:
     often = counts_of(toxic, None, least)
     keys = np.sort(np.array(list(often), dtype=np.int64).astype(np.uint64))
     rare = counts_of(clean, keys, 1)
-    n_toxic = np.array([often[int(k)] for k in keys.astype(np.int64)], dtype=float)
-    n_clean = np.array([rare.get(int(k), 0) for k in keys.astype(np.int64)], dtype=float)
-    odds = np.log((n_toxic + 0.5) / (sizes[1] + 1)) - np.log((n_clean + 0.5) / (sizes[0] + 1))
-    both, base = n_toxic + n_clean, sizes[1] / (sizes[0] + sizes[1])
-    ratio = 2 * (n_toxic * np.log(n_toxic / (both * base)) + n_clean * np.log(np.maximum(n_clean, 1) / (both * (1 - base))))
-    kept = (odds >= CLASS_BOUNDS[0]) & (ratio >= EVIDENCE)
+    def numbers(counts: dict[int, int]) -> np.ndarray:
+        return np.array([counts.get(int(k), 0) for k in keys.astype(np.int64)], dtype=float)
+
+    n_toxic, n_clean = numbers(often), numbers(rare)
+    kept = preferred(n_toxic, n_clean, sizes[1], sizes[0])[1]
+    keys, n_toxic, n_clean = keys[kept], n_toxic[kept], n_clean[kept]
+    n_toxic, n_clean = np.minimum(n_toxic, numbers(contexts_of(toxic, keys))), np.minimum(n_clean, numbers(contexts_of(clean, keys)))
+    odds, kept = preferred(n_toxic, n_clean, sizes[1], sizes[0])
     lexicon = Lexicon(keys[kept], odds[kept])
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
 
