@@ -234,8 +234,10 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, chain_rows:
     n_toxic, n_clean = numbers(often), numbers(rare)
     kept = preferred(n_toxic, n_clean, sizes[1], sizes[0])[1]
     keys, n_toxic, n_clean = keys[kept], n_toxic[kept], n_clean[kept]
-    n_toxic, n_clean = np.minimum(n_toxic, numbers(contexts_of(toxic, keys))), np.minimum(n_clean, numbers(contexts_of(clean, keys)))
-    odds, kept = preferred(n_toxic, n_clean, sizes[1], sizes[0])
+    odds = preferred(n_toxic, n_clean, sizes[1], sizes[0])[0]
+    capped = preferred(np.minimum(n_toxic, numbers(contexts_of(toxic, keys))), np.minimum(n_clean, numbers(contexts_of(clean, keys))), sizes[1], sizes[0])
+    # where no word stands in enough contexts, the plain counts decide
+    odds, kept = capped if capped[1].any() else (odds, np.ones(len(keys), dtype=bool))
     lexicon = Lexicon(keys[kept], odds[kept])
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
 
