@@ -7,7 +7,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from popledger.llm import bpe, decontaminate, license_scan, ngram_join, quality, substring_dedup, suffix_dedup, tokenfiles, topk_search, toxicity
+from popledger.llm import (
+    bpe, clustering, decontaminate, lexical_search, license_scan, ngram_join, quality, substring_dedup, suffix_dedup, tokenfiles, topk_search, toxicity,
+    url_rules,
+)
 from popledger.llm.common import shared_folder, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +107,134 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/tokens-{uuid.uuid4().hex[:12]}"
     manifest = stored(tokenfiles.write(table(spark, sf_dir, "documents"), folder, tokenizer_path()), "token-manifest")
     return tokenfiles.read(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op11_ranked_search"] = r"""
+with t as (
+    select k, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from (select row_number() over () as k, doc_id, text from documents)
+), d as (select k, any_value(doc_id) as doc_id, count(*) as n from t group by k
+), a as (select count(*) as docs, cast(sum(n) as bigint) as terms from d
+), tf as (select k, term, count(*) as tf from t group by k, term
+), w as (select term, cast(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) as bigint) as w from tf, a group by term, docs
+), m as (select k, doc_id, 25 + (75 * n * docs) // terms as m from d, a
+), i as (
+    select j, item_id, term, count(*) as times from (
+        select j, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+        from (select row_number() over () as j, item_id, text from benchmark)
+    ) group by j, item_id, term
+), s as (
+    select j, item_id, k, doc_id, cast(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) as bigint) as score
+    from i join tf using (term) join w using (term) join m using (k) group by j, item_id, k, doc_id
+), r as (
+    select item_id, cast(row_number() over (partition by j order by score desc, doc_id) as integer) as rank, doc_id, score from s where score > 0
+)
+select item_id, rank, doc_id, score from r where rank <= 10
+"""
+
+#: Explicit rules of the contract: verdict, host, path.
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+def labelled_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pages of labelled documents, blocked if the document is toxic or of low quality. A page shows the document whose number
+    ends its path."""
+    number = F.regexp_extract(url_rules.url_parts(F.col("url"))["path"], r"/([0-9]{1,18})(\.html)?/?$", 1)
+    marked = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("blocked"))
+    return pages.select("url", number.try_cast("bigint").alias("doc_id")).join(marked, "doc_id").select("url", "blocked")
+
+
+@query
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    rules = url_rules.mine(labelled_urls(pages, table(spark, sf_dir, "labels")))
+    return url_rules.judge(pages, rules, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLES["op12_url_filter"] = r"""
+with c as (
+    select page_id, url, coalesce(case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) end, '') as rest from pages
+), p as (
+    select page_id, url, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path,
+        translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+        [regexp_extract(rest, '^([^/?#]*)', 1), regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), regexp_extract(rest, '^[^?#]*\?([^#]*)', 1),
+            regexp_extract(rest, '^[^#]*#((?s:.*))', 1)] as texts
+    from c
+), w as materialized (
+    select page_id, url, host, path, list_distinct(flatten(list_transform(texts, lambda x, i: list_transform(list_filter(
+        regexp_split_to_array(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+        lambda y: y <> '' and not regexp_full_match(y, '[0-9]+')), lambda y: ['h:', 'p:', 'q:', 'f:'][i] || y)))) as words
+    from p
+), m as (
+    select doc_id, max(toxic = 1 or quality = 0) as blocked from labels where doc_id is not null group by doc_id
+), l as materialized (
+    select row_number() over () as k, words, blocked
+    from w join m on m.doc_id = try_cast(regexp_extract(path, '/([0-9]{1,18})(\.html)?/?$', 1) as bigint) where blocked is not null
+), a as (select count(*) as n, count(*) filter (blocked) as bad from l
+), o as (select k, unnest(words) as word, blocked from l
+), v as (
+    select word, row_number() over (order by abs(count(*) filter (blocked) * any_value(n) - count(*) * any_value(bad)) desc, word) as place
+    from o, a group by word having count(*) >= ceil(0.005 * any_value(n)) qualify place <= 256
+), i as (select k, blocked, list(word order by place)[1:8] as items from o join v using (word) group by k, blocked
+), s as (
+    select list_sort(list_filter(items, lambda x, j: (bits >> (j - 1)) & 1 = 1)) as rule, blocked
+    from (select items, blocked, unnest(range(1, cast(2 ** len(items) as bigint))) as bits from i)
+), f as (select rule, cast(count(*) as double) as n, cast(count(*) filter (blocked) as double) as b from s group by rule
+), r as (
+    select rule from f where b >= (select ceil(0.005 * n) from a)
+        and (b / n + 16.0 / n / 2 - 4.0 * sqrt((b / n * (1 - b / n) + 16.0 / n / 4) / n)) / (1 + 16.0 / n) >= 0.5
+), e as (
+    select *, case
+        when (host = 'example.net' or ends_with(host, '.example.net')) and starts_with(path, '/en/') then 'example.net/en/'
+        when (host = 'example.com' or ends_with(host, '.example.com')) and starts_with(path, '/de/') then 'example.com/de/'
+        when (host = 'org' or ends_with(host, '.org')) and starts_with(path, '/fr/') then 'org/fr/'
+        when (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/') then 'net/' end as rule from w
+)
+select page_id, host, path, e.rule, case when e.rule in ('example.net/en/', 'org/fr/') then 'allow' when e.rule is not null then 'block'
+    when exists (select 1 from r where list_has_all(words, r.rule)) then 'block' else 'allow' end as verdict
+from e
+"""
+
+
+@query
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = clustering.cluster(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def clustering_sql(k: int, rounds: int) -> str:
+    """Rounds of assignment and exact means, written out."""
+    steps = [
+        """v as materialized (
+    select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as e from embeddings
+    where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+)""",
+        """x as materialized (select vec_id, unnest(e) as x, unnest(range(64)) as i from v)""",
+        f"""h as (select vec_id, cast(row_number() over (order by sha256('1:' || vec_id)) - 1 as integer) as c from v qualify c < {k})""",
+        """c0 as materialized (select h.c, x.i, x.x from h join x using (vec_id))""",
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"""d{r} as materialized (
+    select vec_id, c, sum((x.x - c{r}.x) * (x.x - c{r}.x)) as d from x join c{r} using (i) group by vec_id, c
+)""")
+        steps.append(f"a{r} as materialized (select vec_id, c, d from d{r} qualify row_number() over (partition by vec_id order by d, c) = 1)")
+        if r < rounds:
+            steps.append(f"""c{r + 1} as materialized (
+    select c, i, coalesce(cast(s // n - case when s % n < 0 then 1 else 0 end as bigint), c{r}.x) as x
+    from c{r} left join (select c, i, cast(sum(x) as bigint) as s, count(*) as n from a{r} join x using (vec_id) group by c, i) using (c, i)
+)""")
+    return "with " + ",\n".join(steps) + f"""
+select vec_id, a{rounds}.c as cluster, cast(d as bigint) as distance, cast(sum(d) over (partition by a{rounds}.c) as bigint) as cluster_inertia,
+    cast(sum(d) over () as bigint) as inertia, z as centroid_sha256
+from a{rounds} join (select c, sha256(string_agg(x, ',' order by i)) as z from c{rounds} group by c) as f on f.c = a{rounds}.c
+"""
+
+
+ORACLES["op13_centroid_clustering"] = clustering_sql(16, 3)
