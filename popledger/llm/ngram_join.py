@@ -2,10 +2,14 @@
 
 1. *Sets.* Each text becomes its sorted array of 64-bit n-gram hashes; equal sets are one node (a digest of the set), so copies cost nothing.
 2. *Families.* Nodes that could link share a slice: sets are cut by hash value into more slices than two linked sets of
-   that size can differ in elements, so at least one slice is equal. The number of slices is set per size class, and sets at the lower edge of a
-   class also join the class below. Tasks hang equal slices together among themselves first, so a slice that
-   very many nodes share costs one row per task. Connected by slices, nodes form families; no link leaves a family.
-   Slices without elements say nothing: there are spare slices for them, and a set with more of them than spares uses them too.
+   that size can differ in elements. The number of slices is set per size class, and sets at the lower edge of a
+   class also join the class below. If at most d slices of a set can differ, it shares one of its d + 1 rarest slices with any
+   set it links to, whatever order of rarity all sets use. Tasks meet the slices in buckets and count them; a slice that stands once
+   connects nothing, so a set with d + 1 slices of its own joins no family, however many common passages it has, and of the others
+   only the rarest are used. Slices that very many sets have are counted beforehand (a list of bounded size); they come last in
+   the order, and where a set needs one all the same, its task hangs the sets of the slice together and sends one row.
+   Connected by such slices, nodes form families; no link leaves a family.
+   Slices without elements say nothing: a set with too few others uses them too, and all its slices then.
 3. *Size-banded tiles.* A family's nodes are dealt to size bands and blocks of at most ``BLOCK`` nodes; only tiles of bands whose
    sizes can link are compared. In a tile every set has a bitmap of its hashes, one bit flipped per element: bits in which two bitmaps differ
    are elements in which the sets differ, so the bit count bounds the overlap from above. Pairs that pass, and that are not connected yet
@@ -14,7 +18,9 @@
 
 Defined results: words are lower-cased (A-Z) and separated by white space; with fewer words than ``n`` the whole sequence is the only n-gram;
 a null or empty text, or one without words, has an empty set and stands alone; equal texts have equal sets; repeated rows with one id
-count as that document. Other columns are not read. An empty table gives no rows. N-grams count as equal when their 64-bit hashes are.
+count as that document, rows with one id and different texts are compared apart and are one document of the component; rows without an id
+belong to the component of an equal set with an id, else to none (null). Other columns are not read. An empty table gives no rows.
+N-grams count as equal when their 64-bit hashes are. Links are found as far as they connect: a pair that others connect is not tested.
 """
 
 from __future__ import annotations
@@ -25,7 +31,7 @@ from math import ceil, exp, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from popledger.llm.common import keyed, prepare, stored, text_bytes
 from popledger.llm.components import attach, components
@@ -37,6 +43,9 @@ BLOCK = 128
 #: Slices that a task holds before it sends them.
 HELD = 1 << 20
 BUCKET_BYTES = 8 << 20
+#: Slices that stand this often are common; at most one in MOST_COMMON of all slices, so the list stays below 32 MB.
+COMMON = 64
+MOST_COMMON = 1 << 22
 #: Families of up to BLOCK nodes share tasks of about this many nodes.
 BATCH_NODES = 1000
 
@@ -58,21 +67,25 @@ def class_of(n: int, percent: int) -> int:
     return int(np.searchsorted(size_classes(percent), n, side="right")) - 1
 
 
+def differing(n: int, percent: int) -> int:
+    """Most elements in which a set of ``n`` and one it links to can differ."""
+    # 100 * |A & B| >= percent * |A | B|  is  |A ^ B| <= (|A| + |B|) * (100 - percent) / (100 + percent)
+    return (n + n * 100 // percent) * (100 - percent) // (100 + percent)
+
+
 @lru_cache(maxsize=None)
-def slices_of(i: int, percent: int) -> tuple[int, int]:
-    """Number of slices in a size class, and how many of them may be empty before empty slices are used."""
+def slices_of(i: int, percent: int) -> int:
+    """Number of slices in a size class: more than can differ, with room for empty ones and for those that many sets share."""
     bounds = size_classes(percent)
-    top = bounds[i + 1] - 1
-    # 100 * |A & B| >= percent * |A | B|  is  |A ^ B| <= (|A| + |B|) * (100 - percent) / (100 + percent)
-    differ = (top + top * 100 // percent) * (100 - percent) // (100 + percent)
+    differ = differing(bounds[i + 1] - 1, percent)
     spare = 0
-    while True:
+    while differ:
         m = differ + 1 + spare
         empty = m * exp(-bounds[i] / m)
-        need = ceil(empty + 2 * sqrt(empty)) if differ else 0
-        if need <= spare or spare > differ:
-            return m, spare
+        if ceil(empty + 2 * sqrt(empty)) <= spare or spare > differ:
+            break
         spare += 1
+    return max(differ + 1 + spare, differ * 8 // 5 + 1) if differ else 1
 
 
 def sets_of(column, n: int) -> Iterator[np.ndarray]:
@@ -104,8 +117,9 @@ def digest(hashes: np.ndarray) -> int:
     return int(mix(np.array([total], dtype=np.uint64)).astype(np.int64)[0]) or 1
 
 
-def slice_keys(hashes: np.ndarray, percent: int) -> np.ndarray:
-    """Keys of a set's slices, in its size class and, at the lower edge, in the class below."""
+def slices(hashes: np.ndarray, percent: int) -> list[tuple[np.ndarray, int]]:
+    """Keys of a set's slices, in its size class and, at the lower edge, in the class below, each with the number of its most common
+    keys that it can do without. The keys' last bit tells the two classes apart."""
     n, out = len(hashes), []
     bounds = size_classes(percent)
     own = class_of(n, percent)
@@ -114,15 +128,17 @@ def slice_keys(hashes: np.ndarray, percent: int) -> np.ndarray:
     for i in (own, own - 1):
         if i < 0 or i < own and n * percent > 100 * (bounds[own] - 1):
             continue
-        m, spare = slices_of(i, percent)
+        m = slices_of(i, percent)
         if m == 1:
             continue  # sets of this size link only if they are equal
         of = (hashes >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)
         cut = np.searchsorted(of, np.arange(m + 1, dtype=np.uint64))
         keys = mix((sums[cut[1:]] - sums[cut[:-1]]) ^ mix(np.arange(m, dtype=np.uint64) + np.uint64((i + 1) << 40)))
+        keys = keys & ~np.uint64(1) | np.uint64(i & 1)
         full = cut[1:] > cut[:-1]
-        out.append(keys[full] if m - full.sum() <= spare else keys)
-    return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
+        spare = int(full.sum()) - differing(n, percent) - 1
+        out.append((keys[full], spare) if spare >= 0 else (keys, 0))
+    return out
 
 
 def sets_table(docs: DataFrame, n: int) -> DataFrame:
@@ -149,49 +165,119 @@ def stars(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return keys[first], nodes[first], pairs[:, 0], pairs[:, 1]
 
 
+def common_slices(docs: DataFrame, n: int, percent: int) -> np.ndarray:
+    """Keys of the slices that many sets have, the rarest first: those that tasks see more than once, counted, from COMMON
+    and from one in MOST_COMMON of all slices on. So there are MOST_COMMON at most."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = 0
+        for keys, _, _ in held_slices(batches, n, percent):
+            total += len(keys)
+            own, times = np.unique(keys, return_counts=True)
+            again = times > 1
+            yield pa.record_batch([pa.array(own[again].astype(np.int64)), pa.array(times[again].astype(np.int64)), pa.array(np.zeros(int(again.sum()), bool))], names=["key", "n", "all"])
+        yield pa.record_batch([pa.array([0], pa.int64()), pa.array([total], pa.int64()), pa.array([True])], names=["key", "n", "all"])
+
+    counted = stored(docs.mapInArrow(count, "key bigint, n bigint, all boolean").groupBy("all", "key").agg(F.sum("n").alias("n")), "slice-counts")
+    total = counted.where("all").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    found = counted.where(~F.col("all") & (F.col("n") >= max(COMMON, -(-total // MOST_COMMON)))).select("key", "n").toArrow()
+    key, times = found.column("key").to_numpy().astype(np.uint64), found.column("n").to_numpy()
+    return key[np.lexsort([key, times])]
+
+
+def held_slices(batches: Iterator[pa.RecordBatch], n: int, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Keys, nodes and spare keys of the distinct sets of a task, about HELD keys at a time."""
+    keys, nodes, spares, held, seen = [], [], [], 0, set()
+    for batch in batches:
+        for s in sets_of(batch.column(1), n):
+            node = digest(s)
+            if not len(s) or node in seen:
+                continue
+            seen.add(node)
+            for own, spare in slices(s, percent):
+                keys.append(own)
+                nodes.append(np.full(len(own), node, dtype=np.int64))
+                spares.append(np.full(len(own), spare, dtype=np.int64))
+                held += len(own)
+            if held >= HELD:
+                yield np.concatenate(keys), np.concatenate(nodes), np.concatenate(spares)
+                keys, nodes, spares, held, seen = [], [], [], 0, set()
+    if held:
+        yield np.concatenate(keys), np.concatenate(nodes), np.concatenate(spares)
+
+
 def family_edges(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of nodes that share a slice, enough to connect all that do."""
+    """Pairs (a, b) of nodes that share a slice which could link them, enough to connect all that do."""
     buckets = int(48 + text_bytes(docs) // BUCKET_BYTES)
-
-    def send(keys: list[np.ndarray], nodes: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        key, node, a, b = stars(np.concatenate(keys), np.concatenate(nodes))
-        order, cut = by_bucket(key, buckets)
-        packs = [(i, blob(key[o], node[o])) for i in range(buckets) if len(o := order[cut[i] : cut[i + 1]])]
-        packs += [(i % buckets, blob(np.zeros(0, np.uint64), a[i::64], b[i::64])) for i in range(64) if len(a[i::64])]
-        yield pa.record_batch([pa.array([p[0] for p in packs], pa.int32()), pa.array([p[1] for p in packs], pa.binary())], names=["bucket", "pack"])
+    common = common_slices(docs, n, percent)
+    place = np.argsort(common)
+    shared = docs.sparkSession.sparkContext.broadcast((common[place], place))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, nodes, held, seen = [], [], 0, set()
-        for batch in batches:
-            for s in sets_of(batch.column(1), n):
-                node = digest(s)
-                if not len(s) or node in seen:
-                    continue
-                seen.add(node)
-                own = slice_keys(s, percent)
-                keys.append(own)
-                nodes.append(np.full(len(own), node, dtype=np.int64))
-                held += len(own)
-                if held >= HELD:
-                    yield from send(keys, nodes)
-                    keys, nodes, held, seen = [], [], 0, set()
-        if held:
-            yield from send(keys, nodes)
+        known, rank = shared.value
+        for keys, nodes, spares in held_slices(batches, n, percent):
+            at = np.minimum(np.searchsorted(known, keys), max(0, len(known) - 1))
+            often = known[at] == keys if len(known) else np.zeros(len(keys), bool)
+            # the common slices of a set in one class, the most common last; its spare ones go, the others are needed
+            k, v, spare, order = keys[often], nodes[often], spares[often], rank[at[often]] if len(known) else at[often]
+            own = np.lexsort([-order, k & np.uint64(1), v])
+            k, v, spare = k[own], v[own], spare[own]
+            new = np.ones(len(k), dtype=bool)
+            new[1:] = (v[1:] != v[:-1]) | ((k[1:] ^ k[:-1]) & np.uint64(1) != 0)
+            first = np.flatnonzero(new)
+            number = np.arange(len(k)) - np.repeat(first, np.diff(np.r_[first, len(k)]))
+            hot, hot_node, a, b = stars(k[number >= spare], v[number >= spare])
+            # what is left to spare, a row for each set and class
+            order = np.lexsort([keys & np.uint64(1), nodes])
+            new = np.ones(len(order), dtype=bool)
+            new[1:] = (nodes[order][1:] != nodes[order][:-1]) | ((keys[order][1:] ^ keys[order][:-1]) & np.uint64(1) != 0)
+            first = np.flatnonzero(new)
+            left = spares[order][first] - np.add.reduceat(often[order].astype(np.int64), first)
+            of = (nodes[order][first], (keys[order][first] & np.uint64(1)).astype(np.int64), np.maximum(left, 0))
+            of = tuple(x[of[2] > 0] for x in of)
+            keys, nodes = keys[~often], nodes[~often]
+            order, at = by_bucket(keys, buckets)
+            hot_order, hot_at = by_bucket(hot, buckets)
+            packs = []
+            for i in range(buckets):
+                o, h = order[at[i] : at[i + 1]], hot_order[hot_at[i] : hot_at[i + 1]]
+                part = [x[i::buckets] for x in (a, b, *of)]
+                if len(o) or len(h) or any(map(len, part)):
+                    packs.append((i, blob(keys[o], nodes[o], hot[h], hot_node[h], *part)))
+            yield pa.record_batch([pa.array([p[0] for p in packs], pa.int32()), pa.array([p[1] for p in packs], pa.binary())], names=["bucket", "pack"])
 
     def meet(key, table):
-        keys, nodes, a, b = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for x in table.column("pack"):
-            found = unblob(x.as_py())
-            if len(found) == 2:
-                keys.append(found[0])
-                nodes.append(found[1])
-            else:
-                a.append(found[1])
-                b.append(found[2])
-        _, _, left, right = stars(np.concatenate(keys), np.concatenate(nodes))
-        return pa.table([pa.array(np.concatenate([*a, left])), pa.array(np.concatenate([*b, right]))], names=["a", "b"])
-
-    return docs.mapInArrow(cut, "bucket int, pack binary").groupBy("bucket").applyInArrow(meet, "a bigint, b bigint")
+        keys, nodes, hot, hot_node, a, b, *of = map(np.concatenate, zip(*(unblob(x.as_py()) for x in table.column("pack"))))
+        _, _, left, right = stars(hot, hot_node)
+        order = np.lexsort([nodes, keys])
+        keys, nodes = keys[order], nodes[order]
+        new = np.ones(len(keys), dtype=bool)
+        new[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
+        keys, nodes = keys[new], nodes[new]
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+        times = np.diff(np.r_[first, len(keys)])
+        times = np.repeat(times, times)
+        again = times > 1
+        keys, nodes, times = keys[again], nodes[again], times[again]
+        # kind 0: a pair of nodes; 1: a slice of a node and how often it stands; 2: the keys a node can spare in a class
+        kinds = np.repeat(np.array([0, 0, 1, 2], np.int8), [len(a), len(left), len(keys), len(of[0])])
+        none = np.zeros(len(a) + len(left), np.int64)
+        columns = {
+            "kind": kinds, "node": np.r_[a, left, nodes, of[0]], "part": np.r_[none, (keys & np.uint64(1)).astype(np.int64), of[1]],
+            "other": np.r_[b, right, keys.astype(np.int64), np.zeros(len(of[0]), np.int64)], "n": np.r_[none, times, of[2]],
+        }
+        return pa.table([pa.array(x) for x in columns.values()], names=list(columns))
+
+    schema = "kind tinyint, node bigint, part bigint, other bigint, n bigint"
+    met = stored(docs.mapInArrow(cut, "bucket int, pack binary").groupBy("bucket").applyInArrow(meet, schema), "slices")
+    # a node's slices that stand again, the most common first, without those it can spare; a node has no more than its text gives
+    rows = met.where("kind > 0").withColumn("spare", F.coalesce(F.max(F.when(F.col("kind") == 2, F.col("n"))).over(Window.partitionBy("node", "part")), F.lit(0)))
+    place = F.row_number().over(Window.partitionBy("node", "part").orderBy("kind", F.desc("n"), "other"))
+    needed = rows.withColumn("place", place).where("kind = 1 and place > spare").select(F.col("other").alias("key"), "node")
+    needed = stored(needed, "needed-slices")
+    least = needed.groupBy("key").agg(F.min("node").alias("least"))
+    pairs = needed.join(least, "key").where("node != least").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    return pairs.unionByName(met.where("kind = 0").select(F.col("node").alias("a"), F.col("other").alias("b"))).distinct()
 
 
 class Groups:
@@ -286,7 +372,9 @@ def links(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
         for batch in batches:
             batch = batch.filter(pa.array(may_hold(shared.value, batch.column(0))))
             if batch.num_rows:
-                yield pa.record_batch([batch.column(0), pa.array([s.tobytes() for s in sets_of(batch.column(1), n)], pa.binary())], names=["doc_id", "grams"])
+                own = list(sets_of(batch.column(1), n))
+                node, grams = pa.array([digest(s) for s in own], pa.int64()), pa.array([s.tobytes() for s in own], pa.binary())
+                yield pa.record_batch([batch.column(0), node, grams], names=["doc_id", "node", "grams"])
 
     def compare(key, table):
         family, node, side = (table.column(c).to_numpy() for c in ("family", "node", "side"))
@@ -302,7 +390,7 @@ def links(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
             found += tile_links(node[part].tolist(), own, left, right, percent)
         return pa.table([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    by_tile = where.join(docs.mapInArrow(arrays, "doc_id bigint, grams binary"), "doc_id")
+    by_tile = where.join(docs.mapInArrow(arrays, "doc_id bigint, node bigint, grams binary"), ["doc_id", "node"])
     # small families share a task; tiles of large ones stand alone
     by_tile = by_tile.withColumn("of", F.when(F.col("tile") < 0, F.col("family")).otherwise(F.lit(0)))
     return by_tile.groupBy("of", "tile", "x", "y").applyInArrow(compare, "a bigint, b bigint")

@@ -73,7 +73,7 @@ def test_query(spark, small):
     assert got == brute(docs)
 
 
-def test_linked_sets_share_a_slice():
+def test_linked_sets_share_a_needed_slice():
     rng = np.random.default_rng(2)
     for percent in (80, 90):
         for size in (10, 12, 20, 37, 150, 800):
@@ -86,7 +86,37 @@ def test_linked_sets_share_a_slice():
                         break
                     b = c
                 if len(np.setxor1d(a, b)):
-                    assert np.intersect1d(ngram_join.slice_keys(a, percent), ngram_join.slice_keys(b, percent)).size
+                    # the keys left when each set does without its spare ones, in an order by any count
+                    order = lambda k: (int(k) * 0x9E3779B97F4A7C15 % 2**64) >> 60
+                    keep = lambda s: {k for keys, spare in ngram_join.slices(s, percent) for k in sorted(keys.tolist(), key=lambda k: (order(k), k))[: len(keys) - spare]}
+                    assert keep(a) & keep(b)
+
+
+@pytest.mark.parametrize("common", [2, 64])
+def test_common_passages_make_no_families(spark, monkeypatch, common):
+    monkeypatch.setattr(ngram_join, "COMMON", common)
+    rng = random.Random(9)
+    passage = [f"p{i}" for i in range(90)]
+    docs = [(i, " ".join([*(f"u{i}_{j}" for j in range(100)), *passage])) for i in range(150)]
+    texts = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert ngram_join.family_edges(texts, 5, 80).count() == 0
+    # near copies among them, and texts that are little but the passage
+    docs += [(1000 + i, docs[i][1].replace(f"u{i}_50", "other")) for i in range(0, 150, 7)]
+    docs += [(2000 + i, " ".join([*passage, *(f"v{rng.randrange(30)}" for _ in range(i % 40))])) for i in range(80)] + [(None, docs[0][1]), (None, "alone")]
+    want = brute([d for d in docs if d[0] is not None], 5, 80)
+    rows = spark.createDataFrame(docs, "doc_id bigint, text string")
+    found = ngram_join.join(rows, n=5, percent=80).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found if r.doc_id is not None} == want
+    assert sorted((r.component_id for r in found if r.doc_id is None), key=str) == [0, None]
+
+
+def test_one_id_with_two_texts(spark):
+    base = [f"w{i}" for i in range(60)]
+    a, b = " ".join(base), " ".join([*base[:59], "x"])
+    rows = [(5, a), (5, "quite another text of some words"), (9, b)]
+    for order in ([0, 1, 2], [2, 1, 0], [1, 0, 2]):
+        found = ngram_join.join(spark.createDataFrame([rows[i] for i in order], "doc_id bigint, text string"), n=3, percent=90).collect()
+        assert sorted((r.doc_id, r.component_id) for r in found) == [(5, 5), (5, 5), (9, 5)]
 
 
 def test_empty_table_and_repeated_ids(spark):
