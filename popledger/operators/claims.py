@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from popledger.functions.dates import whole_months
+from popledger.functions.dates import OPEN_END, whole_months
 from popledger.functions.nulls import safe_ratio
 from popledger.functions.text import starts_ci
 from popledger.operators.intervals import in_windows
@@ -30,10 +32,61 @@ def incurred_day(basis: str = "discharge") -> Column:
     raise ValueError(f"unknown basis {basis!r}")
 
 
+@dataclass(frozen=True)
+class DayBounds:
+    """First and last incurred day and last paid day that any window admits."""
+
+    first: date
+    last: date
+    paid: date
+
+
+#: Metadata of a day column: least and most days it can lie after another column. A source states it where it holds for every row.
+DAYS_AFTER = "days_after"
+
+
+def day_bounds(windows: DataFrame) -> DayBounds | None:
+    """Bounds of a window table, which is a page at most; None if there are no windows. Read once per table."""
+    if "_day_bounds" not in windows.__dict__:
+        r = windows.agg(F.min("inc_start"), F.max("inc_end"), F.max("paid_thru")).first()
+        windows.__dict__["_day_bounds"] = DayBounds(*r) if all(r) else None
+    return windows.__dict__["_day_bounds"]
+
+
+def _shift(day: date, days: int) -> date:
+    return day if day == OPEN_END else day + timedelta(days)
+
+
+def within_bounds(claims: DataFrame, windows: DataFrame, basis: str) -> DataFrame:
+    """Lines that some window may hold, cut before they are joined to anything.
+
+    The cut is exact: a line outside the bounds is in no window. Where the source states how far the last day and the paid day
+    can lie after the first, the bounds are turned into bounds of the first day as well, which reach the scan as a range of the stored day.
+    """
+    bounds = day_bounds(windows)
+    if bounds is None:
+        return claims.where(F.lit(False))
+
+    def below(c: Column, day: date) -> Column:
+        return F.lit(True) if day == OPEN_END else c <= F.lit(day)
+
+    kept = (incurred_day(basis) >= F.lit(bounds.first)) & below(incurred_day(basis), bounds.last) & below(F.col("paiddate"), bounds.paid)
+    stated = {f.name: f.metadata[DAYS_AFTER] for f in claims.schema.fields if DAYS_AFTER in (f.metadata or {})}
+    first = F.col("prm_fromdate")
+    if "prm_todate" in stated:
+        least, most = stated["prm_todate"]["prm_fromdate"]
+        # the incurred day is the first day or the last one
+        kept = kept & (first >= F.lit(_shift(bounds.first, -max(0, most)))) & below(first, _shift(bounds.last, -min(0, least)))
+    if "paiddate" in stated:
+        least, _ = stated["paiddate"]["prm_fromdate"]
+        kept = kept & below(first, _shift(bounds.paid, -least))
+    return claims.where(kept)
+
+
 def claims_in_windows(claims: DataFrame, windows: DataFrame, basis: str = "discharge") -> DataFrame:
     """Claim lines with the label of every window they fall in and were paid for."""
     spans = windows.select("time_period", "inc_start", "inc_end", F.col("paid_thru").alias("_thru"))
-    return in_windows(claims.withColumn("_incurred", incurred_day(basis)), spans, _placed()).drop(
+    return in_windows(within_bounds(claims, windows, basis).withColumn("_incurred", incurred_day(basis)), spans, _placed()).drop(
         "_incurred", "inc_start", "inc_end", "_thru"
     )
 
@@ -50,7 +103,7 @@ def claims_of_roster(claims: DataFrame, windows: DataFrame, roster: DataFrame, b
         windows.select("time_period", "inc_start", "inc_end", F.col("paid_thru").alias("_thru")), "time_period"
     ).withColumnRenamed("member_id", "_member")
     return (
-        claims.withColumn("_incurred", incurred_day(basis))
+        within_bounds(claims, windows, basis).withColumn("_incurred", incurred_day(basis))
         .join(spans, (F.col("member_id") == F.col("_member")) & _placed(), "inner")
         .drop("_incurred", "_member", "inc_start", "inc_end", "_thru")
     )
@@ -72,7 +125,7 @@ def agg_claims(
 ) -> DataFrame:
     """Sums of the measures and the number of lines, by window and dimension.
 
-    Lines are cut to the needed columns, filtered and matched with the broadcast window
+    Lines are cut to the needed columns and the windows' days, filtered and matched with the broadcast window
     table before a single group-by, whose partial sums run on the map side.
     With ``roster`` only lines of members rostered in the window count, and dimensions may
     name roster columns. With ``cases`` the attributes of the case come along

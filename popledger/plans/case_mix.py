@@ -1,25 +1,25 @@
 """Case-mix adjusted discharge shares per provider.
 
-Counts, raw shares, normalisation and the distortion check are plain aggregates. The fit
-is one ridge-penalised binomial regression with case-type and provider effects per
-window and status; all windows and statuses are blocks of a single problem, so the
-number of Spark jobs does not grow with them.
+Counts, raw shares, normalisation and the distortion check are plain aggregates. The fit is, for every window and discharge status, a
+binomial model with an intercept and normal effects of the reporting level and of the case type. It is solved in rounds: the
+intercept, the level effects, the case-type effects and the two variances follow in turn, each from sums over the cells. A round is
+the same few group-bys for all windows and statuses at once; effects stay in tables beside their cells, never on the driver, and every
+round is written before the next begins.
 """
 
 from __future__ import annotations
 
-import logging
+from collections.abc import Callable
 
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import Interaction, OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from popledger.functions.nulls import safe_ratio
 
-LOG = logging.getLogger("popledger.case_mix")
 LEVEL = "prv_id_inpatient"
+BLOCK = ["time_period", "discharge_status_desc"]
+#: Bounds of the variances: case types must not take up all of it, the reporting level takes a little at least.
+MAX_TYPE_VARIANCE = 4.2
+MIN_LEVEL_VARIANCE = 0.1
 
 
 def case_counts(details: DataFrame, level: str = LEVEL) -> DataFrame:
@@ -47,47 +47,70 @@ def one_vs_rest(counts: DataFrame, level: str = LEVEL) -> DataFrame:
     statuses = counts.select("time_period", "discharge_status_desc").distinct()
     hits = counts.groupBy("time_period", level, "drg", "discharge_status_desc").agg(F.sum("discharges_sum").alias("successes"))
     return (
-        cells.join(F.broadcast(statuses), "time_period")
+        cells.join(statuses, "time_period")
         .join(hits, ["time_period", level, "drg", "discharge_status_desc"], "left")
         .fillna({"successes": 0})
     )
 
 
-def fit_shares(
-    counts: DataFrame, level: str = LEVEL, penalty: float = 1.0, max_iter: int = 200, tolerance: float = 1e-6
-) -> DataFrame:
-    """Adjusted probability of each status per window and reporting level, before normalisation.
-
-    Warns when ``max_iter`` steps have not brought the fit within ``tolerance``; ``converged`` says so in every row."""
-    cells = one_vs_rest(counts, level).withColumn("block", F.concat_ws("|", "time_period", "discharge_status_desc"))
-    cells = cells.withColumns({
-        "block_level": F.concat_ws("|", "block", level), "block_drg": F.concat_ws("|", "block", "drg"), "lift": F.lit(10.0)
-    })
-    outcome = F.explode(F.array(
-        F.struct(F.lit(1.0).alias("label"), F.col("successes").alias("n")),
-        F.struct(F.lit(0.0).alias("label"), (F.col("trials") - F.col("successes")).alias("n")),
-    ))
-    rows = cells.withColumn("o", outcome).select("*", "o.label", F.col("o.n").cast("double").alias("weight")).where("weight > 0")
-    effects = ["block", "block_level", "block_drg"]
-    encode = Pipeline(stages=[
-        StringIndexer(inputCols=effects, outputCols=[f"{e}_i" for e in effects], handleInvalid="keep"),
-        OneHotEncoder(inputCols=[f"{e}_i" for e in effects], outputCols=[f"{e}_v" for e in effects], dropLast=True),
-        # the scale of the intercepts leaves them nearly unpenalised
-        Interaction(inputCols=["lift", "block_v"], outputCol="base_v"),
-        VectorAssembler(inputCols=["base_v", "block_level_v", "block_drg_v"], outputCol="features"),
-    ]).fit(rows)
-    total = rows.agg(F.sum("weight")).first()[0] or 1.0
-    model = LogisticRegression(
-        featuresCol="features", labelCol="label", weightCol="weight", fitIntercept=False, standardization=False,
-        regParam=penalty / total, elasticNetParam=0.0, maxIter=max_iter, tol=tolerance,
-    ).fit(encode.transform(rows))
-    converged = model.summary.totalIterations < max_iter
-    if not converged:
-        LOG.warning("the case-mix fit stopped after %d steps", max_iter)
-    # an unknown case type contributes nothing: what is left is intercept plus reporting level
-    grid = cells.select("time_period", level, "discharge_status_desc", "block", "block_level", "lift").distinct()
-    scored = model.transform(encode.transform(grid.withColumn("block_drg", F.lit(""))))
-    return scored.select("time_period", level, "discharge_status_desc", vector_to_array("probability")[1].alias("mu"), F.lit(converged).alias("converged"))
+def newton(gradient: Column, curvature: Column) -> Column:
+    """One Newton step, of length 1 at most."""
+    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), gradient / curvature))
+
+
+def fit_round(cells: DataFrame, level: str = LEVEL) -> DataFrame:
+    """Cells after one round: new intercept ``b``, level effect ``u``, case-type effect ``v``, variances ``var_level`` and
+    ``var_drg``, and the largest step of the round in the block."""
+    chance = 1 / (1 + F.exp(-(F.col("b") + F.col("u") + F.col("v"))))
+    missing = F.sum(F.col("successes") - F.col("trials") * chance)
+    weight = F.sum(F.col("trials") * chance * (1 - chance))
+
+    # intercepts
+    steps = cells.groupBy(*BLOCK).agg(newton(missing, weight).alias("step"))
+    cells = cells.join(steps, BLOCK).withColumns({"b": F.col("b") + F.col("step"), "largest": F.abs("step")}).drop("step")
+
+    def effects(cells: DataFrame, of: str, effect: str, variance: str) -> tuple[DataFrame, DataFrame]:
+        """Cells with their new effect, and per block the mean of the effects and their mean square about it, their uncertainty included."""
+        held = 1 / F.first(variance)
+        own = cells.groupBy(*BLOCK, of).agg(
+            F.first(effect).alias("old"), newton(missing - F.first(effect) * held, weight + held).alias("step"), (weight + held).alias("information"),
+        ).withColumn("new", F.col("old") + F.col("step"))
+        spread = own.groupBy(*BLOCK).agg(
+            F.avg("new").alias("mid"), F.avg(F.col("new") * F.col("new") + 1 / F.col("information")).alias("square"), F.max(F.abs("step")).alias("step")
+        ).withColumn("spread", F.col("square") - F.col("mid") * F.col("mid"))
+        return cells.drop(effect).join(own.select(*BLOCK, of, F.col("new").alias(effect)), [*BLOCK, of]), spread
+
+    bounds: dict[str, Callable[[Column], Column]] = {
+        "var_level": lambda x: F.greatest(x, F.lit(MIN_LEVEL_VARIANCE)), "var_drg": lambda x: F.least(x, F.lit(MAX_TYPE_VARIANCE)),
+    }
+    for of, effect, variance in ((level, "u", "var_level"), ("drg", "v", "var_drg")):
+        cells, spread = effects(cells, of, effect, variance)
+        # what the effects have in common is the intercept's, which no variance holds back
+        new = {
+            variance: bounds[variance](F.col("spread")), "largest": F.greatest("largest", "step"),
+            "b": F.col("b") + F.col("mid"), effect: F.col(effect) - F.col("mid"),
+        }
+        cells = cells.join(spread, BLOCK).withColumns(new).drop("spread", "square", "mid", "step")
+    return cells
+
+
+def fit_cells(counts: DataFrame, keep: Callable[[DataFrame, str], DataFrame], level: str = LEVEL, rounds: int = 12) -> DataFrame:
+    """Cells with their effects after ``rounds`` rounds. ``keep`` writes a table and reads it back."""
+    start = {"b": 0.0, "u": 0.0, "v": 0.0, "var_level": 1.0, "var_drg": 1.0, "largest": 0.0}
+    cells = one_vs_rest(counts, level).withColumns({k: F.lit(x) for k, x in start.items()})
+    for i in range(rounds):
+        cells = keep(fit_round(cells, level), f"case_mix_round_{i}")
+    return cells
+
+
+def fit_shares(cells: DataFrame, level: str = LEVEL, tolerance: float = 0.05) -> DataFrame:
+    """Adjusted probability of each status per window and reporting level, before normalisation: intercept and level effect, without
+    case types. ``largest_step`` is the block's largest step in the last round, ``converged`` whether it is within ``tolerance``."""
+    own = cells.groupBy(*BLOCK, level).agg(*[F.first(c).alias(c) for c in ("b", "u", "var_level", "var_drg", "largest")])
+    return own.select(
+        "time_period", level, "discharge_status_desc", (1 / (1 + F.exp(-(F.col("b") + F.col("u"))))).alias("mu"), "var_level", "var_drg",
+        F.col("largest").alias("largest_step"), (F.col("largest") <= tolerance).alias("converged"),
+    )
 
 
 def normalised(fitted: DataFrame, raw: DataFrame, level: str = LEVEL) -> DataFrame:
@@ -105,9 +128,10 @@ def normalised(fitted: DataFrame, raw: DataFrame, level: str = LEVEL) -> DataFra
 
 
 def distortion(normal: DataFrame) -> DataFrame:
-    """Composite share per window and status under each of the three estimates."""
+    """Composite share per window and status under each of the three estimates, and the variances of the fit."""
     w = F.col("report_level_raw_cnt")
     mean = lambda c: safe_ratio(F.sum(F.col(c) * w), F.sum(w))
     return normal.groupBy("time_period", "discharge_status_desc").agg(
-        mean("mu_raw").alias("mu_comp_raw"), mean("mu").alias("mu_comp_slop"), mean("mu_normalized").alias("mu_comp_normalized")
-    )
+        mean("mu_raw").alias("mu_comp_raw"), mean("mu").alias("mu_comp_slop"), mean("mu_normalized").alias("mu_comp_normalized"),
+        F.first("var_drg").alias("cov_drg_estimate"), F.first("var_level").alias("cov_rpt_estimate"),
+    )

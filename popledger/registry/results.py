@@ -370,14 +370,60 @@ def _(r):
     return case_mix.one_vs_rest(case_mix.case_counts(r.details_inpatient))
 
 
-def _case_mix_fit(spark, path):
-    r = staged_report(spark, path)
-    counts = r._keep(case_mix.case_counts(r.details_inpatient), "case_counts")
-    fitted = r._keep(case_mix.fit_shares(counts), "case_mix_fit")
-    return tidy(case_mix.normalised(fitted, case_mix.raw_shares(counts)))
+_CASE_MIX: dict = {}
+CASE_MIX_ROUNDS = 12
 
 
-QUERIES["case_mix_fit"] = _case_mix_fit
+def _case_mix_fit(spark, path):
+    """The fit of a folder is solved once per application; its rounds are tables in the shared folder."""
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _CASE_MIX:
+        r = staged_report(spark, path)
+        counts = r._keep(case_mix.case_counts(r.details_inpatient), "case_counts")
+        cells = case_mix.fit_cells(counts, r._keep, rounds=CASE_MIX_ROUNDS)
+        _CASE_MIX[key] = case_mix.normalised(case_mix.fit_shares(cells), case_mix.raw_shares(counts))
+    return _CASE_MIX[key]
+
+
+def _case_mix_sql(rounds: int) -> str:
+    """The rounds written out: f<r> holds the cells after round r."""
+    p, block = "(1 / (1 + exp(-(b + u + v))))", "time_period, discharge_status_desc"
+    miss, weight = f"sum(successes - trials * {p})", f"sum(trials * {p} * (1 - {p}))"
+    step = lambda g, h: f"greatest(-1.0, least(1.0, ({g}) / ({h})))"
+    out = ["""f0 as materialized (
+    select c.time_period, c.prv_id_inpatient, c.drg, s.discharge_status_desc, cast(c.trials as double) as trials, cast(coalesce(h.successes, 0) as double) as successes,
+      0.0::double as b, 0.0::double as u, 0.0::double as v, 1.0::double as var_level, 1.0::double as var_drg, 0.0::double as largest
+    from (select time_period, prv_id_inpatient, drg, sum(discharges_sum) as trials from cmc group by all) c join (select distinct time_period, discharge_status_desc from cmc) s using (time_period)
+    left join (select time_period, prv_id_inpatient, drg, discharge_status_desc, sum(discharges_sum) as successes from cmc group by all) h
+      on h.time_period = c.time_period and h.prv_id_inpatient = c.prv_id_inpatient and h.drg = c.drg and h.discharge_status_desc = s.discharge_status_desc)"""]
+    for r in range(rounds):
+        out.append(f"""fb{r} as materialized (
+    select f.* replace (b + step as b, abs(step) as largest) from f{r} f join (select {block}, {step(miss, weight)} as step from f{r} group by all) s using ({block}))""")
+        for n, (of, effect, variance, bound) in enumerate((
+            ("prv_id_inpatient", "u", "var_level", f"greatest(spread, {case_mix.MIN_LEVEL_VARIANCE})"), ("drg", "v", "var_drg", f"least(spread, {case_mix.MAX_TYPE_VARIANCE})"),
+        )):
+            before, after, held = (f"fb{r}", f"fu{r}")[n], (f"fu{r}", f"f{r + 1}")[n], f"(1 / any_value({variance}))"
+            out.append(f"""e{n}_{r} as materialized (
+    select {block}, {of}, any_value({effect}) as old, {step(f"{miss} - any_value({effect}) * {held}", f"{weight} + {held}")} as step, {weight} + {held} as information
+    from {before} group by all)""")
+            out.append(f"""{after} as materialized (
+    select f.* replace (e.old + e.step - mid as {effect}, f.b + mid as b, {bound} as {variance}, greatest(f.largest, g.step) as largest) from {before} f join e{n}_{r} e using ({block}, {of})
+    join (select {block}, avg(old + step) as mid, avg((old + step) * (old + step) + 1 / information) - mid * mid as spread, max(abs(step)) as step from e{n}_{r} group by all) g using ({block}))""")
+    out.append(f"""fit as materialized (
+    select {block}, prv_id_inpatient, 1 / (1 + exp(-(any_value(b) + any_value(u)))) as mu, any_value(var_level) as var_level, any_value(var_drg) as var_drg, any_value(largest) as largest
+    from f{rounds} group by all),
+  fitted as materialized (
+    select time_period, prv_id_inpatient, discharge_status_desc, mu, var_level, var_drg, largest, sum(mu) over (partition by time_period, prv_id_inpatient) as total, n.n as size, coalesce(h.n, 0) as own
+    from fit join (select time_period, prv_id_inpatient, cast(sum(discharges_sum) as double) as n from cmc group by all) n using (time_period, prv_id_inpatient)
+    left join (select time_period, prv_id_inpatient, discharge_status_desc, cast(sum(discharges_sum) as double) as n from cmc group by all) h using (time_period, prv_id_inpatient, discharge_status_desc))""")
+    return ",\n".join(out)
+
+
+QUERIES["case_mix_fit"] = lambda spark, path: tidy(_case_mix_fit(spark, path))
+ORACLES["case_mix_fit"] = with_ctes(f"""select * from (with {_case_mix_sql(CASE_MIX_ROUNDS)}
+    select time_period, prv_id_inpatient, discharge_status_desc, {ratio('mu')} as mu, {ratio('var_level')} as var_level, {ratio('var_drg')} as var_drg,
+      {ratio('largest')} as largest_step, largest <= 0.05 as converged, {ratio('total')} as report_level_slop_total, {whole('size')} as report_level_raw_cnt,
+      {whole('own')} as report_dischstatus_raw_cnt, {ratio('own / size')} as mu_raw, {ratio('mu / total')} as mu_normalized from fitted)""")
 
 
 def _case_mix_sums(spark, path):
@@ -396,16 +442,14 @@ ORACLES["case_mix_sums"] = with_ctes("""
 
 
 def _case_mix_distortion(spark, path):
-    """Composite shares: the raw one is exact, the fitted ones lie within bounds."""
-    d = case_mix.distortion(_case_mix_fit(spark, path))
-    within = F.col("mu_comp_slop").between(0, 1) & F.col("mu_comp_normalized").between(0, 1)
-    return tidy(d.select("time_period", "discharge_status_desc", F.round("mu_comp_raw", 4).alias("mu_comp_raw"), within.alias("within")))
+    return tidy(case_mix.distortion(_case_mix_fit(spark, path)))
 
 
 QUERIES["case_mix_distortion"] = _case_mix_distortion
-ORACLES["case_mix_distortion"] = with_ctes("""
-    select time_period, discharge_status_desc, round(cast(sum(discharges_sum) as double) / any_value(total), 4) as mu_comp_raw, true as within
-    from cmc join (select time_period, cast(sum(discharges_sum) as double) as total from cmc group by 1) using (time_period) group by 1, 2""")
+ORACLES["case_mix_distortion"] = with_ctes(f"""select * from (with {_case_mix_sql(CASE_MIX_ROUNDS)}
+    select time_period, discharge_status_desc, {ratio('sum(own) / sum(size)')} as mu_comp_raw, {ratio('sum(mu * size) / sum(size)')} as mu_comp_slop,
+      {ratio('sum(mu / total * size) / sum(size)')} as mu_comp_normalized, {ratio('any_value(var_drg)')} as cov_drg_estimate, {ratio('any_value(var_level)')} as cov_rpt_estimate
+    from fitted group by all)""")
 
 
 # -- outpatient, end of life, nursing facility, emergency --------------------------------------------

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from popledger.functions.dates import month_begin, month_end
 from popledger.functions.numbers import money
+from popledger.operators.claims import DAYS_AFTER
 from popledger.operators.intervals import merge_spans
 from popledger.operators.windows import windows_for
 from popledger.settings import ReportSettings
@@ -24,6 +25,8 @@ MEDICAL_LINES = [
     "P32c", "P32d", "P33", "P57a", "P59b", "P34",
 ]
 PHARMACY_LINES = ["R10a", "R10b", "R10c"]
+# An order has lines 1 to 7.
+MAX_LINES = 7
 # Discharge status by l_linenumber 1..7.
 DISCHARGE_CODES = ["01", "62", "03", "06", "20", "65", "01"]
 NYU_SHARES = [
@@ -204,8 +207,8 @@ class StarModel:
             _text("o_custkey").alias("member_id"),
             prm_line.alias("prm_line"),
             day.alias("prm_fromdate"),
-            F.date_add(day, F.col("l_linenumber")).alias("prm_todate"),
-            F.date_add(day, F.col("l_linenumber") * 15).alias("paiddate"),
+            F.date_add(day, F.col("l_linenumber")).alias("prm_todate", metadata={DAYS_AFTER: {"prm_fromdate": [1, MAX_LINES]}}),
+            F.date_add(day, F.col("l_linenumber") * 15).alias("paiddate", metadata={DAYS_AFTER: {"prm_fromdate": [15, 15 * MAX_LINES]}}),
             case_id(k, day).alias("caseadmitid"),
             F.when(prm_line.startswith("P"), case_id(k, day)).alias("facilitycaseid"),
             _pick(DISCHARGE_CODES, F.col("l_linenumber") - 1).alias("dischargestatus"),

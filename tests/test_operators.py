@@ -127,3 +127,46 @@ def test_unpivot_keeps_labels(spark):
     df = spark.createDataFrame([("p", 1, 2.5)], "t string, n long, x double")
     got = sorted(tuple(r) for r in R.metrics_long(df, ["t"], {"n": "Number", "x": "Value"}).collect())
     assert got == [("p", "n", "Number", 1.0), ("p", "x", "Value", 2.5)]
+
+
+@pytest.mark.parametrize("basis", ["discharge", "incurred"])
+@pytest.mark.parametrize("stated", [False, True])
+def test_claims_at_the_edges_of_windows(spark, basis, stated):
+    """The cut by the windows' days loses no line that a window holds."""
+    from pyspark.sql import functions as F
+
+    from popledger.operators import claims as C
+
+    rng = random.Random(8)
+    d = lambda n: BASE + timedelta(days=n)
+    rows = []
+    for i in range(600):
+        first = rng.choice([*range(-12, 15), *range(85, 130), *range(170, 200)])
+        stay = rng.randint(0, 9)
+        rows.append((f"m{i % 7}", rng.choice(["I11a", "i31", "P32c", "O10"]), d(first), d(first + stay), d(first + rng.randint(0, 120)), 1))
+    claims = spark.createDataFrame(rows, "member_id string, prm_line string, prm_fromdate date, prm_todate date, paiddate date, prm_util bigint")
+    if stated:
+        meta = {C.DAYS_AFTER: {"prm_fromdate": [0, 9]}}
+        paid = {C.DAYS_AFTER: {"prm_fromdate": [0, 120]}}
+        claims = claims.withColumns({"prm_todate": F.col("prm_todate").alias("prm_todate", metadata=meta), "paiddate": F.col("paiddate").alias("paiddate", metadata=paid)})
+        claims = claims.select("member_id", "prm_line", "prm_fromdate", F.col("prm_todate").alias("prm_todate", metadata=meta), F.col("paiddate").alias("paiddate", metadata=paid), "prm_util")
+    spans = [("a", d(0), d(90), d(130)), ("b", d(60), d(180), d(200))]
+    windows = spark.createDataFrame(spans, "time_period string, inc_start date, inc_end date, paid_thru date")
+    want = defaultdict(lambda: [0, 0])
+    for m, line, first, last, paid_on, util in rows:
+        day = last if basis == "discharge" and line[0] in "Ii" else first
+        for w, s, e, thru in spans:
+            if s <= day <= e and paid_on <= thru:
+                want[w, m][0] += util
+                want[w, m][1] += 1
+    got = C.agg_claims(claims, windows, ["member_id"], basis=basis, measures={"prm_util": "prm_util"}).collect()
+    assert {(r.time_period, r.member_id): [r.prm_util, r.claim_lines] for r in got} == want
+    assert C.agg_claims(claims, windows.limit(0), ["member_id"], basis=basis, measures={}).isEmpty()
+
+
+def test_day_bounds_reach_the_scan(model, capsys):
+    from popledger.operators.claims import agg_claims
+
+    agg_claims(model.outclaims, model.windows, ["prm_line"]).explain("formatted")
+    text = capsys.readouterr().out
+    assert "GreaterThanOrEqual(l_shipdate,1998-12-25" in text and "LessThan(l_shipdate,2001-07-01" in text

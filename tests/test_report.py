@@ -49,12 +49,32 @@ def test_roster_in_one_pass_equals_the_plain_one(report):
 
 def test_adjusted_shares_add_up(report):
     counts = case_mix.case_counts(report.details_inpatient)
-    normal = case_mix.normalised(case_mix.fit_shares(counts, max_iter=10), case_mix.raw_shares(counts))
+    normal = case_mix.normalised(case_mix.fit_shares(case_mix.fit_cells(counts, report._keep, rounds=2)), case_mix.raw_shares(counts))
     sums = normal.groupBy("time_period", "prv_id_inpatient").agg(F.sum("mu_normalized").alias("s"))
     assert sums.where("abs(s - 1) > 1e-9").isEmpty() and sums.count() > 0
     assert case_mix.distortion(normal).where("mu_comp_normalized not between 0 and 1").isEmpty()
 
 
+def test_case_mix_separates_providers_from_case_types(spark, report):
+    """A provider with hard cases only is not taken for a bad one, and the fit finds effects that were planted."""
+    import math
+
+    logistic = lambda x: 1 / (1 + math.exp(-x))
+    providers, drgs = [-1.0, -0.5, 0.0, 0.5, 1.0], [-1.2, -0.4, 0.4, 1.2]
+    rows = []
+    for p, u in enumerate(providers):
+        for t, v in enumerate(drgs):
+            n = 4000 if (p + t) % 2 else 400
+            died = round(n * logistic(-0.3 + u + v))
+            rows += [("w", f"P{p}", "Died", f"D{t}", died), ("w", f"P{p}", "Home", f"D{t}", n - died)]
+    counts = spark.createDataFrame(rows, "time_period string, prv_id_inpatient string, discharge_status_desc string, drg string, discharges_sum bigint")
+    fitted = case_mix.fit_shares(case_mix.fit_cells(counts, report._keep, rounds=14)).where("discharge_status_desc = 'Died'").collect()
+    found = {r.prv_id_inpatient: math.log(r.mu / (1 - r.mu)) for r in fitted}
+    for p, u in enumerate(providers):
+        assert abs(found[f"P{p}"] - (-0.3 + u)) < 0.1, (p, found)
+    assert all(r.converged for r in fitted)
+
+
 @pytest.fixture(scope="module")
 def con(small):
     c = duckdb.connect()
