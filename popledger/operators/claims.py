@@ -146,9 +146,12 @@ def agg_claims(
         *[F.sum(src).alias(name) for name, src in measures.items()],
         F.count(F.lit(1)).alias("claim_lines"),
     )
-    if cases is not None:
-        out = out.join(cases.select("caseadmitid", *[c for c in cases.columns if c not in out.columns]), "caseadmitid", "left")
-    return out
+    return out if cases is None else with_cases(out, cases)
+
+
+def with_cases(rows: DataFrame, cases: DataFrame) -> DataFrame:
+    """The attributes of the case next to rows that name one."""
+    return rows.join(cases.select("caseadmitid", *[c for c in cases.columns if c not in rows.columns]), "caseadmitid", "left")
 
 
 def agg_memmos(spans: DataFrame, windows: DataFrame, dims: Sequence[str]) -> DataFrame:

@@ -11,6 +11,7 @@ from popledger.operators.claims import MEASURES, agg_claims, agg_memmos, annuali
 from popledger.operators.intervals import carry_forward, in_windows
 from popledger.operators.joins import with_flag
 from popledger.operators.reshape import metrics_long, stack, unpivot_prefix
+from popledger.plans.lattice import OWN_STATUS, ClaimLattice
 from popledger.plans.risk import line_map
 from popledger.settings import ReportSettings
 
@@ -103,21 +104,28 @@ def claims_limited(
     return rows.withColumn("prv_net_aco_yn", coalesce_text("prv_net_aco_yn", "N")).join(lines, "prm_line", "left")
 
 
-def member_spend(
-    outclaims: DataFrame, outpharmacy: DataFrame | None, windows: DataFrame, members: DataFrame, settings: ReportSettings
-) -> DataFrame:
+def _rolled_up(medical: ClaimLattice, pharmacy: ClaimLattice | None, dims: list[str]) -> DataFrame:
+    """Medical and, where supplied, pharmacy claims at one grain. The status is the claim line's where the claims carry one, else the roster's."""
+    parts = []
+    for lattice, kind in ((medical, "Medical"), (pharmacy, "Rx")):
+        if lattice is not None:
+            own = OWN_STATUS in lattice.dims
+            status = coalesce_text(OWN_STATUS if own else "elig_status_1", "Unknown")
+            rows = lattice.at([*dims, *([OWN_STATUS] if own else [])]).withColumn("elig_status_1", status)
+            parts.append(rows.drop(OWN_STATUS).withColumn("prm_coverage_type", F.lit(kind)))
+    return stack(parts).withColumns({m: F.coalesce(F.col(m), F.lit(0)) for m in ["prm_costs", "allowed", "paid"]})
+
+
+def member_spend(medical: ClaimLattice, pharmacy: ClaimLattice | None) -> DataFrame:
     """Costs and utilisation per rostered member, window and status."""
-    rows = _both_sources(outclaims, outpharmacy, windows, members, ["member_id", "elig_status_1", "memmos"], settings)
+    rows = _rolled_up(medical, pharmacy, ["member_id", "elig_status_1", "memmos"])
     measures = [*MEASURE_NAMES, "claim_lines"]
     return rows.groupBy("member_id", "time_period", "elig_status_1", "memmos").agg(*[F.sum(m).alias(m) for m in measures])
 
 
-def cost_util(
-    outclaims: DataFrame, outpharmacy: DataFrame | None, windows: DataFrame, members: DataFrame, link: DataFrame,
-    settings: ReportSettings,
-) -> DataFrame:
+def cost_util(medical: ClaimLattice, pharmacy: ClaimLattice | None, link: DataFrame, settings: ReportSettings) -> DataFrame:
     """Discharges, days, utilisation and amounts by window, line, status, network and coverage."""
-    rows = _both_sources(outclaims, outpharmacy, windows, members, ["prm_line", "elig_status_1", "prv_net_aco_yn"], settings)
+    rows = _rolled_up(medical, pharmacy, ["prm_line", "elig_status_1", "prv_net_aco_yn"])
     lines = line_map(link, settings.lob).withColumnRenamed("mr_line", "prm_line")
     summed = (
         rows.withColumn("prv_net_aco_yn", coalesce_text("prv_net_aco_yn", "N"))
@@ -236,19 +244,16 @@ def metrics_basic(by_status: DataFrame) -> DataFrame:
     return metrics_long(by_status, ["name_client", "time_period", "metric_category", "elig_status_1"], BASIC_LABELS)
 
 
-def metrics_claims_percentages(
-    members: DataFrame, outclaims: DataFrame, outpharmacy: DataFrame | None, windows: DataFrame, settings: ReportSettings
-) -> DataFrame:
+def metrics_claims_percentages(members: DataFrame, medical: ClaimLattice, pharmacy: ClaimLattice | None, settings: ReportSettings) -> DataFrame:
     """Share of members with medical, pharmacy and any claims."""
     keys = ["member_id", "time_period"]
 
-    def seen(claims: DataFrame) -> DataFrame:
-        return agg_claims(claims, windows, ["member_id"], basis=settings.claims_basis, measures={}).select(*keys)
+    def seen(lattice: ClaimLattice) -> DataFrame:
+        return lattice.at(["member_id"], []).select(*keys)
 
-    has_rx = settings.has_rx and outpharmacy is not None
-    marked = with_flag(members.select(*keys, "elig_status_1"), seen(outclaims), keys, "_med")
-    if has_rx:
-        marked = with_flag(marked, seen(outpharmacy), keys, "_rx")
+    marked = with_flag(members.select(*keys, "elig_status_1"), seen(medical), keys, "_med")
+    if pharmacy is not None:
+        marked = with_flag(marked, seen(pharmacy), keys, "_rx")
     else:
         marked = marked.withColumn("_rx", F.lit("N"))
 

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from popledger.functions.nulls import safe_ratio
 from popledger.functions.text import starts_ci
-from popledger.operators.claims import agg_claims
+from popledger.operators.claims import with_cases
 from popledger.operators.ordering import latest
 from popledger.operators.reshape import metrics_long
+from popledger.plans.lattice import ClaimLattice
 from popledger.plans.risk import line_map, with_service_risk
 from popledger.settings import ReportSettings
 
@@ -33,16 +34,10 @@ LABELS = {
 }
 
 
-def ed_cases(
-    outclaims: DataFrame, cases: DataFrame, windows: DataFrame, members: DataFrame, link: DataFrame,
-    riskscr: DataFrame, settings: ReportSettings,
-) -> DataFrame:
+def ed_cases(medical: ClaimLattice, cases: DataFrame, link: DataFrame, riskscr: DataFrame, settings: ReportSettings) -> DataFrame:
     """Emergency cases of rostered members with visit shares and the mean service score."""
-    claims = agg_claims(
-        outclaims, windows, ["member_id", "elig_status_1", "caseadmitid", "prm_line"], where=starts_ci("prm_line", "O11"),
-        basis=settings.claims_basis, measures={"prm_util": "prm_util"},
-        cases=cases.select("caseadmitid", *CLASSES.values()), roster=members,
-    )
+    visits = medical.at(["member_id", "elig_status_1", "caseadmitid", "prm_line"], ["prm_util"], where=starts_ci("prm_line", "O11"))
+    claims = with_cases(visits, cases.select("caseadmitid", *CLASSES.values()))
     mapped = claims.join(line_map(link, settings.lob).withColumnRenamed("mr_line", "prm_line"), "prm_line", "left")
     return with_service_risk(mapped, riskscr).withColumn("prm_util_riskadj", safe_ratio("prm_util", "riskscr_1_util_avg"))
 

@@ -7,9 +7,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from popledger.functions.nulls import null_safe_join, safe_ratio
 from popledger.functions.text import has_phrase, in_ci, letters_only, same_ci, starts_ci, word_at
 from popledger.operators.aggregate import remerge_distinct, sum_where
-from popledger.operators.claims import agg_claims
+from popledger.operators.claims import MEASURES, agg_claims, with_cases
 from popledger.operators.ordering import latest
 from popledger.operators.reshape import metrics_long, stack
+from popledger.plans.lattice import ClaimLattice
 from popledger.plans.risk import line_map, with_service_risk
 from popledger.settings import ReportSettings
 
@@ -61,22 +62,22 @@ def is_acute_line() -> Column:
     return starts_ci("prm_line", "I") & ~same_ci("prm_line", "I31")
 
 
-def inpatient_claims(
-    outclaims: DataFrame, cases: DataFrame, windows: DataFrame, settings: ReportSettings, members: DataFrame | None = None
-) -> DataFrame:
-    """Acute inpatient lines per window, case, member, line, status, provider and unit type, with case attributes.
-    With ``members`` only rostered members' lines, with the member's status."""
+# what an inpatient row is: a case of a member under one line, status, provider and unit type
+STAY = ["prm_line", "caseadmitid", "member_id", "dischargestatus", "providerid", "prm_util_type"]
+STAY_MEASURES = ["discharges", "prm_util", "prm_costs"]
+
+
+def inpatient_claims(outclaims: DataFrame, cases: DataFrame, windows: DataFrame, settings: ReportSettings) -> DataFrame:
+    """Acute inpatient lines of all members per window and stay, with case attributes."""
     return agg_claims(
-        outclaims,
-        windows,
-        ["prm_line", "caseadmitid", "member_id", *(["elig_status_1"] if members is not None else []),
-         "dischargestatus", "providerid", "prm_util_type"],
-        where=is_acute_line(),
-        basis=settings.claims_basis,
-        measures={"discharges": "prm_admits", "prm_util": "prm_util", "prm_costs": "prm_costs"},
-        cases=cases,
-        roster=members,
-    )
+        outclaims, windows, STAY, where=is_acute_line(), basis=settings.claims_basis,
+        measures={m: MEASURES[m] for m in STAY_MEASURES}, cases=cases,
+    )
+
+
+def rostered_stays(medical: ClaimLattice, cases: DataFrame) -> DataFrame:
+    """The same for rostered members, with the member's status."""
+    return with_cases(medical.at([*STAY, "elig_status_1"], STAY_MEASURES, where=is_acute_line()), cases)
 
 
 def _discharge_text(code: str) -> Column:
@@ -201,7 +202,7 @@ def heart_failure_by_mem(claims: DataFrame, members: DataFrame, legend: DataFram
     """Latest window: members with at least one discharge for the heart-failure code, most discharges first."""
     newest = latest(claims, "time_period").where(same_ci("prm_ahrq_pqi", "PQI08"))
     rows = newest.join(members.select("member_id", "time_period", "elig_status_1"), ["member_id", "time_period"]).join(
-        F.broadcast(legend), "prm_ahrq_pqi", "left"
+        legend, "prm_ahrq_pqi", "left"
     )
     counted = remerge_distinct(rows, ["time_period", "member_id"], ["elig_status_1", "pqi_full_desc"], {"case_count": "discharges"})
     return counted.where("case_count > 0").select(

@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from popledger.functions.nulls import safe_ratio
 from popledger.functions.text import in_ci, same_ci, starts_ci
 from popledger.operators.aggregate import sum_of_ratio, sum_where
-from popledger.operators.claims import agg_claims
 from popledger.operators.reshape import pivot_ids, stack
+from popledger.plans.lattice import ClaimLattice
 from popledger.plans.risk import line_map, with_service_risk
 from popledger.settings import ReportSettings
 
@@ -60,12 +60,9 @@ def util_types_per_metric(lines: DataFrame) -> DataFrame:
     )
 
 
-def outpatient_claims(outclaims: DataFrame, windows: DataFrame, members: DataFrame, settings: ReportSettings) -> DataFrame:
+def outpatient_claims(medical: ClaimLattice) -> DataFrame:
     """Utilisation of rostered members by window, status and line."""
-    return agg_claims(
-        outclaims, windows, ["elig_status_1", "prm_line"], where=wanted_lines(),
-        basis=settings.claims_basis, measures={"prm_util": "prm_util"}, roster=members,
-    )
+    return medical.at(["elig_status_1", "prm_line"], ["prm_util"], where=wanted_lines())
 
 
 def pct_office_visits(claims: DataFrame) -> DataFrame:

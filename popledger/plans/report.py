@@ -10,6 +10,7 @@ from popledger import checks
 from popledger.plans import (
     cost_model, emergency, end_of_life, exclusions, inpatient, mart, outpatient, overlap, risk, roster, snf,
 )
+from popledger.plans.lattice import MEDICAL_GRAIN, PHARMACY_GRAIN, ClaimLattice
 from popledger.sources.schema import MartSchema
 from popledger.sources.writers import materialise, staging_folder, write_declared
 
@@ -37,13 +38,25 @@ class Report:
     def cases(self) -> DataFrame:
         return self._keep(self.m.cases, "cases")
 
-    @cached_property
+    @property
     def outclaims(self) -> DataFrame:
-        return self._keep(self.m.outclaims, "outclaims")
+        return self.m.outclaims
 
-    @cached_property
+    @property
     def outpharmacy(self) -> DataFrame | None:
-        return self._keep(self.m.outpharmacy, "outpharmacy") if self.s.has_rx else None
+        return self.m.outpharmacy if self.s.has_rx else None
+
+    def _lattice(self, claims: DataFrame, dims: list[str], name: str) -> ClaimLattice:
+        keep = self._keep if self.folder else None
+        return ClaimLattice(claims, self.m.windows, self.members, dims, self.s.claims_basis, name, keep)
+
+    @cached_property
+    def medical(self) -> ClaimLattice:
+        return self._lattice(self.outclaims, MEDICAL_GRAIN, "medical")
+
+    @cached_property
+    def pharmacy(self) -> ClaimLattice | None:
+        return self._lattice(self.outpharmacy, PHARMACY_GRAIN, "pharmacy") if self.outpharmacy is not None else None
 
     @cached_property
     def members_all(self) -> DataFrame:
@@ -56,8 +69,7 @@ class Report:
 
     @cached_property
     def member_spend(self) -> DataFrame:
-        spend = cost_model.member_spend(self.outclaims, self.outpharmacy, self.m.windows, self.members, self.s)
-        return self._keep(spend, "member_spend")
+        return self._keep(cost_model.member_spend(self.medical, self.pharmacy), "member_spend")
 
     @cached_property
     def drug_claims(self) -> DataFrame:
@@ -88,15 +100,12 @@ class Report:
 
     @cached_property
     def inpatient_partial(self) -> DataFrame:
-        claims = inpatient.inpatient_claims(self.outclaims, self.cases, self.m.windows, self.s, self.members)
-        partial = inpatient.partial_details(claims, self.m.link_mr_mcrm_line, self.s)
+        partial = inpatient.partial_details(inpatient.rostered_stays(self.medical, self.cases), self.m.link_mr_mcrm_line, self.s)
         return self._keep(partial, "inpatient")
 
     @cached_property
     def ed_cases(self) -> DataFrame:
-        cases = emergency.ed_cases(
-            self.outclaims, self.cases, self.m.windows, self.members, self.m.link_mr_mcrm_line, self.riskscr_service, self.s
-        )
+        cases = emergency.ed_cases(self.medical, self.cases, self.m.link_mr_mcrm_line, self.riskscr_service, self.s)
         return self._keep(cases, "ed_cases")
 
     @cached_property
@@ -105,14 +114,12 @@ class Report:
 
     @cached_property
     def snf_wide(self) -> DataFrame:
-        wide = snf.details_snf_wide(
-            self.outclaims, self.m.windows, self.members, self.snf_readmissions, self.m.link_mr_mcrm_line, self.riskscr_service, self.s
-        )
+        wide = snf.details_snf_wide(self.medical, self.snf_readmissions, self.m.link_mr_mcrm_line, self.riskscr_service, self.s)
         return self._keep(wide, "details_snf")
 
     @cached_property
     def outpatient_claims(self) -> DataFrame:
-        return outpatient.outpatient_claims(self.outclaims, self.m.windows, self.members, self.s)
+        return outpatient.outpatient_claims(self.medical)
 
     @cached_property
     def assigned(self) -> DataFrame:
@@ -134,9 +141,7 @@ class Report:
 
     @cached_property
     def cost_util(self) -> DataFrame:
-        return self._keep(cost_model.cost_util(
-            self.outclaims, self.outpharmacy, self.m.windows, self.members, self.m.link_mr_mcrm_line, self.s
-        ), "cost_util")
+        return self._keep(cost_model.cost_util(self.medical, self.pharmacy, self.m.link_mr_mcrm_line, self.s), "cost_util")
 
     @cached_property
     def memmos(self) -> DataFrame:
@@ -181,7 +186,7 @@ class Report:
 
     @cached_property
     def details_snf_professional(self) -> DataFrame:
-        lines = snf.snf_professional_claims(self.outclaims, self.m.windows, self.members, self.m.mr_line_info, self.s)
+        lines = snf.snf_professional_claims(self.medical, self.m.mr_line_info)
         return snf.details_snf_professional(lines, self.m.link_mr_mcrm_line, self.riskscr_service, self.s)
 
     # -- metrics -------------------------------------------------------------------------
@@ -192,7 +197,7 @@ class Report:
 
     @cached_property
     def metrics_claims_percentages(self) -> DataFrame:
-        return cost_model.metrics_claims_percentages(self.members, self.outclaims, self.outpharmacy, self.m.windows, self.s)
+        return cost_model.metrics_claims_percentages(self.members, self.medical, self.pharmacy, self.s)
 
     @cached_property
     def metrics_cclf_assign(self) -> DataFrame:

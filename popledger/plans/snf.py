@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from popledger.functions.nulls import safe_ratio
 from popledger.functions.text import in_ci, same_ci, starts_ci
 from popledger.operators.aggregate import sum_of_ratio, sum_where
 from popledger.operators.claims import agg_claims
-from popledger.operators.intervals import merge_spans, point_in_span
 from popledger.operators.joins import with_flag
 from popledger.operators.reshape import metrics_long
 from popledger.operators.windows import open_window
+from popledger.plans.lattice import ClaimLattice
 from popledger.plans.risk import line_map, with_service_risk
 from popledger.settings import ReportSettings
 
@@ -45,40 +45,38 @@ def open_inpatient_cases(outclaims: DataFrame, cases: DataFrame, settings: Repor
     )
 
 
-def failure_windows(inpatient: DataFrame) -> DataFrame:
-    """From the last day of an index stay to the first day of its readmission, overlapping ones merged per member."""
-    index = inpatient.where(~same_ci("prm_line", SNF_LINE) & same_ci("prm_readmit_all_cause_yn", "Y")).select(
-        "member_id", F.col("prm_readmit_all_cause_caseid").alias("_case"), F.col("date_case_latest").alias("fail_window_start")
-    ).distinct()
-    readmit = inpatient.select(
-        "member_id", F.col("caseadmitid").alias("_case"), F.col("date_case_earliest").alias("fail_window_end")
-    ).distinct()
-    linked = index.join(readmit, ["member_id", "_case"], "left")
-    return merge_spans(linked, ["member_id"], "fail_window_start", "fail_window_end")
-
-
 def snf_readmissions(inpatient: DataFrame) -> DataFrame:
-    """Skilled-nursing stays that end inside a failure window."""
-    stays = (
-        inpatient.where(same_ci("prm_line", SNF_LINE))
-        .groupBy("member_id", "caseadmitid")
-        .agg(F.max("date_case_latest").alias("date_discharge_snf"))
-    )
-    return point_in_span(
-        stays, "date_discharge_snf", failure_windows(inpatient), "fail_window_start", "fail_window_end", ["member_id"], how="left_semi"
-    ).select("member_id", "caseadmitid")
+    """Skilled-nursing stays that end inside a failure window: from the last day of an index stay to the first day of its
+    readmission, both included.
+
+    One stream of the cases serves for all three parts. A case stands under its own id, and an index stay under its readmission's id as
+    well, so the readmission's first day reaches it within that id. Then a member's windows and stays are put in the order of their
+    days, and a stay is inside a window if any that began by its day ends on it or later.
+    """
+    event = lambda kind, key, day: F.struct(F.lit(kind).alias("kind"), F.col(key).alias("key"), F.col(day).alias("day"))
+    index = ~same_ci("prm_line", SNF_LINE) & same_ci("prm_readmit_all_cause_yn", "Y")
+    events = F.array_compact(F.array(
+        event("readmission", "caseadmitid", "date_case_earliest"),
+        F.when(index, event("window", "prm_readmit_all_cause_caseid", "date_case_latest")),
+        F.when(same_ci("prm_line", SNF_LINE), event("stay", "caseadmitid", "date_case_latest")),
+    ))
+    stream = inpatient.select("member_id", F.explode(events).alias("e")).select("member_id", "e.*").distinct()
+    begun = F.max(F.when(F.col("kind") == "readmission", F.col("day"))).over(Window.partitionBy("member_id", "key"))
+    ordered = stream.withColumn("_end", F.when(F.col("kind") == "window", begun)).where("kind = 'stay' or (kind = 'window' and _end >= day)")
+    # of one day, windows come before stays
+    by_day = Window.partitionBy("member_id").orderBy("day", F.desc("kind")).rowsBetween(Window.unboundedPreceding, 0)
+    reached = ordered.withColumn("_reach", F.max("_end").over(by_day))
+    return reached.where("kind = 'stay' and _reach >= day").select("member_id", F.col("key").alias("caseadmitid")).distinct()
 
 
 def details_snf_wide(
-    outclaims: DataFrame, windows: DataFrame, members: DataFrame, readmissions: DataFrame, link: DataFrame,
-    riskscr: DataFrame, settings: ReportSettings,
+    medical: ClaimLattice, readmissions: DataFrame, link: DataFrame, riskscr: DataFrame, settings: ReportSettings
 ) -> DataFrame:
     """Stays by provider, readmission flag and length, with risk-adjusted sums."""
-    active = agg_claims(
-        outclaims, windows, ["providerid", "member_id", "elig_status_1", "prm_line", "caseadmitid"],
-        where=same_ci("prm_line", SNF_LINE), basis=settings.claims_basis, roster=members,
-        measures={"discharges": "prm_admits", "prm_util": "prm_util", "prm_costs": "prm_costs"},
-    )
+    active = medical.at(
+        ["providerid", "member_id", "elig_status_1", "prm_line", "caseadmitid"], ["discharges", "prm_util", "prm_costs"],
+        where=same_ci("prm_line", SNF_LINE),
+    )
     flagged = with_flag(active, readmissions, ["member_id", "caseadmitid"], "snf_readmit_yn")
     mapped = flagged.join(line_map(link, settings.lob).withColumnRenamed("mr_line", "prm_line"), "prm_line", "left")
     keys = ["time_period", "elig_status_1", "prv_id_snf", "snf_readmit_yn", "los_snf"]
@@ -120,17 +118,12 @@ def metrics_snf(details: DataFrame, basic: DataFrame, client: str) -> DataFrame:
     )
 
 
-def snf_professional_claims(
-    outclaims: DataFrame, windows: DataFrame, members: DataFrame, mr_line_info: DataFrame, settings: ReportSettings
-) -> DataFrame:
+def snf_professional_claims(medical: ClaimLattice, mr_line_info: DataFrame) -> DataFrame:
     """Rostered members' professional lines whose facility case is a skilled-nursing case of the same member and window."""
-    facility = agg_claims(
-        outclaims, windows, ["caseadmitid", "member_id"], where=same_ci("prm_line", SNF_LINE),
-        basis=settings.claims_basis, measures={}, roster=members,
-    ).select("member_id", "time_period", F.col("caseadmitid").alias("facilitycaseid"))
-    lines = agg_claims(
-        outclaims, windows, ["providerid", "member_id", "elig_status_1", "prm_line", "facilitycaseid"],
-        where=starts_ci("prm_line", "P"), basis=settings.claims_basis, measures={"prm_costs": "prm_costs"}, roster=members,
+    facility = medical.at(["caseadmitid", "member_id"], [], where=same_ci("prm_line", SNF_LINE), needs=["prm_line"])
+    facility = facility.select("member_id", "time_period", F.col("caseadmitid").alias("facilitycaseid"))
+    lines = medical.at(
+        ["providerid", "member_id", "elig_status_1", "prm_line", "facilitycaseid"], ["prm_costs"], where=starts_ci("prm_line", "P")
     )
     allowed = mr_line_info.where(same_ci("prm_line_desc1", "PROF") | in_ci("mr_line", EQUIPMENT_LINES)).select(
         F.col("mr_line").alias("prm_line")

@@ -280,7 +280,7 @@ def _(r):
 
 @query("j_three_key", f"select p.time_period, p.prm_line, count(*) as n, {money('sum(prm_costs)')} as prm_costs from prof p group by 1, 2")
 def _(r):
-    lines = snf.snf_professional_claims(r.outclaims, r.m.windows, r.members, r.m.mr_line_info, r.s)
+    lines = snf.snf_professional_claims(r.medical, r.m.mr_line_info)
     return lines.groupBy("time_period", "prm_line").agg(A.freq().alias("n"), F.sum("prm_costs").alias("prm_costs"))
 
 

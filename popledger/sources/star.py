@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from popledger.functions.dates import month_begin, month_end
 from popledger.functions.numbers import money
@@ -244,7 +244,7 @@ class StarModel:
         """Attributes per case: a member's inpatient and emergency lines within a quarter.
 
         A case is followed by a readmission when the member has inpatient lines in the
-        next quarter.
+        next quarter. A member has one case a quarter, so the next one is found by looking one row ahead.
         """
         lines = self.outclaims.where(F.col("prm_line").startswith("I") | F.col("prm_line").startswith("O11"))
         quarter = F.year("prm_fromdate") * 4 + F.quarter("prm_fromdate") - 1
@@ -252,12 +252,11 @@ class StarModel:
             F.min("prm_fromdate").alias("date_case_earliest"), F.max("prm_todate").alias("date_case_latest"),
             F.max(F.when(F.col("prm_line").startswith("I"), 1).otherwise(0)).alias("_ip"),
         )
-        following = case.where("_ip = 1").select(
-            F.col("_o").alias("_fo"), (F.col("_q") - 1).alias("_fq"), F.col("caseadmitid").alias("_next")
-        )
+        ahead = F.lead(F.struct("_q", "_ip", "caseadmitid")).over(Window.partitionBy("_o").orderBy("_q"))
+        follows = (F.col("_ahead._q") == F.col("_q") + 1) & (F.col("_ahead._ip") == 1)
+        joined = case.withColumn("_ahead", ahead).withColumn("_next", F.when(follows, F.col("_ahead.caseadmitid")))
         k = F.col("_o").cast("bigint") * 7 + F.col("_q")
         share = lambda j: F.when(k % 6 == j, 0.75).when((k + 1) % 6 == j, 0.25).otherwise(0.0)
-        joined = case.join(following, (F.col("_o") == F.col("_fo")) & (F.col("_q") == F.col("_fq")), "left")
         return joined.select(
             "caseadmitid",
             "date_case_earliest",
