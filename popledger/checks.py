@@ -53,6 +53,13 @@ def enforce(violations: DataFrame, message: str, notify_only: bool = False) -> b
     raise CheckFailed(message)
 
 
+def with_fault(df: DataFrame, faults: DataFrame, keys: Sequence[str], changes: dict[str, Column]) -> DataFrame:
+    """The table with other values in the rows that the fault table names by ``keys``: a check of the result must find just these."""
+    marks = faults.select(*keys).distinct().withColumn("_fault", F.lit(True))
+    marked = df.join(marks, list(keys), "left")
+    return marked.select(*[F.when(F.col("_fault"), changes[c]).otherwise(F.col(c)).alias(c) if c in changes else F.col(c) for c in df.columns])
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
 
@@ -79,7 +86,8 @@ def outside(df: DataFrame, value: Column, low: float | None = None, high: float
 
 def count_mismatch(a: DataFrame, b: DataFrame) -> DataFrame:
     n = F.count(F.lit(1))
-    return a.agg(n.alias("rows_a")).join(F.broadcast(b.agg(n.alias("rows_b"))), F.col("rows_a") != F.col("rows_b"))
+    # one row each
+    return a.agg(n.alias("rows_a")).join(b.agg(n.alias("rows_b")), F.col("rows_a") != F.col("rows_b"))
 
 
 def total_smape(a: DataFrame, measure_a: str, b: DataFrame, measure_b: str) -> DataFrame:

@@ -268,7 +268,8 @@ CTE = {
       and exists (select 1 from fail0 f where f.member_id = ipopen.member_id and f.s <= f.e and ipopen.date_case_latest between f.s and f.e)""",
     "snfd": """
     select a.time_period, m.elig_status_1, coalesce(a.providerid, 'Unknown') as prv_id_snf, case when r.member_id is null then 'N' else 'Y' end as snf_readmit_yn, cast(a.prm_util as bigint) as los_snf,
-      sum(a.discharges) as cnt_discharges_snf, sum(a.prm_util) as sum_days_snf, sum(a.prm_costs) as sum_costs_snf, sum(a.discharges / riskscr_1_util_avg) as d_adj
+      sum(a.discharges) as cnt_discharges_snf, sum(a.prm_util) as sum_days_snf, sum(a.prm_costs) as sum_costs_snf, sum(a.discharges / riskscr_1_util_avg) as d_adj,
+      sum(a.prm_util / riskscr_1_util_avg) as u_adj, sum(cast(a.prm_costs as double) / riskscr_1_cost_avg) as c_adj
     from (select time_period, providerid, member_id, prm_line, caseadmitid, sum(prm_admits) as discharges, sum(prm_util) as prm_util, sum(prm_costs) as prm_costs from pm where lower(prm_line) = 'i31' group by all) a
       join mem m on a.member_id = m.member_id and a.time_period = m.time_period left join snfre r on a.member_id = r.member_id and a.caseadmitid = r.caseadmitid
       left join link on a.prm_line = mr_line left join rs on rs.time_period = a.time_period and rs.elig_status_1 = m.elig_status_1 and rs.mcrm_line = link.mcrm_line group by all""",
@@ -278,7 +279,9 @@ CTE = {
     join (select distinct time_period, member_id, caseadmitid from pm where lower(prm_line) = 'i31') s on p.facilitycaseid = s.caseadmitid and p.member_id = s.member_id and p.time_period = s.time_period
     join mrline l on p.prm_line = l.mr_line and (upper(prm_line_desc1) = 'PROF' or lower(l.mr_line) in ('p84', 'p85'))
     join mem m on p.member_id = m.member_id and p.time_period = m.time_period left join link on p.prm_line = link.mr_line""",
-    "profd": "select time_period, elig_status_1, coalesce(providerid, 'Unknown') as prv_id_snf, sum(prm_costs) as sum_costs_prof_snf from prof group by all",
+    "profd": """
+    select p.time_period, p.elig_status_1, coalesce(providerid, 'Unknown') as prv_id_snf, sum(prm_costs) as sum_costs_prof_snf, sum(cast(prm_costs as double) / riskscr_1_cost_avg) as c_adj
+    from prof p left join rs on rs.time_period = p.time_period and rs.elig_status_1 = p.elig_status_1 and rs.mcrm_line = p.mcrm_line group by all""",
     "edc": """
     select a.*, m.elig_status_1, riskscr_1_util_avg, c.* exclude (caseadmitid) from (
       select time_period, member_id, caseadmitid, prm_line, sum(prm_util) as prm_util from pm where lower(prm_line) like 'o11%' group by all) a

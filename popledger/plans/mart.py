@@ -5,11 +5,11 @@ from __future__ import annotations
 import re
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from popledger.operators.reshape import stack
 from popledger.settings import ReportSettings
-from popledger.sources.schema import MartSchema, conform, dictionary
+from popledger.sources.schema import MartSchema, conform, dictionary, labels_of
 from popledger.sources.writers import checksum
 
 METRIC_COLUMNS = ["name_client", "time_period", "elig_status_1", "metric_category", "metric_id", "metric_name", "metric_value"]
@@ -49,6 +49,12 @@ def meta_field(spark: SparkSession, schema: MartSchema, labels: dict[str, str],
     return spark.createDataFrame(rows, schema.struct("meta_field"))
 
 
+def field_use(meta: DataFrame, fields: DataFrame) -> DataFrame:
+    """Metadata of the fields next to the tables that deliver them and the values found there (``fields``: rows of ``data_dictionary``)."""
+    used = fields.groupBy(F.col("name_field").alias("meta_field")).agg(F.count(F.lit(1)).alias("tables"), F.sum("values_present").alias("values_present"))
+    return meta.join(used, "meta_field", "left")
+
+
 def meta_project(spark: SparkSession, schema: MartSchema, settings: ReportSettings) -> DataFrame:
     """Run settings as typed name/value rows: exactly one of string, date and integer is set."""
     values = {
@@ -68,36 +74,57 @@ def meta_project(spark: SparkSession, schema: MartSchema, settings: ReportSettin
     return spark.createDataFrame(rows, schema.struct("meta_project"))
 
 
-def data_dictionary(spark: SparkSession, schema: MartSchema, observed: dict[str, dict[str, str]]) -> DataFrame:
-    """Fields of all tables with type, key flag and observed label."""
+def field_values(df: DataFrame, name: str) -> DataFrame:
+    """Every value of a table as name_table, name_field and a digest, null for a missing one. Fractions count as equal to the cent."""
+    def digest(f: T.StructField) -> Column:
+        c = F.round(F.col(f.name), 2) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
+        return F.when(c.isNotNull(), F.struct(F.xxhash64(c).alias("a"), F.hash(c).alias("b")))
+
+    cells = F.array(*[F.struct(F.lit(f.name).alias("name_field"), digest(f).alias("digest")) for f in df.schema.fields])
+    return df.select(F.lit(name).alias("name_table"), F.explode(cells).alias("c")).select("name_table", "c.*")
+
+
+def data_dictionary(tables: dict[str, DataFrame], schema: MartSchema) -> DataFrame:
+    """Fields of all tables with type, size, key flag, label, and what the data shows: values present and distinct values.
+
+    All tables are unpivoted into one stream of (table, field, value digest), equal values are combined in each task, and one shuffle
+    counts them; the declaration, a page of rows, is joined to the counts."""
+    cells = stack([field_values(df, n) for n, df in tables.items()])
+    # one row per value and how often it stands, then one per field
+    values = cells.groupBy("name_table", "name_field", "digest").agg(F.count(F.lit(1)).alias("n"))
+    seen = F.col("digest").isNotNull()
+    counted = values.groupBy("name_table", "name_field").agg(
+        F.sum(F.when(seen, F.col("n")).otherwise(0)).alias("values_present"), F.count("digest").alias("values_distinct")
+    )
     struct = T.StructType([
         T.StructField("name_table", T.StringType()), T.StructField("position", T.LongType()), T.StructField("name_field", T.StringType()),
         T.StructField("data_type", T.StringType()), T.StructField("data_size", T.LongType()), T.StructField("key_table", T.StringType()),
         T.StructField("label", T.StringType()),
     ])
-    return spark.createDataFrame([tuple(r[f.name] for f in struct.fields) for r in dictionary(schema, observed)], struct)
+    observed = {n: labels_of(df) for n, df in tables.items()}
+    spark = cells.sparkSession
+    declared = [r for r in dictionary(schema, observed) if r["name_table"] in tables]
+    fields = spark.createDataFrame([tuple(r[f.name] for f in struct.fields) for r in declared], struct)
+    return fields.join(counted, ["name_table", "name_field"], "left").fillna(0, ["values_present", "values_distinct"])
 
 
 def dictionary_fields(full: DataFrame) -> DataFrame:
     """Second sheet: each field once."""
     return full.groupBy("name_field", "data_type", "data_size").agg(
-        F.max("label").alias("label"), F.min("position").alias("first_position"), F.count(F.lit(1)).alias("tables")
+        F.max("label").alias("label"), F.min("position").alias("first_position"), F.count(F.lit(1)).alias("tables"),
+        F.sum("values_present").alias("values_present"),
     )
 
 
-def observed_profile(df: DataFrame, schema: MartSchema, table: str) -> DataFrame:
-    """Dictionary rows of one table with what its data shows: values present and distinct values, in one pass."""
-    cols = schema.columns(table)
-    stats = df.agg(*[e for c in cols for e in (F.count(c).alias(f"p_{c}"), F.countDistinct(c).alias(f"d_{c}"))])
-    rows = F.array(*[
-        F.struct(
-            F.lit(table).alias("name_table"), F.lit(i + 1).alias("position"), F.lit(c).alias("name_field"),
-            F.lit(schema.fields[c].type).alias("data_type"), F.lit("Y" if c in schema.keys(table) else "N").alias("key_table"),
-            F.col(f"p_{c}").alias("values_present"), F.col(f"d_{c}").alias("values_distinct"),
-        )
-        for i, c in enumerate(cols)
-    ])
-    return stats.select(F.explode(rows).alias("r")).select("r.*")
+MANIFEST = "name_table string, rows bigint, checksum string"
+MANIFEST_FIELDS = "name_table string, position bigint, name_field string, nulls bigint"
+
+
+def manifest_rows(spark: SparkSession, observed: list[dict]) -> tuple[DataFrame, DataFrame]:
+    """What the writer saw, a row per table and a row per field."""
+    tables = [(o["name_table"], o["rows"], o["checksum"]) for o in observed]
+    fields = [(o["name_table"], i + 1, c, n) for o in observed for i, (c, n) in enumerate(o["nulls"].items())]
+    return spark.createDataFrame(tables, MANIFEST), spark.createDataFrame(fields, MANIFEST_FIELDS)
 
 
 def members_assign(members: DataFrame, client: str) -> DataFrame:

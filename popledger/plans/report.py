@@ -11,8 +11,9 @@ from popledger.plans import (
     cost_model, emergency, end_of_life, exclusions, inpatient, mart, outpatient, overlap, risk, roster, snf,
 )
 from popledger.plans.lattice import MEDICAL_GRAIN, PHARMACY_GRAIN, ClaimLattice
-from popledger.sources.schema import MartSchema
-from popledger.sources.writers import materialise, staging_folder, write_declared
+from popledger.operators.reshape import stack
+from popledger.sources.schema import MartSchema, rule_results
+from popledger.sources.writers import materialise, staging_folder, write_observed, write_table
 
 
 class Report:
@@ -241,6 +242,8 @@ class Report:
         "metrics_basic", "metrics_claims_percentages", "metrics_cclf_assign", "metrics_optoutcount", "metrics_inpatient",
         "metrics_discharge_status", "metrics_outpatient", "metrics_endoflife", "metrics_snf", "metrics_snf_professional", "metrics_er",
     ]
+    #: Labels of delivered fields; a site's own come instead.
+    labels = {"elig_status_1": "Beneficiary Status", "metric_id": "Metric Identifier", "metric_name": "Metric Description"}
     DECLARED = [
         "time_windows", "memcnt", "cost_util", "memmos", "ref_prm_line", "claims_distribution", "office_admin_drug", "member_elig",
         "member_costs", "cost_util_benchmark", "details_inpatient", "details_snf", "details_snf_professional", "metrics_key_value",
@@ -253,8 +256,7 @@ class Report:
 
     @cached_property
     def meta_field(self) -> DataFrame:
-        labels = {"elig_status_1": "Beneficiary Status", "metric_id": "Metric Identifier", "metric_name": "Metric Description"}
-        return mart.meta_field(self.m.spark, self.schema, labels, {}, self.s)
+        return mart.meta_field(self.m.spark, self.schema, self.labels, {}, self.s)
 
     @cached_property
     def meta_project(self) -> DataFrame:
@@ -264,9 +266,10 @@ class Report:
         return {n: getattr(self, n) for n in self.DECLARED}
 
     def write(self, folder: str) -> "StoredReport":
-        """Write every declared table, then hand back the stored mart for checking and export."""
-        for name, df in self.tables().items():
-            write_declared(df, self.schema, name, folder)
+        """Write every declared table with its manifest, then hand back the stored mart for checking and export."""
+        observed = [write_observed(df, self.schema, name, folder, self.labels) for name, df in self.tables().items()]
+        for name, df in zip(("manifest", "manifest_fields"), mart.manifest_rows(self.m.spark, observed)):
+            write_table(df, f"{folder.rstrip('/')}/{name}")
         return StoredReport(self.m.spark, folder, self.schema, self.s)
 
 
@@ -279,6 +282,16 @@ class StoredReport:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}")
 
+    def tables(self) -> dict[str, DataFrame]:
+        return {n: self.table(n) for n in self.schema.tables}
+
+    def rule_results(self) -> DataFrame:
+        """Every declared rule of every table with the rows that violate it."""
+        return stack([rule_results(df, self.schema, n, self.s.client) for n, df in self.tables().items()])
+
+    def dictionary(self) -> DataFrame:
+        return mart.data_dictionary(self.tables(), self.schema)
+
     def reconciliations(self) -> dict[str, DataFrame]:
         """Every cross-table check by name; all frames must be empty."""
         cu, kv = self.table("cost_util"), self.table("metrics_key_value")

@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from popledger.oracle.base import with_ctes
-from popledger.plans.report import Report
+from popledger.plans.report import Report, StoredReport
 from popledger.session import apply_plan_settings
 from popledger.sources.star import StarModel
 from popledger.sources.writers import staging_folder
@@ -49,6 +50,18 @@ def staged_report(spark: SparkSession, path: str) -> Report:
     return Report(StarModel(apply_plan_settings(spark), path), folder=shared_folder(spark))
 
 
+_MARTS: dict[tuple[str, str], tuple[Report, StoredReport]] = {}
+
+
+def written(spark: SparkSession, path: str) -> tuple[Report, StoredReport]:
+    """Staged report over the tables of a folder and its stored mart, written once per application."""
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _MARTS:
+        r = staged_report(spark, path)
+        _MARTS[key] = (r, r.write(f"{shared_folder(spark)}/mart-{uuid.uuid4().hex[:12]}"))
+    return _MARTS[key]
+
+
 _OWN_FOLDERS: dict[str, str] = {}
 
 
@@ -62,11 +75,12 @@ def shared_folder(spark: SparkSession) -> str:
     return staging_folder(spark)
 
 
-def query(name: str, sql: str | None = None):
-    """Register ``fn(report) -> DataFrame`` under a name; ``sql`` is its DuckDB counterpart."""
+def query(name: str, sql: str | None = None, staged: bool = False):
+    """Register ``fn(report) -> DataFrame`` under a name; ``sql`` is its DuckDB counterpart. ``staged``: the report's shared
+    intermediates are stored first, anew for each run."""
 
     def wrap(fn: Callable[[Report], DataFrame]):
-        QUERIES[name] = lambda spark, path: tidy(fn(report(spark, path)))
+        QUERIES[name] = lambda spark, path: tidy(fn(staged_report(spark, path) if staged else report(spark, path)))
         if sql:
             ORACLES[name] = with_ctes(sql)
         return fn
@@ -74,6 +88,17 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
+def mart_query(name: str, sql: str):
+    """Register ``fn(report, stored) -> DataFrame`` over the stored mart."""
+
+    def wrap(fn: Callable[[Report, StoredReport], DataFrame]):
+        QUERIES[name] = lambda spark, path: tidy(fn(*written(spark, path)))
+        ORACLES[name] = with_ctes(sql)
+        return fn
+
+    return wrap
+
+
 def money(expr: str) -> str:
     return f"cast(round({expr}, 2) as double)"
 

@@ -110,7 +110,7 @@ def _sum(table: str, columns: str) -> str:
         value = f"cast(cast({c[:-1]} as decimal(38,9)) as varchar)" if c.endswith("#") else f"cast({c} as varchar)"
         parts.append(f"coalesce(length({value}) || ':' || {value}, 'N')")
     return (
-        f"select '{table}' as name_table, count(*) as rows, cast(sum(cast(('0x' || substr(md5({' || '.join(parts)}), 1, 15)) as bigint)) as double) as checksum from {table}"
+        f"select '{table}' as name_table, count(*) as rows, cast(sum(cast(('0x' || substr(md5({' || '.join(parts)}), 1, 15)) as bigint)) as varchar) as checksum from {table}"
     )
 
 
@@ -128,4 +128,4 @@ MANIFEST = {
 @query("table_manifest", " union all ".join(_sum(t, c) for t, c in MANIFEST.items()))
 def _(r):
     """Rows and checksum over all columns."""
-    return mart.manifest({t: r.m.table(t) for t in MANIFEST}).withColumn("checksum", C("checksum").cast("double"))
+    return mart.manifest({t: r.m.table(t) for t in MANIFEST})

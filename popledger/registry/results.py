@@ -320,7 +320,7 @@ from popledger.oracle.base import CTE  # noqa: E402
 CTE["ipm"] = f"select * from {_IP_SRC}"
 
 
-@query("inpatient_metrics", _IP_SQL)
+@query("inpatient_metrics", _IP_SQL, staged=True)
 def _(r):
     return r.metrics_inpatient
 
@@ -527,10 +527,10 @@ def _(r):
 @query(
     "snf_details",
     f"""select {CLIENT}, time_period, elig_status_1, prv_id_snf, snf_readmit_yn, los_snf, {whole('cnt_discharges_snf')} as cnt_discharges_snf, {whole('sum_days_snf')} as sum_days_snf,
-    {money('sum_costs_snf')} as sum_costs_snf, {ratio('d_adj')} as cnt_discharges_snf_riskadj from snfd""",
+    {money('sum_costs_snf')} as sum_costs_snf, {ratio('d_adj')} as cnt_discharges_snf_riskadj, {ratio('u_adj')} as sum_days_snf_riskadj, {ratio('c_adj')} as sum_costs_snf_riskadj from snfd""",
 )
 def _(r):
-    return r.snf_wide.drop("sum_days_snf_riskadj", "sum_costs_snf_riskadj")
+    return r.snf_wide
 
 
 _SNF_EXPR = {
@@ -545,14 +545,14 @@ CTE["snfm"] = "select time_period, elig_status_1, " + ", ".join(f"{e} as {m}" fo
 _SNF_SQL = long_sql("snfm", {m: (snf.LABELS[m], m) for m in _SNF_EXPR}, "SNF")
 
 
-@query("snf_metrics", _SNF_SQL)
+@query("snf_metrics", _SNF_SQL, staged=True)
 def _(r):
     return r.metrics_snf
 
 
-@query("professional_link", f"select {CLIENT}, time_period, elig_status_1, prv_id_snf, {money('sum_costs_prof_snf')} as sum_costs_prof_snf from profd")
+@query("professional_link", f"select {CLIENT}, time_period, elig_status_1, prv_id_snf, {money('sum_costs_prof_snf')} as sum_costs_prof_snf, {ratio('c_adj')} as sum_costs_prof_snf_riskadj from profd")
 def _(r):
-    return r.details_snf_professional.drop("sum_costs_prof_snf_riskadj")
+    return r.details_snf_professional
 
 
 _PROF_SQL = long_sql(
@@ -599,18 +599,11 @@ _KV_SQL = "\nunion all\n".join(
 )
 
 
-@query("metrics_key_value", _KV_SQL)
+@query("metrics_key_value", _KV_SQL, staged=True)
 def _(r):
     return r.metrics_key_value
 
 
-def _kv_staged(spark, path):
-    return tidy(staged_report(spark, path).metrics_key_value)
-
-
-QUERIES["metrics_key_value"] = _kv_staged
-
-
 # -- corrections, groups, supplemental ----------------------------------------------------------------------
 
 

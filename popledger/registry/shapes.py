@@ -634,11 +634,6 @@ def _(r):
     return checks.outside(newest, A.share_of_rows(C("memmos") == 0), low=0.01)
 
 
-@query("v_count_equals", "select (select count(*) from mem) as rows_a, (select count(*) from mem_all) as rows_b where (select count(*) from mem) <> (select count(*) from mem_all)")
-def _(r):
-    return checks.count_mismatch(r.members, r.members_all)
-
-
 @query("v_smape", f"select {ratio('a')} as total_a, {ratio('b')} as total_b, {ratio('round(abs(a - b) / (abs(a) + abs(b)), 4)')} as smape from (select cast(sum(prm_costs) as double) as a from cu), (select cast(sum(prm_costs_sum_all_services) as double) as b from ba)")
 def _(r):
     return checks.total_smape(r.cost_util, "prm_costs", r.basic_aggs_elig_status, "prm_costs_sum_all_services")
@@ -654,55 +649,6 @@ def _(r):
     return checks.rounded_totals_differ(r.cost_util, rx, ["time_period", "elig_status_1"], [("prm_costs", "paid", 2)])
 
 
-@query("v_months_reconcile", f"""select member_id, time_period, a as a_memmos, b as b_elig_months from (select member_id, time_period, round(sum(memmos), 2) as a from mem group by 1, 2)
-      full join (select member_id, time_period, round(sum(t.memmos), 2) as b from mtime t join win on elig_month between inc_start and inc_end join mem using (member_id, time_period) group by 1, 2) using (member_id, time_period)
-      where a is distinct from b""")
-def _(r):
-    return checks.months_differ(r.members, r.member_elig)
-
-
-@query("v_member_costs_reconcile", """select time_period, a as a_total_cost, b as b_prm_paid from (select time_period, cast(sum(paid) as double) as a from lim group by 1) full join (select time_period, cast(sum(prm_paid) as double) as b from cu group by 1) using (time_period)
-      where round(a, 2) is distinct from round(b, 2)""")
-def _(r):
-    return checks.member_costs_differ(r.member_costs, r.cost_util)
-
-
-@query("v_metric_rederived", """select 'prm_costs_sum_all_services' as metric_id, time_period, elig_status_1, a as check_value, b as metric_value from (select time_period, elig_status_1, round(cast(sum(prm_costs) as double)) as a from cu group by 1, 2)
-      join (select time_period, elig_status_1, round(cast(prm_costs_sum_all_services as double)) as b from ba) using (time_period, elig_status_1) where a is distinct from b
-      union all select 'pct_office_visits_pcp', time_period, elig_status_1, a, b from (select time_period, elig_status_1, sum(case when prm_line = 'P32c' then prm_util else 0 end) / sum(prm_util) as a from cu where prm_line like 'P32%' group by 1, 2)
-      join (select time_period, elig_status_1, sum(case when prm_line = 'P32c' then prm_util else 0 end) / sum(prm_util) as b from opc where prm_line like 'P32%' group by 1, 2) using (time_period, elig_status_1) where round(a, 6) is distinct from round(b, 6)""")
-def _(r):
-    return R.stack([
-        checks.metric_differs(r.cost_util, r.metrics_basic, "prm_costs_sum_all_services", "prm_costs", coverage=None),
-        checks.metric_differs(r.cost_util, r.metrics_basic, "discharges_sum_all_services", "prm_discharges"),
-        checks.office_visits_differ(r.cost_util, r.metrics_outpatient),
-    ])
-
-
-_PREFIX_SQL = "\nunion all\n".join(
-    f"select time_period, elig_status_1, '{m}' as metric_id, {ratio(f'sum({c})')} as check_value, {ratio(f'sum({c})')} as metric_value from cu where prm_coverage_type = 'Medical' and lower(prm_line) like '{p.lower()}%'"
-    + (f" and lower(prm_line) not in ({', '.join(repr(x.lower()) for x in out)})" if out else "")
-    + f" and (time_period, elig_status_1) in (select time_period, elig_status_1 from {src}) group by 1, 2"
-    for (m, c, p, out), src in zip(checks.PREFIX_RULES, ["ipm"] * 4 + ["opu"] * 4 + ["snfm", "edc"])
-)
-
-
-@query("v_prefix_metrics", _PREFIX_SQL)
-def _(r):
-    metrics = R.stack([r.metrics_inpatient, r.metrics_outpatient, r.metrics_snf, r.metrics_er])
-    return checks.all_prefix_metrics(r.cost_util, metrics)
-
-
-@query("v_memmos_reconcile", """select a as memmos_check, b as memmos_metric from (select sum(mm.memmos_medical) as a from mm join mem using (member_id, time_period)), (select sum(memmos_sum) as b from ba) where round(a) is distinct from round(b)""")
-def _(r):
-    return checks.memmos_differ(r.memmos, r.metrics_basic)
-
-
-@query("v_discharges_agree", """select a as cost_model_discharges, b as ip_disch from (select cast(sum(prm_discharges) as double) as a from cu where upper(prm_line) <> 'I31'), (select cast(sum(cnt_discharges_inpatient) as double) as b from ipd) where a is distinct from b""")
-def _(r):
-    return checks.discharges_differ(r.cost_util, r.metrics_discharge_status)
-
-
 @query(
     "category_coverage",
     "select coalesce(e.c, o.c) as metric_category, case when e.c is null then 'N' else 'Y' end as in_expected, case when o.c is null then 'N' else 'Y' end as in_observed from (select unnest(string_split('inpatient~discharge_status~snf~er~outpatient~end_of_life~basic', '~')) as c) e full join (select distinct lower(c) as c from (select 'Basic' as c from ba union select 'Inpatient' from ipp union select 'unlisted' from mem)) o on e.c = o.c where e.c is null or o.c is null",
@@ -728,55 +674,11 @@ def _(r):
     return value_violations(conform(wrong, r.schema, "memmos"), r.schema, "memmos")
 
 
-@query("v_declared_keys", "select time_period, elig_status_1, member_id, count(*) as rows from mem group by 1, 2, 3 having count(*) > 1")
-def _(r):
-    return key_violations(r.member_costs.withColumn("elig_status_1", F.lit("x")), r.schema, "member_costs").select("time_period", F.lit("x").alias("elig_status_1"), "member_id", "rows")
-
-
-@query("v_client_column", "select 'members' as name_table, cast(null as varchar) as name_client from mem where false union all select 'members', null from (select 1)")
-def _(r):
-    return checks.client_names({"cost_util": r.cost_util, "member_costs": r.member_costs, "members": r.members.select("member_id")}, r.s.client)
-
-
 @query("v_metric_ids", "select distinct p_brand as metric_id from part where not regexp_matches(p_brand, '^[A-Za-z_][A-Za-z0-9_]{0,31}$')")
 def _(r):
     return checks.bad_metric_ids(r.m.table("part").select(C("p_brand").alias("metric_id")))
 
 
-@query("v_living_flags", """select time_period, elig_status_1, deceased_yn from mc where deceased_yn = 'N' and (deceased_hospital_yn = 'Y' or final_hospice_days <> 0 or costs_final_30_days_sum <> 0 or endoflife_denom_yn_hospicelt3day = 'Y'
-      or endoflife_numer_yn_hospicelt3day = 'Y' or endoflife_numer_yn_chemolt14days = 'Y' or endoflife_denom_yn_chemolt14days = 'Y' or endoflife_numer_yn_hospicenever = 'Y' or endoflife_denom_yn_hospicenever = 'Y')""")
-def _(r):
-    return checks.living_with_death_data(r.memcnt, EOL_FLAGS).select("time_period", "elig_status_1", "deceased_yn")
-
-
-@query("v_non_acute", "select time_period, prv_id_inpatient from ipd where acute_yn = 'N'")
-def _(r):
-    return checks.non_acute_rows(r.details_inpatient).select("time_period", "prv_id_inpatient")
-
-
-_DETAILS_SQL = " union all ".join(
-    f"""select time_period, elig_status_1, '{rule}' as rule from (select time_period, elig_status_1, sum({d}) as d, sum({u}) as u, round(cast(sum({c}) as double), 2) as c from {src} where {w1} group by 1, 2) a
-      full join (select time_period, elig_status_1, sum(prm_discharges) as d2, sum(prm_days) as u2, round(cast(sum(prm_costs) as double), 2) as c2 from cu where {w2} group by 1, 2) b using (time_period, elig_status_1)
-      where d is distinct from d2 or u is distinct from u2 or c is distinct from c2"""
-    for rule, src, d, u, c, w1, w2 in [
-        ("acute_yn=Y", "ipd", "cnt_discharges_inpatient", "sum_days_inpatient", "sum_costs_inpatient", "acute_yn = 'Y'", "prm_line like 'I%' and prm_line <> 'I31'"),
-        ("medical_surgical=Medical", "ipd", "cnt_discharges_inpatient", "sum_days_inpatient", "sum_costs_inpatient", "medical_surgical = 'Medical'", "prm_line like 'I11%'"),
-        ("medical_surgical=Surgical", "ipd", "cnt_discharges_inpatient", "sum_days_inpatient", "sum_costs_inpatient", "medical_surgical = 'Surgical'", "prm_line like 'I12%'"),
-        ("medical_surgical=None", "ipd", "cnt_discharges_inpatient", "sum_days_inpatient", "sum_costs_inpatient", "medical_surgical = 'None'", "prm_line like 'I%' and upper(prm_line) not in ('I31', 'I11A', 'I11B', 'I11C', 'I12')"),
-        ("snf", "snfd", "cnt_discharges_snf", "sum_days_snf", "sum_costs_snf", "true", "prm_line = 'I31'"),
-    ]
-)
-
-
-@query("v_details_reconcile", _DETAILS_SQL)
-def _(r):
-    frames = [
-        checks.details_differ(r.details_inpatient, r.cost_util, f, v, p, out).select("time_period", "elig_status_1", F.lit(f"{f}={v}").alias("rule"))
-        for f, v, p, out in checks.DETAIL_RULES
-    ]
-    return R.stack([*frames, checks.snf_details_differ(r.details_snf, r.cost_util).select("time_period", "elig_status_1", F.lit("snf").alias("rule"))])
-
-
 @query("v_unit_types", "select max(n) as max_util_types from (select metric_id, count(distinct costmodel_util) as n from opl where metric_id is not null group by 1)")
 def _(r):
     return outpatient.util_types_per_metric(outpatient.line_metrics(r.m.mr_line_info))
@@ -796,31 +698,6 @@ def _(r):
 # -- mart -----------------------------------------------------------------------------------------------------------
 
 
-@query(
-    "mart_tables",
-    """select 'cost_util' as name_table, count(*) as rows from cu union all select 'member_costs', count(*) from (select distinct member_id, time_period from lim)
-      union all select 'details_inpatient', count(*) from ipd union all select 'memcnt', count(*) from mc""",
-)
-def _(r):
-    return mart.table_counts(mart.assemble({n: getattr(r, n) for n in ["cost_util", "member_costs", "details_inpatient", "memcnt"]}, r.schema))
-
-
-_DICT = [("name_client", "varchar", "Y"), ("member_id", "char", "Y"), ("time_period", "varchar", "Y"), ("total_cost", "float", "N")]
-
-
-@query(
-    "data_dictionary",
-    " union all ".join(
-        f"select 'member_costs' as name_table, cast({i + 1} as bigint) as position, '{c}' as name_field, '{t}' as data_type, '{k}' as key_table, count(*) as values_present, "
-        + {"name_client": "cast(1 as bigint)", "member_id": "count(distinct member_id)", "time_period": "count(distinct time_period)", "total_cost": "count(distinct t)"}[c]
-        + " as values_distinct from (select member_id, time_period, cast(sum(paid) as double) as t from lim group by all)"
-        for i, (c, t, k) in enumerate(_DICT)
-    ),
-)
-def _(r):
-    return mart.observed_profile(conform(r.member_costs, r.schema, "member_costs"), r.schema, "member_costs")
-
-
 @query("meta_field_use", "select 'p_brand' as meta_field, count(distinct p_brand) as n from part union all select 'p_type', count(distinct p_type) from part")
 def _(r):
     return r.m.table("part").agg(F.countDistinct("p_brand").alias("p_brand"), F.countDistinct("p_type").alias("p_type")).unpivot([], ["p_brand", "p_type"], "meta_field", "n")

@@ -10,136 +10,180 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from popledger.settings import ReportSettings
 
-# name|type|size|nulls allowed|allowed values|label required, in declared order.
-FIELDS = """
-name_client|varchar|256|N||N
-time_period|varchar|32|N||N
-prm_line|char|5|N||N
-prm_line_desc|varchar|128|N||N
-mcrm_line|varchar|8|N||N
-elig_status_1|varchar|64|N||Y
-prv_net_aco_yn|char|1|N|Y~N|N
-prm_util_type|varchar|16|N||N
-prm_discharges|integer||N||N
-prm_days|integer||N||N
-prm_util|integer||N||N
-prm_memmos|float||N||N
-prm_costs|float||N||N
-prm_allowed|float||N||N
-prm_paid|float||N||N
-member_count|integer||N||N
-cost_bucket|varchar|45|N||N
-providerid|varchar|40|N||N
-provider|varchar|128|N||N
-claim_count|integer||N||N
-specialty|varchar|2|N||N
-hcpcs|varchar|5|Y||N
-prm_coverage_type|varchar|8|N|Medical~Dental~Vision~Rx~Total|N
-type_benchmark|varchar|8|N|Loosely~Well|N
-riskscr_service_avg_util|float||N||N
-riskscr_service_avg_cost|float||N||N
-benchmark_discharges_per1k|float||N||N
-benchmark_days_per1k|float||N||N
-benchmark_util_per1k|float||N||N
-deceased_yn|char|1|N|Y~N|N
-deceased_hospital_yn|char|1|N|Y~N|N
-endoflife_numer_yn_chemolt14days|char|1|N|Y~N|N
-endoflife_denom_yn_chemolt14days|char|1|N|Y~N|N
-endoflife_numer_yn_hospicelt3day|char|1|N|Y~N|N
-endoflife_denom_yn_hospicelt3day|char|1|N|Y~N|N
-endoflife_numer_yn_hospicenever|char|1|N|Y~N|N
-endoflife_denom_yn_hospicenever|char|1|N|Y~N|N
-age_avg|float||N||N
-final_hospice_days|integer||N||N
-costs_final_30_days_sum|float||N||N
-risk_score_type|varchar|32|N||N
-riskscr_avg|float||N||N
-memcnt|integer||N||N
-riskscr_cred|float||N||N
-prv_id_inpatient|varchar|40|N||N
-discharge_status_code|char|2|N||N
-discharge_status_desc|varchar|256|N||N
-drg_inpatient|char|3|N||N
-drg_version_inpatient|char|5|N||N
-acute_yn|char|1|N|Y~N|N
-medical_surgical|char|8|N|Medical~Surgical~None|N
-inpatient_pqi_yn|char|1|N|Y~N|N
-prm_ahrq_pqi|char|16|N||N
-inpatient_discharge_to_snf_yn|char|1|N|Y~N|N
-inpatient_readmit_potential_yn|char|1|N|Y~N|N
-inpatient_readmit_yn|char|1|N|Y~N|N
-preference_sensitive_yn|char|1|N|Y~N|N
-prm_pref_sensitive_category|char|50|N||N
-los_inpatient|integer||N||N
-cnt_discharges_inpatient|integer||N||N
-sum_days_inpatient|integer||N||N
-sum_costs_inpatient|float||N||N
-prv_id_snf|varchar|40|N||N
-snf_readmit_yn|char|1|N|Y~N|N
-los_snf|integer||N||N
-cnt_discharges_snf|integer||N||N
-sum_days_snf|integer||N||N
-sum_costs_snf|float||N||N
-sum_costs_prof_snf|float||N||N
-metric_category|varchar|32|N|inpatient~discharge_status~snf~er~outpatient~end_of_life~basic|N
-metric_id|varchar|32|N||N
-metric_name|varchar|256|N||N
-metric_value|float||N||N
-inc_start|date||N||N
-inc_end|date||N||N
-paid_thru|date||N||N
-inc_start_riskscr_features|date||N||N
-inc_end_riskscr_features|date||N||N
-riskscr_period_type|char|12|N|Prospective~Concurrent|N
-meta_field|varchar|32|N||N
-meta_field_label|varchar|80|Y||N
-meta_field_comment|varchar|4096|N||N
-meta_project|varchar|64|N||N
-meta_project_string|varchar|1024|Y||N
-meta_project_date|date||Y||N
-meta_project_integer|integer||Y||N
-meta_project_notes|varchar|256|N||N
-mcrm_line_desc_l1|varchar|128|N||N
-mcrm_line_desc_l2|varchar|128|Y||N
-mcrm_line_desc_l3|varchar|128|Y||N
-mcrm_line_desc_l4|varchar|128|Y||N
-mcrm_line_desc_l5|varchar|128|Y||N
-mcrm_line_desc_l6|varchar|128|Y||N
-riskscr_wgt|float||N||N
-member_id|char|40|N||N
-elig_months|float||N||N
-total_cost|float||N||N
-"""
-
-# Key fields / other fields of each output table.
+# Name, type, size, whether nulls are allowed, allowed values, whether a label is required; in declared order.
+FIELDS = [
+    ("name_client", "varchar", 256, False, [], False),
+    ("time_period", "varchar", 32, False, [], False),
+    ("prm_line", "char", 5, False, [], False),
+    ("prm_line_desc", "varchar", 128, False, [], False),
+    ("mcrm_line", "varchar", 8, False, [], False),
+    ("elig_status_1", "varchar", 64, False, [], True),
+    ("prv_net_aco_yn", "char", 1, False, ["Y", "N"], False),
+    ("prm_util_type", "varchar", 16, False, [], False),
+    ("prm_discharges", "integer", None, False, [], False),
+    ("prm_days", "integer", None, False, [], False),
+    ("prm_util", "integer", None, False, [], False),
+    ("prm_memmos", "float", None, False, [], False),
+    ("prm_costs", "float", None, False, [], False),
+    ("prm_allowed", "float", None, False, [], False),
+    ("prm_paid", "float", None, False, [], False),
+    ("member_count", "integer", None, False, [], False),
+    ("cost_bucket", "varchar", 45, False, [], False),
+    ("providerid", "varchar", 40, False, [], False),
+    ("provider", "varchar", 128, False, [], False),
+    ("claim_count", "integer", None, False, [], False),
+    ("specialty", "varchar", 2, False, [], False),
+    ("hcpcs", "varchar", 5, True, [], False),
+    ("prm_coverage_type", "varchar", 8, False, ["Medical", "Dental", "Vision", "Rx", "Total"], False),
+    ("type_benchmark", "varchar", 8, False, ["Loosely", "Well"], False),
+    ("riskscr_service_avg_util", "float", None, False, [], False),
+    ("riskscr_service_avg_cost", "float", None, False, [], False),
+    ("benchmark_discharges_per1k", "float", None, False, [], False),
+    ("benchmark_days_per1k", "float", None, False, [], False),
+    ("benchmark_util_per1k", "float", None, False, [], False),
+    ("deceased_yn", "char", 1, False, ["Y", "N"], False),
+    ("deceased_hospital_yn", "char", 1, False, ["Y", "N"], False),
+    ("endoflife_numer_yn_chemolt14days", "char", 1, False, ["Y", "N"], False),
+    ("endoflife_denom_yn_chemolt14days", "char", 1, False, ["Y", "N"], False),
+    ("endoflife_numer_yn_hospicelt3day", "char", 1, False, ["Y", "N"], False),
+    ("endoflife_denom_yn_hospicelt3day", "char", 1, False, ["Y", "N"], False),
+    ("endoflife_numer_yn_hospicenever", "char", 1, False, ["Y", "N"], False),
+    ("endoflife_denom_yn_hospicenever", "char", 1, False, ["Y", "N"], False),
+    ("age_avg", "float", None, False, [], False),
+    ("final_hospice_days", "integer", None, False, [], False),
+    ("costs_final_30_days_sum", "float", None, False, [], False),
+    ("risk_score_type", "varchar", 32, False, [], False),
+    ("riskscr_avg", "float", None, False, [], False),
+    ("memcnt", "integer", None, False, [], False),
+    ("riskscr_cred", "float", None, False, [], False),
+    ("prv_id_inpatient", "varchar", 40, False, [], False),
+    ("discharge_status_code", "char", 2, False, [], False),
+    ("discharge_status_desc", "varchar", 256, False, [], False),
+    ("drg_inpatient", "char", 3, False, [], False),
+    ("drg_version_inpatient", "char", 5, False, [], False),
+    ("acute_yn", "char", 1, False, ["Y", "N"], False),
+    ("medical_surgical", "char", 8, False, ["Medical", "Surgical", "None"], False),
+    ("inpatient_pqi_yn", "char", 1, False, ["Y", "N"], False),
+    ("prm_ahrq_pqi", "char", 16, False, [], False),
+    ("inpatient_discharge_to_snf_yn", "char", 1, False, ["Y", "N"], False),
+    ("inpatient_readmit_potential_yn", "char", 1, False, ["Y", "N"], False),
+    ("inpatient_readmit_yn", "char", 1, False, ["Y", "N"], False),
+    ("preference_sensitive_yn", "char", 1, False, ["Y", "N"], False),
+    ("prm_pref_sensitive_category", "char", 50, False, [], False),
+    ("los_inpatient", "integer", None, False, [], False),
+    ("cnt_discharges_inpatient", "integer", None, False, [], False),
+    ("sum_days_inpatient", "integer", None, False, [], False),
+    ("sum_costs_inpatient", "float", None, False, [], False),
+    ("prv_id_snf", "varchar", 40, False, [], False),
+    ("snf_readmit_yn", "char", 1, False, ["Y", "N"], False),
+    ("los_snf", "integer", None, False, [], False),
+    ("cnt_discharges_snf", "integer", None, False, [], False),
+    ("sum_days_snf", "integer", None, False, [], False),
+    ("sum_costs_snf", "float", None, False, [], False),
+    ("sum_costs_prof_snf", "float", None, False, [], False),
+    ("metric_category", "varchar", 32, False, ["inpatient", "discharge_status", "snf", "er", "outpatient", "end_of_life", "basic"], False),
+    ("metric_id", "varchar", 32, False, [], False),
+    ("metric_name", "varchar", 256, False, [], False),
+    ("metric_value", "float", None, False, [], False),
+    ("inc_start", "date", None, False, [], False),
+    ("inc_end", "date", None, False, [], False),
+    ("paid_thru", "date", None, False, [], False),
+    ("inc_start_riskscr_features", "date", None, False, [], False),
+    ("inc_end_riskscr_features", "date", None, False, [], False),
+    ("riskscr_period_type", "char", 12, False, ["Prospective", "Concurrent"], False),
+    ("meta_field", "varchar", 32, False, [], False),
+    ("meta_field_label", "varchar", 80, True, [], False),
+    ("meta_field_comment", "varchar", 4096, False, [], False),
+    ("meta_project", "varchar", 64, False, [], False),
+    ("meta_project_string", "varchar", 1024, True, [], False),
+    ("meta_project_date", "date", None, True, [], False),
+    ("meta_project_integer", "integer", None, True, [], False),
+    ("meta_project_notes", "varchar", 256, False, [], False),
+    ("mcrm_line_desc_l1", "varchar", 128, False, [], False),
+    ("mcrm_line_desc_l2", "varchar", 128, True, [], False),
+    ("mcrm_line_desc_l3", "varchar", 128, True, [], False),
+    ("mcrm_line_desc_l4", "varchar", 128, True, [], False),
+    ("mcrm_line_desc_l5", "varchar", 128, True, [], False),
+    ("mcrm_line_desc_l6", "varchar", 128, True, [], False),
+    ("riskscr_wgt", "float", None, False, [], False),
+    ("member_id", "char", 40, False, [], False),
+    ("elig_months", "float", None, False, [], False),
+    ("total_cost", "float", None, False, [], False),
+]
+
+# Key fields, then the other fields, of each output table.
 TABLES = {
-    "cost_util": ("name_client time_period prm_line mcrm_line elig_status_1 prv_net_aco_yn",
-                  "prm_discharges prm_days prm_util prm_costs prm_allowed prm_paid prm_coverage_type"),
-    "claims_distribution": ("name_client time_period elig_status_1 cost_bucket", "member_count prm_costs"),
-    "office_admin_drug": ("name_client time_period elig_status_1 providerid hcpcs", "claim_count provider specialty prm_costs"),
-    "memmos": ("name_client time_period elig_status_1 prm_coverage_type", "prm_memmos"),
-    "ref_prm_line": ("prm_line",
-                     "name_client prm_line_desc mcrm_line mcrm_line_desc_l1 mcrm_line_desc_l2 mcrm_line_desc_l3 mcrm_line_desc_l4 "
-                     "mcrm_line_desc_l5 mcrm_line_desc_l6 prm_util_type prm_coverage_type"),
-    "cost_util_benchmark": ("name_client time_period mcrm_line elig_status_1 type_benchmark",
-                            "riskscr_service_avg_util riskscr_service_avg_cost benchmark_discharges_per1k benchmark_days_per1k benchmark_util_per1k"),
-    "memcnt": ("name_client time_period elig_status_1 deceased_yn deceased_hospital_yn endoflife_numer_yn_chemolt14days "
-               "endoflife_denom_yn_chemolt14days endoflife_numer_yn_hospicelt3day endoflife_denom_yn_hospicelt3day "
-               "endoflife_numer_yn_hospicenever endoflife_denom_yn_hospicenever final_hospice_days",
-               "age_avg costs_final_30_days_sum risk_score_type riskscr_avg riskscr_wgt riskscr_cred memcnt"),
-    "details_inpatient": ("name_client elig_status_1 time_period prv_id_inpatient discharge_status_code drg_inpatient drg_version_inpatient "
-                          "acute_yn medical_surgical inpatient_pqi_yn prm_ahrq_pqi inpatient_discharge_to_snf_yn preference_sensitive_yn "
-                          "prm_pref_sensitive_category inpatient_readmit_potential_yn inpatient_readmit_yn los_inpatient",
-                          "discharge_status_desc cnt_discharges_inpatient sum_days_inpatient sum_costs_inpatient"),
-    "details_snf": ("name_client time_period elig_status_1 prv_id_snf snf_readmit_yn los_snf", "cnt_discharges_snf sum_days_snf sum_costs_snf"),
-    "details_snf_professional": ("name_client time_period elig_status_1 prv_id_snf", "sum_costs_prof_snf"),
-    "metrics_key_value": ("name_client time_period elig_status_1 metric_category metric_id", "metric_name metric_value"),
-    "time_windows": ("name_client time_period",
-                     "inc_start inc_end paid_thru inc_start_riskscr_features inc_end_riskscr_features riskscr_period_type"),
-    "meta_field": ("name_client meta_field", "meta_field_label meta_field_comment"),
-    "member_costs": ("name_client member_id time_period", "total_cost"),
-    "member_elig": ("name_client time_period member_id elig_status_1", "elig_months"),
-    "meta_project": ("name_client meta_project", "meta_project_string meta_project_date meta_project_integer meta_project_notes"),
+    "cost_util": (
+        ["name_client", "time_period", "prm_line", "mcrm_line", "elig_status_1", "prv_net_aco_yn"],
+        ["prm_discharges", "prm_days", "prm_util", "prm_costs", "prm_allowed", "prm_paid", "prm_coverage_type"],
+    ),
+    "claims_distribution": (
+        ["name_client", "time_period", "elig_status_1", "cost_bucket"],
+        ["member_count", "prm_costs"],
+    ),
+    "office_admin_drug": (
+        ["name_client", "time_period", "elig_status_1", "providerid", "hcpcs"],
+        ["claim_count", "provider", "specialty", "prm_costs"],
+    ),
+    "memmos": (
+        ["name_client", "time_period", "elig_status_1", "prm_coverage_type"],
+        ["prm_memmos"],
+    ),
+    "ref_prm_line": (
+        ["prm_line"],
+        ["name_client", "prm_line_desc", "mcrm_line", "mcrm_line_desc_l1", "mcrm_line_desc_l2", "mcrm_line_desc_l3",
+         "mcrm_line_desc_l4", "mcrm_line_desc_l5", "mcrm_line_desc_l6", "prm_util_type", "prm_coverage_type"],
+    ),
+    "cost_util_benchmark": (
+        ["name_client", "time_period", "mcrm_line", "elig_status_1", "type_benchmark"],
+        ["riskscr_service_avg_util", "riskscr_service_avg_cost", "benchmark_discharges_per1k", "benchmark_days_per1k",
+         "benchmark_util_per1k"],
+    ),
+    "memcnt": (
+        ["name_client", "time_period", "elig_status_1", "deceased_yn", "deceased_hospital_yn", "endoflife_numer_yn_chemolt14days",
+         "endoflife_denom_yn_chemolt14days", "endoflife_numer_yn_hospicelt3day", "endoflife_denom_yn_hospicelt3day",
+         "endoflife_numer_yn_hospicenever", "endoflife_denom_yn_hospicenever", "final_hospice_days"],
+        ["age_avg", "costs_final_30_days_sum", "risk_score_type", "riskscr_avg", "riskscr_wgt", "riskscr_cred", "memcnt"],
+    ),
+    "details_inpatient": (
+        ["name_client", "elig_status_1", "time_period", "prv_id_inpatient", "discharge_status_code", "drg_inpatient",
+         "drg_version_inpatient", "acute_yn", "medical_surgical", "inpatient_pqi_yn", "prm_ahrq_pqi", "inpatient_discharge_to_snf_yn",
+         "preference_sensitive_yn", "prm_pref_sensitive_category", "inpatient_readmit_potential_yn", "inpatient_readmit_yn",
+         "los_inpatient"],
+        ["discharge_status_desc", "cnt_discharges_inpatient", "sum_days_inpatient", "sum_costs_inpatient"],
+    ),
+    "details_snf": (
+        ["name_client", "time_period", "elig_status_1", "prv_id_snf", "snf_readmit_yn", "los_snf"],
+        ["cnt_discharges_snf", "sum_days_snf", "sum_costs_snf"],
+    ),
+    "details_snf_professional": (
+        ["name_client", "time_period", "elig_status_1", "prv_id_snf"],
+        ["sum_costs_prof_snf"],
+    ),
+    "metrics_key_value": (
+        ["name_client", "time_period", "elig_status_1", "metric_category", "metric_id"],
+        ["metric_name", "metric_value"],
+    ),
+    "time_windows": (
+        ["name_client", "time_period"],
+        ["inc_start", "inc_end", "paid_thru", "inc_start_riskscr_features", "inc_end_riskscr_features", "riskscr_period_type"],
+    ),
+    "meta_field": (
+        ["name_client", "meta_field"],
+        ["meta_field_label", "meta_field_comment"],
+    ),
+    "member_costs": (
+        ["name_client", "member_id", "time_period"],
+        ["total_cost"],
+    ),
+    "member_elig": (
+        ["name_client", "time_period", "member_id", "elig_status_1"],
+        ["elig_months"],
+    ),
+    "meta_project": (
+        ["name_client", "meta_project"],
+        ["meta_project_string", "meta_project_date", "meta_project_integer", "meta_project_notes"],
+    ),
 }
 
 SPARK_TYPES = {
@@ -174,12 +218,11 @@ class MartSchema:
     def declared(cls, settings: ReportSettings | None = None) -> "MartSchema":
         settings = settings or ReportSettings()
         fields = {}
-        for line in FIELDS.strip().splitlines():
-            name, kind, size, nulls, allowed, label = line.split("|")
+        for name, kind, size, nulls, allowed, label in FIELDS:
             if name == "risk_score_type":
-                allowed = f"{settings.hcc_label}~{settings.component_label}"
-            fields[name] = Field(name, kind, int(size) if size else None, nulls == "Y", tuple(filter(None, allowed.split("~"))), label == "Y")
-        return cls(fields, {t: (k.split(), m.split()) for t, (k, m) in TABLES.items()})
+                allowed = [settings.hcc_label, settings.component_label]
+            fields[name] = Field(name, kind, size, nulls, tuple(allowed), label)
+        return cls(fields, {t: (list(keys), list(rest)) for t, (keys, rest) in TABLES.items()})
 
     @classmethod
     def from_csv(cls, fields_csv: str, tables_csv: str) -> "MartSchema":
@@ -247,8 +290,8 @@ def schema_violations(df: DataFrame, schema: MartSchema, table: str) -> list[str
     return issues
 
 
-def value_violations(df: DataFrame, schema: MartSchema, table: str) -> DataFrame:
-    """Rows violating the nulls, length and allowed-value rules counted per rule, all in one pass."""
+def rules_of(schema: MartSchema, table: str, client: str | None = None) -> list[tuple[str, str, Column]]:
+    """Field, rule and the test a violating row meets, for every declared rule of a table but the key. ``client``: the only client name."""
     rules: list[tuple[str, str, Column]] = []
     for name in schema.columns(table):
         f, c = schema.fields[name], F.col(name)
@@ -258,12 +301,31 @@ def value_violations(df: DataFrame, schema: MartSchema, table: str) -> DataFrame
             rules.append((name, "too long", F.length(c) > f.size))
         if f.whitelist:
             rules.append((name, "not allowed", c.isNotNull() & ~F.lower(c).isin([w.lower() for w in f.whitelist])))
-    counts = df.agg(*[F.sum(F.when(test, 1).otherwise(0)).alias(f"r{i}") for i, (_, _, test) in enumerate(rules)])
-    rows = F.array(*[
-        F.struct(F.lit(table).alias("name_table"), F.lit(n).alias("name_field"), F.lit(kind).alias("rule"), F.coalesce(F.col(f"r{i}"), F.lit(0)).alias("rows"))
-        for i, (n, kind, _) in enumerate(rules)
-    ])
-    return counts.select(F.explode(rows).alias("v")).select("v.*").where("rows > 0")
+        if client is not None and name == "name_client":
+            rules.append((name, "other client", ~F.upper(c).eqNullSafe(F.lit(client.upper()))))
+    return rules
+
+
+def rule_results(df: DataFrame, schema: MartSchema, table: str, client: str | None = None) -> DataFrame:
+    """Violating rows of every declared rule of a table, null, length, allowed values, client and key alike, in one pass and one shuffle.
+
+    Rows are summed per key first, which the key rule needs: a key with n rows has n - 1 too many."""
+    rules = rules_of(schema, table, client)
+    hit = lambda test: F.sum(F.when(test, 1).otherwise(0))
+    per_key = df.groupBy(*schema.keys(table)).agg(F.count(F.lit(1)).alias("_n"), *[hit(test).alias(f"_r{i}") for i, (_, _, test) in enumerate(rules)])
+    totals = per_key.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("checked"), F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("_key"),
+        *[F.coalesce(F.sum(f"_r{i}"), F.lit(0)).alias(f"r{i}") for i in range(len(rules))],
+    )
+    named = [(n, kind, F.col(f"r{i}")) for i, (n, kind, _) in enumerate(rules)] + [(",".join(schema.keys(table)), "key", F.col("_key"))]
+    rows = F.array(*[F.struct(F.lit(n).alias("name_field"), F.lit(kind).alias("rule"), c.alias("rows")) for n, kind, c in named])
+    return totals.select(F.lit(table).alias("name_table"), "checked", F.explode(rows).alias("v")).select("name_table", "checked", "v.*")
+
+
+def value_violations(df: DataFrame, schema: MartSchema, table: str) -> DataFrame:
+    """Rows violating the nulls, length and allowed-value rules counted per rule, all in one pass."""
+    found = rule_results(df, schema, table).where("rule <> 'key' and rows > 0")
+    return found.select("name_table", "name_field", "rule", "rows")
 
 
 def key_violations(df: DataFrame, schema: MartSchema, table: str) -> DataFrame:

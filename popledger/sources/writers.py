@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from popledger.sources.schema import MartSchema, conform
 
@@ -23,6 +23,22 @@ def write_declared(df: DataFrame, schema: MartSchema, table: str, folder: str) -
     return path
 
 
+def write_observed(df: DataFrame, schema: MartSchema, table: str, folder: str, labels: dict[str, str] | None = None) -> dict:
+    """Store a result as declared, and count its rows, their checksum and the nulls of every field on the way: nothing is read again.
+
+    The counts are taken in the last stage, whose tasks Spark counts once each, however often they are tried."""
+    rows = conform(df, schema, table, labels)
+    seen = Observation(table)
+    counts = [F.count(F.lit(1)).alias("rows"), F.sum(row_digest(rows)).alias("checksum")]
+    nulls = [F.sum(F.col(c).isNull().cast("bigint")).alias(f"null_{c}") for c in rows.columns]
+    write_table(rows.observe(seen, *counts, *nulls), f"{folder.rstrip('/')}/{table}")
+    got = seen.get
+    return {
+        "name_table": table, "rows": got["rows"], "checksum": str(got["checksum"] or 0),
+        "nulls": {c: got[f"null_{c}"] or 0 for c in rows.columns},
+    }
+
+
 def copy_tables(spark: SparkSession, source: str, target: str, tables: list[str]) -> None:
     for t in tables:
         write_table(spark.read.parquet(f"{source.rstrip('/')}/{t}"), f"{target.rstrip('/')}/{t}")
@@ -50,11 +66,15 @@ def row_text(df: DataFrame) -> Column:
     return F.concat(*parts)
 
 
+def row_digest(df: DataFrame) -> Column:
+    """Digest of a row as a whole number: the first 15 hexadecimal digits of the MD5 of its text fit a bigint."""
+    return F.conv(F.substring(F.md5(row_text(df)), 1, 15), 16, 10).cast("decimal(20,0)")
+
+
 def checksum(df: DataFrame, name: str) -> DataFrame:
-    """Row count and a sum of row digests that does not depend on the order of the rows."""
-    # the first 15 hexadecimal digits of a digest fit a bigint; their decimal sum cannot overflow
-    digest = F.conv(F.substring(F.md5(row_text(df)), 1, 15), 16, 10).cast("decimal(20,0)")
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.sum(digest).alias("checksum")).select(F.lit(name).alias("name_table"), "rows", "checksum")
+    """Row count and a sum of row digests, as text, that does not depend on the order of the rows. The decimal sum cannot overflow."""
+    total = F.coalesce(F.sum(row_digest(df)), F.lit(0)).cast("string")
+    return df.agg(F.count(F.lit(1)).alias("rows"), total.alias("checksum")).select(F.lit(name).alias("name_table"), "rows", "checksum")
 
 
 def file_digests(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
