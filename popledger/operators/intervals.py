@@ -37,6 +37,37 @@ def merge_spans(df: DataFrame, keys: Sequence[str], start: str, end: str, touchi
     )
 
 
+#: A block of level k is 4**k months; the top level's blocks are longer than the calendar.
+LEVELS = 10
+
+
+def month_number(day: Column) -> Column:
+    """Months since year 0."""
+    return F.year(day) * 12 + F.month(day) - 1
+
+
+def blocks_of(first: Column, last: Column) -> Column:
+    """The fewest aligned blocks that make up the months ``first`` to ``last``, as an array of (level, block).
+
+    On every level these are the blocks that fit into the range but lie in no block of the next level that fits as well: three at
+    most on either side. A range has under 60 blocks, one without an end (to the last month of year 9999) under 40."""
+    end = last + 1
+    low = lambda k: F.floor((first + (4**k - 1)) / F.lit(4**k)).cast("bigint")
+    high = lambda k: F.floor(end / F.lit(4**k)).cast("bigint")
+
+    def level(k: int) -> Column:
+        run = lambda a, b: F.when(a < b, F.transform(F.sequence(a, b - 1), lambda x: F.struct(F.lit(k).alias("level"), x.alias("block"))))
+        if k == LEVELS - 1:
+            return F.coalesce(run(low(k), high(k)), none)
+        fits = low(k + 1) < high(k + 1)
+        left = run(low(k), F.when(fits, low(k + 1) * 4).otherwise(high(k)))
+        right = F.when(fits, run(high(k + 1) * 4, high(k)))
+        return F.concat(F.coalesce(left, none), F.coalesce(right, none))
+
+    none = F.array().cast("array<struct<level:int,block:bigint>>")
+    return F.concat(*[level(k) for k in range(LEVELS)])
+
+
 def point_in_span(
     points: DataFrame,
     point: str,
@@ -49,24 +80,31 @@ def point_in_span(
 ) -> DataFrame:
     """Points joined to the spans of the same key that contain them.
 
-    Spans are spread over the months they touch, which makes this an equi-join on key
-    and month: a key with very many points or spans is split by month instead of being
-    compared all against all. ``horizon`` clips open-ended spans to the points' range.
+    A span is cut into the few aligned blocks of months that make it up, however long it is, and a point asks for the one block of
+    every level that holds it. This makes an equi-join on key, level and block: a key with very many points or spans is split by time
+    instead of being compared all against all, a span and a point meet once, and a span open to the end of the calendar costs some
+    thirty rows. ``horizon`` leaves out spans beyond the points' range.
     """
+    if how not in ("inner", "left_semi", "left_anti"):
+        raise ValueError(f"unknown join {how!r}")
     spans = spans.where(F.col(start) <= F.col(end))
-    lo, hi = F.col(start), F.col(end)
     if horizon:
-        spans = spans.where((lo <= F.lit(horizon[1])) & (hi >= F.lit(horizon[0])))
-        lo, hi = F.greatest(lo, F.lit(horizon[0])), F.least(hi, F.lit(horizon[1]))
-    months = F.sequence(F.trunc(lo, "month"), F.trunc(hi, "month"), F.expr("interval 1 month"))
-    spread = spans.withColumn("_month", F.explode(months)).withColumnsRenamed({k: f"_s_{k}" for k in on})
-    left = points.withColumn("_pmonth", F.trunc(F.col(point), "month"))
-    cond = (F.col("_pmonth") == F.col("_month")) & F.col(point).between(F.col(start), F.col(end))
+        spans = spans.where((F.col(start) <= F.lit(horizon[1])) & (F.col(end) >= F.lit(horizon[0])))
+    blocks = blocks_of(month_number(F.col(start)).cast("bigint"), month_number(F.col(end)).cast("bigint"))
+    spread = spans.withColumn("_block", F.explode(blocks)).withColumnsRenamed({k: f"_s_{k}" for k in on})
+    month = month_number(F.col(point)).cast("bigint")
+    asked = F.array(*[F.struct(F.lit(k).alias("level"), F.shiftright(month, 2 * k).alias("block")) for k in range(LEVELS)])
+    cond = (F.col("_pblock") == F.col("_block")) & F.col(point).between(F.col(start), F.col(end))
     for k in on:
         cond = cond & (F.col(k) == F.col(f"_s_{k}"))
+    # a point that is kept or left out by whether it has a span must stay one row: it is found by a row of its own
+    left = points.where(F.col(point).isNotNull()).withColumn("_pblock", F.explode(asked))
+    drop = ["_pblock", "_block", *[f"_s_{k}" for k in on]]
     if how in ("left_semi", "left_anti"):
-        return left.join(spread, cond, how).drop("_pmonth")
-    return left.join(spread, cond, how).drop("_pmonth", "_month", *[f"_s_{k}" for k in on])
+        keys = [*on, point]
+        found = left.select(*keys, "_pblock").join(spread, cond, "left_semi").select(*keys).distinct()
+        return points.join(found, keys, how)
+    return left.join(spread, cond, how).drop(*drop)
 
 
 def band_join(

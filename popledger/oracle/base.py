@@ -301,18 +301,48 @@ CTE = {
 _WORD = re.compile(r"[A-Za-z_0-9]+")
 
 
-def with_ctes(sql: str) -> str:
+def with_ctes(sql: str, ctes: dict[str, str] | None = None) -> str:
     """Prefix a statement with the definitions it uses, in dependency order."""
+    ctes = CTE if ctes is None else ctes
     order: list[str] = []
 
     def need(text: str) -> None:
         for word in dict.fromkeys(_WORD.findall(text)):
-            if word in CTE and word not in order:
-                need(CTE[word])
+            if word in ctes and word not in order:
+                need(ctes[word])
                 if word not in order:
                     order.append(word)
 
     need(sql)
     if not order:
         return sql.strip()
-    return "WITH " + ",\n".join(f"{n} AS ({CTE[n].strip()})" for n in order) + "\n" + sql.strip()
+    return "WITH " + ",\n".join(f"{n} AS ({ctes[n].strip()})" for n in order) + "\n" + sql.strip()
+
+
+# rows of a member in a window, by the column that names the window
+BY_MEMBER = {
+    "mem": "time_period", "pm": "time_period", "prx": "time_period", "mm": "time_period", "dec": "time_period", "assigned": "time_period",
+    "feed": "time_period", "comp_fit": "time_slice",
+}
+
+
+def grouped_ctes(closure: str) -> dict[str, str]:
+    """Definitions in which every row of a member in a window stands once per group of the member, the group before the window's label.
+
+    ``closure`` selects "group" and member_id. What the plain rows are made of is kept under names of its own."""
+    plain: dict[str, str] = {}
+
+    def copy(name: str) -> None:
+        if name not in plain:
+            plain[name] = ""
+            for word in set(_WORD.findall(CTE[name])):
+                if word in CTE:
+                    copy(word)
+            plain[name] = _WORD.sub(lambda m: f"{m[0]}_plain" if m[0] in CTE else m[0], CTE[name])
+
+    for n in BY_MEMBER:
+        copy(n)
+    out = {**CTE, **{f"{n}_plain": text for n, text in plain.items()}, "of_group": closure}
+    for n, label in BY_MEMBER.items():
+        out[n] = f"""select b.* replace ("group" || chr(31) || b.{label} as {label}) from {n}_plain b join of_group g on g.member_id = b.member_id"""
+    return out

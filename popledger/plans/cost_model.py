@@ -149,7 +149,11 @@ def cost_util(medical: ClaimLattice, pharmacy: ClaimLattice | None, link: DataFr
 
 def memmos(eligibility: DataFrame, windows: DataFrame, members: DataFrame, client: str) -> DataFrame:
     """Member months by window, status and coverage, long form."""
-    months = agg_memmos(eligibility, windows, ["member_id"])
+    return memmos_long(agg_memmos(eligibility, windows, ["member_id"]), members, client)
+
+
+def memmos_long(months: DataFrame, members: DataFrame, client: str) -> DataFrame:
+    """Months per member and window as the month table of the rostered ones."""
     limit = members.select("member_id", "time_period", "elig_status_1")
     wide = months.join(limit, ["member_id", "time_period"]).groupBy("time_period", "elig_status_1").agg(
         F.sum("memmos_medical").alias("memmos_medical"), F.sum("memmos_rx").alias("memmos_rx")

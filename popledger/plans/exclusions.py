@@ -37,10 +37,19 @@ def members_with_exclusion(members: DataFrame, exclusion: DataFrame) -> DataFram
     return members.join(reasons, F.col("member_id") == F.col("hicno"), "left_outer").drop("hicno")
 
 
+def declined() -> Column:
+    return same_ci("beneexcreason", "Beneficiary Declined")
+
+
 def metrics_optoutcount(exclusion: DataFrame, memcnt: DataFrame, client: str) -> DataFrame:
     """Members who declined, repeated for every window with members."""
-    declined = exclusion.agg(F.sum(F.when(same_ci("beneexcreason", "Beneficiary Declined"), 1).otherwise(0)).alias("opt_out_count"))
-    wide = memcnt.select("time_period").distinct().join(F.broadcast(declined)).withColumns({
+    total = exclusion.agg(F.sum(F.when(declined(), 1).otherwise(0)).alias("metric_value"))
+    return optout_rows(memcnt.select("time_period").distinct().join(total), client)
+
+
+def optout_rows(counts: DataFrame, client: str) -> DataFrame:
+    """Counts by window as metric rows."""
+    wide = counts.withColumnRenamed("metric_value", "opt_out_count").withColumns({
         "name_client": F.lit(client), "metric_category": F.lit("Basic"), "elig_status_1": F.lit("All")
     })
     return metrics_long(wide, ["name_client", "time_period", "metric_category", "elig_status_1"], LABELS)

@@ -13,7 +13,7 @@ from popledger.plans import (
     case_mix, cost_model, end_of_life, emergency, exclusions, fixes, groups, inpatient, mart, outpatient, roster, scores, snf, supplemental,
 )
 from popledger.registry.base import ORACLES, QUERIES, long_sql, money, query, ratio, staged_report, tidy, whole
-from popledger.oracle.base import with_ctes
+from popledger.oracle.base import grouped_ctes, with_ctes
 from popledger.plans.roster import EOL_FLAGS
 from popledger.sources.star import StarModel
 
@@ -164,12 +164,12 @@ def _(r):
     return r.cost_util
 
 
-@query(
-    "memmos",
-    f"""select {CLIENT}, time_period, elig_status_1, prm_coverage_type, {ratio('n')} as prm_memmos from (
+_MEMMOS = f"""select {CLIENT}, time_period, elig_status_1, prm_coverage_type, {ratio('n')} as prm_memmos from (
       select time_period, elig_status_1, 'Medical' as prm_coverage_type, sum(mm.memmos_medical) as n from mm join mem using (member_id, time_period) group by all
-      union all select time_period, elig_status_1, 'Rx', sum(mm.memmos_rx) from mm join mem using (member_id, time_period) group by all)""",
-)
+      union all select time_period, elig_status_1, 'Rx', sum(mm.memmos_rx) from mm join mem using (member_id, time_period) group by all)"""
+
+
+@query("memmos", _MEMMOS)
 def _(r):
     return r.memmos
 
@@ -673,6 +673,56 @@ def _(r):
     return groups.cost_by_group(r.member_spend, _closure(r))
 
 
+# -- report by group ----------------------------------------------------------------------------------------
+
+# two kinds of overlapping groups: the market segment, and members whose id ends in 0, 1 or 2; ids as the crosswalk knows them
+CTE["grp2"] = """select * from grp union all select 'Sample', cast(c_custkey as varchar) from customer where c_custkey % 10 < 3"""
+CTE["closure2"] = """select distinct "group", member_id from (select "group", crnt_hic_num as member_id from grp2 join xref on member_id = prvs_hic_num
+    union all select "group", prvs_hic_num from grp2 join xref on member_id = crnt_hic_num union all select "group", member_id from grp2)"""
+_BY_GROUP = grouped_ctes('select "group", member_id from closure2')
+_LABEL = "split_part(time_period, chr(31), 1) as \"group\", split_part(time_period, chr(31), 2) as time_period"
+
+
+def _group_report(r):
+    customer = r.m.table("customer").select("c_mktsegment", F.col("c_custkey").cast("string").alias("member_id"), "c_custkey")
+    lists = customer.select(F.col("c_mktsegment").alias("group"), "member_id").unionByName(
+        customer.where("c_custkey % 10 < 3").select(F.lit("Sample").alias("group"), "member_id")
+    )
+    return groups.GroupReport(r, groups.group_members(lists, r.m.bene_xref))
+
+
+_GROUP_KV = "\nunion all\n".join(_cols(x) for x in [_METRICS_BASIC, _PCT, _OVERLAP, _IP_SQL, _DS_SQL, _OP_SQL, _EOL_SQL, _SNF_SQL, _PROF_SQL, _ED_SQL])
+_GROUP_OPT = f"""select {CLIENT}, time_period, 'All' as elig_status_1, 'Basic' as metric_category, 'opt_out_count' as metric_id, 'Number of Beneficiaries Opting Out of Data Sharing' as metric_name,
+    {ratio('coalesce(n, 0)')} as metric_value from (select distinct time_period, split_part(time_period, chr(31), 1) as g from mem) p
+    left join (select "group" as g, count(*) filter (upper(beneexcreason) = 'BENEFICIARY DECLINED') as n from beneexc join closure2 on hicno = member_id group by 1) o using (g)"""
+
+
+@query("group_metrics", None, staged=True)
+def _(r):
+    return _group_report(r).metrics()
+
+
+ORACLES["group_metrics"] = with_ctes(
+    f"select {_LABEL}, name_client, elig_status_1, metric_category, metric_id, metric_name, metric_value from ({_GROUP_KV} union all {_cols(_GROUP_OPT)})", _BY_GROUP
+)
+
+
+@query("group_costs", None, staged=True)
+def _(r):
+    return _group_report(r).costs()
+
+
+ORACLES["group_costs"] = with_ctes(f"select {_LABEL}, * exclude (time_period) from ({_CU})", _BY_GROUP)
+
+
+@query("group_months", None, staged=True)
+def _(r):
+    return _group_report(r).months()
+
+
+ORACLES["group_months"] = with_ctes(f"select {_LABEL}, * exclude (time_period) from ({_MEMMOS})", _BY_GROUP)
+
+
 MARKETS = ["Automobile", "Building", "Furniture", "Household"]
 CTE["mkt"] = """select hicno, market_name, row_number() over (partition by market_name order by substr(md5(hicno), 1, 3), hicno) as n from (
     select cast(c_custkey as varchar) as hicno, upper(left(c_mktsegment, 1)) || lower(substr(c_mktsegment, 2)) as market_name from customer where c_mktsegment <> 'MACHINERY')"""

@@ -170,3 +170,32 @@ def test_day_bounds_reach_the_scan(model, capsys):
     agg_claims(model.outclaims, model.windows, ["prm_line"]).explain("formatted")
     text = capsys.readouterr().out
     assert "GreaterThanOrEqual(l_shipdate,1998-12-25" in text and "LessThan(l_shipdate,2001-07-01" in text
+
+
+def test_a_span_has_few_blocks_and_they_make_it_up(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(3)
+    far = date(9999, 12, 31)
+    spans = [(BASE, far), (date(1900, 1, 1), far), (date(1, 1, 1), far), (BASE, BASE), (date(1999, 12, 31), date(2000, 1, 1))]
+    for _ in range(60):
+        s = date(rng.randint(1, 9998), rng.randint(1, 12), rng.randint(1, 28))
+        spans.append((s, min(far, s + timedelta(days=rng.choice([3, 400, 30_000, 900_000])) if s.year < 7000 else far)))
+    month = lambda d: d.year * 12 + d.month - 1
+    rows = spark.createDataFrame(spans, "s date, e date")
+    got = rows.select("s", "e", I.blocks_of(I.month_number(F.col("s")).cast("bigint"), I.month_number(F.col("e")).cast("bigint")).alias("b")).collect()
+    for r in got:
+        held = [m for x in r.b for m in range(x.block * 4**x.level, (x.block + 1) * 4**x.level)] if len(r.b) < 60 else []
+        assert sorted(held) == list(range(month(r.s), month(r.e) + 1))
+        assert len(r.b) < (40 if r.e == far else 60)
+
+
+def test_point_in_span_keeps_or_drops_whole_rows(spark):
+    d = lambda n: BASE + timedelta(days=n)
+    points = spark.createDataFrame([("a", d(3), 1), ("a", d(3), 2), ("a", d(50), 3), ("b", d(3), 4), ("a", None, 5)], "k string, at date, n int")
+    spans = spark.createDataFrame([("a", d(0), d(5)), ("a", d(2), date(9999, 12, 31)), ("b", d(9), d(1))], "k string, s date, e date")
+    semi = I.point_in_span(points, "at", spans, "s", "e", ["k"], how="left_semi")
+    anti = I.point_in_span(points, "at", spans, "s", "e", ["k"], how="left_anti")
+    assert sorted(r.n for r in semi.collect()) == [1, 2, 3] and semi.columns == points.columns
+    assert sorted(r.n for r in anti.collect()) == [4, 5]
+    assert sorted(r.n for r in I.point_in_span(points, "at", spans, "s", "e", ["k"]).collect()) == [1, 1, 2, 2, 3]
