@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from popledger.llm.common import keyed, prepare
+from popledger.llm.common import keyed, lean, prepare
 from popledger.llm.pretokens import BatchEncoder
 from popledger.llm.transducer import decoder, transducer
 
@@ -42,7 +42,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
             )
 
     prepare(docs.sparkSession)
-    return keyed(docs, key, text).mapInArrow(run, "doc_id bigint, n_tokens bigint, ids binary")
+    return keyed(docs, key, text).mapInArrow(lean(run), "doc_id bigint, n_tokens bigint, ids binary")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -55,4 +55,4 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], names=["doc_id", "n_tokens", "ids", "decoded"])
 
     prepare(encoded.sparkSession)
-    return encoded.select("doc_id", "n_tokens", F.col("ids")).mapInArrow(run, "doc_id bigint, n_tokens bigint, ids binary, decoded string")
+    return encoded.select("doc_id", "n_tokens", F.col("ids")).mapInArrow(lean(run), "doc_id bigint, n_tokens bigint, ids binary, decoded string")

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from popledger.llm.common import keyed, prepare
+from popledger.llm.common import keyed, lean, prepare
 from popledger.llm.sequences import FOLDED_VALUES, WORD_BYTE, packed, parts, prefix, runs_of, stretch_hash, window_hashes, words
 
 #: Windows that may be broadcast: at about 120 bytes each, under 64 MB in every worker.
@@ -61,7 +61,7 @@ def benchmark_windows(benchmark: DataFrame, n: int, key: str = "item_id", text:
             flat = np.concatenate(hashes or [np.zeros(0, np.uint64)]).astype(np.int64)
             yield pa.record_batch([pa.array(item, pa.string()), pa.array(length, pa.int32()), pa.array(flat), pa.array(grams, pa.string())], names=["item", "length", "hash", "gram"])
 
-    return benchmark.select(F.col(key).cast("string").alias("item"), F.col(text).cast("string").alias("text")).where("item is not null").mapInArrow(cut, WINDOWS)
+    return benchmark.select(F.col(key).cast("string").alias("item"), F.col(text).cast("string").alias("text")).where("item is not null").mapInArrow(lean(cut), WINDOWS)
 
 
 class Index:
@@ -130,7 +130,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = 10, broadcast_windows:
                 names=["doc_id", "n_words", "n_hit", "items", "span_start", "span_end", "clean"],
             )
 
-    return keyed(docs).mapInArrow(find, SCAN)
+    return keyed(docs).mapInArrow(lean(find), SCAN)
 
 
 def scan_by_join(docs: DataFrame, windows: DataFrame) -> DataFrame:
@@ -173,7 +173,7 @@ def scan_by_join(docs: DataFrame, windows: DataFrame) -> DataFrame:
             )
 
     texts = keyed(docs)
-    met = texts.mapInArrow(cut, DOC_WINDOWS).join(windows.select("gram", "length", "item").distinct(), ["gram", "length"])
+    met = texts.mapInArrow(lean(cut), DOC_WINDOWS).join(windows.select("gram", "length", "item").distinct(), ["gram", "length"])
     found = met.groupBy("doc_id").agg(F.array_sort(F.collect_set("item")).alias("items"), F.collect_set(F.struct("start", "length")).alias("hits"))
     joined = texts.join(found, "doc_id", "left").select("doc_id", "text", F.coalesce("items", F.array().cast("array<string>")).alias("items"), "hits")
-    return joined.mapInArrow(rest, SCAN)
+    return joined.mapInArrow(lean(rest), SCAN)

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from popledger.llm.common import prepare, stored
+from popledger.llm.common import lean, prepare, stored
 
 #: Query terms (distinct in their query) of one block: at most a few MB of graph in every worker.
 BLOCK_TERMS = 32_768
@@ -85,7 +85,7 @@ def classes_of(queries: DataFrame, key: str, text: str) -> DataFrame:
             kinds = (pa.int64(), pa.string(), pa.list_(pa.binary()), pa.list_(pa.int64()))
             yield pa.record_batch([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=["id", "class", "terms", "times"])
 
-    return queries.select(F.col(key).cast("bigint").alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(cut, QUERY)
+    return queries.select(F.col(key).cast("bigint").alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(lean(cut), QUERY)
 
 
 def share(sets: list[list[int]], symbols: int) -> tuple[list[tuple[int, int]], list[list[int]]]:
@@ -244,7 +244,7 @@ def statistics(docs: DataFrame, row) -> dict[int, int]:
         have = np.flatnonzero(df)
         yield pa.record_batch([pa.array(np.r_[have, -1, -2], pa.int32()), pa.array(np.r_[df[have], documents, words], pa.int64())], names=["term", "n"])
 
-    found = docs.mapInArrow(count, "term int, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+    found = docs.mapInArrow(lean(count), "term int, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
     return {r.term: r.n for r in found.collect()}
 
 
@@ -268,7 +268,7 @@ def rank_block(docs: DataFrame, row, k: int) -> DataFrame:
         names = pa.array(classes, pa.string()).take(pa.array(c, pa.int64()))
         yield pa.record_batch([names, pa.array(ids, pa.int64(), mask=null == 1), pa.array(s, pa.int64())], names=["class", "doc_id", "score"])
 
-    return docs.mapInArrow(score, "class string, doc_id bigint, score bigint")
+    return docs.mapInArrow(lean(score), "class string, doc_id bigint, score bigint")
 
 
 def search(docs: DataFrame, queries: DataFrame, k: int = 10, key: str = "item_id", text: str = "text", block_terms: int = BLOCK_TERMS) -> DataFrame:

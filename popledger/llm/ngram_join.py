@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from popledger.llm.common import keyed, prepare, stored, text_bytes
+from popledger.llm.common import keyed, lean, prepare, stored, text_bytes
 from popledger.llm.components import attach, components
 from popledger.llm.repeats import blob, by_bucket, unblob
 from popledger.llm.sequences import FOLDED_VALUES, NOT_WHITE, mix, packed, parts, prefix, stretch_hash, words
@@ -149,7 +149,7 @@ def sets_table(docs: DataFrame, n: int) -> DataFrame:
             found = [(len(s), digest(s)) for s in sets_of(batch.column(1), n)]
             yield pa.record_batch([batch.column(0), *(pa.array([x[i] for x in found], pa.int64()) for i in (0, 1))], names=["doc_id", "n", "node"])
 
-    return docs.mapInArrow(run, "doc_id bigint, n bigint, node bigint")
+    return docs.mapInArrow(lean(run), "doc_id bigint, n bigint, node bigint")
 
 
 def stars(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -178,7 +178,7 @@ def common_slices(docs: DataFrame, n: int, percent: int) -> np.ndarray:
             yield pa.record_batch([pa.array(own[again].astype(np.int64)), pa.array(times[again].astype(np.int64)), pa.array(np.zeros(int(again.sum()), bool))], names=["key", "n", "all"])
         yield pa.record_batch([pa.array([0], pa.int64()), pa.array([total], pa.int64()), pa.array([True])], names=["key", "n", "all"])
 
-    counted = stored(docs.mapInArrow(count, "key bigint, n bigint, all boolean").groupBy("all", "key").agg(F.sum("n").alias("n")), "slice-counts")
+    counted = stored(docs.mapInArrow(lean(count), "key bigint, n bigint, all boolean").groupBy("all", "key").agg(F.sum("n").alias("n")), "slice-counts")
     total = counted.where("all").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     found = counted.where(~F.col("all") & (F.col("n") >= max(COMMON, -(-total // MOST_COMMON)))).select("key", "n").toArrow()
     key, times = found.column("key").to_numpy().astype(np.uint64), found.column("n").to_numpy()
@@ -269,7 +269,7 @@ def family_edges(docs: DataFrame, n: int, percent: int) -> DataFrame:
         return pa.table([pa.array(x) for x in columns.values()], names=list(columns))
 
     schema = "kind tinyint, node bigint, part bigint, other bigint, n bigint"
-    met = stored(docs.mapInArrow(cut, "bucket int, pack binary").groupBy("bucket").applyInArrow(meet, schema), "slices")
+    met = stored(docs.mapInArrow(lean(cut), "bucket int, pack binary").groupBy("bucket").applyInArrow(meet, schema), "slices")
     # a node's slices that stand again, the most common first, without those it can spare; a node has no more than its text gives
     rows = met.where("kind > 0").withColumn("spare", F.coalesce(F.max(F.when(F.col("kind") == 2, F.col("n"))).over(Window.partitionBy("node", "part")), F.lit(0)))
     place = F.row_number().over(Window.partitionBy("node", "part").orderBy("kind", F.desc("n"), "other"))
@@ -390,7 +390,7 @@ def links(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
             found += tile_links(node[part].tolist(), own, left, right, percent)
         return pa.table([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    by_tile = where.join(docs.mapInArrow(arrays, "doc_id bigint, node bigint, grams binary"), ["doc_id", "node"])
+    by_tile = where.join(docs.mapInArrow(lean(arrays), "doc_id bigint, node bigint, grams binary"), ["doc_id", "node"])
     # small families share a task; tiles of large ones stand alone
     by_tile = by_tile.withColumn("of", F.when(F.col("tile") < 0, F.col("family")).otherwise(F.lit(0)))
     return by_tile.groupBy("of", "tile", "x", "y").applyInArrow(compare, "a bigint, b bigint")
@@ -412,7 +412,7 @@ def bits_of(ids: DataFrame) -> np.ndarray:
             at = filter_places(batch.column(0).to_numpy()).ravel()
             yield pa.record_batch([pa.array(at >> 6), pa.array(np.int64(1) << (at & 63))], names=["word", "bit"])
 
-    words_set = ids.mapInArrow(places, "word bigint, bit bigint").groupBy("word").agg(F.expr("bit_or(bit)").alias("bits")).toArrow()
+    words_set = ids.mapInArrow(lean(places), "word bigint, bit bigint").groupBy("word").agg(F.expr("bit_or(bit)").alias("bits")).toArrow()
     out = np.zeros(1 << (FILTER_BITS - 6), dtype=np.int64)
     out[words_set.column("word").to_numpy()] = words_set.column("bits").to_numpy()
     return out

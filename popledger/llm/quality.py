@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from popledger.llm.common import keyed, prepare
+from popledger.llm.common import keyed, lean, prepare
 from popledger.llm.sequences import FOLDED_VALUES, NOT_WHITE, packed, parts, prefix, stretch_hash, window_hashes, words
 
 PART = 1 << 20
@@ -207,7 +207,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, label: str =
             x = statistics(batch.column(1))
             yield pa.record_batch([batch.column(0), batch.column(2), pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "y", "x"])
 
-    found = sample_documents(docs, labels, label, fit_rows).mapInArrow(measure, "doc_id bigint, y int, x array<double>").toArrow()
+    found = sample_documents(docs, labels, label, fit_rows).mapInArrow(lean(measure), "doc_id bigint, y int, x array<double>").toArrow()
     x = np.array(found.column("x").to_pylist(), dtype=np.float64).reshape(-1, len(FEATURES))
     order = np.argsort(found.column("doc_id").to_numpy(), kind="stable")  # the same forest whatever the order of tasks
     return fit_forest(x[order], found.column("y").to_numpy().astype(np.float64)[order], **settings)
@@ -221,4 +221,4 @@ def score(docs: DataFrame, forest: Forest) -> DataFrame:
         for batch in batches:
             yield pa.record_batch([batch.column(0), pa.array(shared.value.score(statistics(batch.column(1))))], names=["doc_id", "score"])
 
-    return keyed(docs).mapInArrow(walk, "doc_id bigint, score double")
+    return keyed(docs).mapInArrow(lean(walk), "doc_id bigint, score double")

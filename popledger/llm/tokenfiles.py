@@ -29,7 +29,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from popledger.llm.common import keyed, prepare, text_bytes
+from popledger.llm.common import keyed, lean, prepare, text_bytes
 from popledger.llm.pretokens import BatchEncoder
 
 FRAME_TOKENS = 1 << 16
@@ -182,7 +182,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = 2, key: str = "
 
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hadoop)
-    return texts.repartitionByRange(int(files), "doc_id").sortWithinPartitions("doc_id").mapInArrow(run, MANIFEST)
+    return texts.repartitionByRange(int(files), "doc_id").sortWithinPartitions("doc_id").mapInArrow(lean(run), MANIFEST)
 
 
 def read(manifest: DataFrame, only: list[int] | None = None) -> DataFrame:
@@ -209,7 +209,7 @@ def read(manifest: DataFrame, only: list[int] | None = None) -> DataFrame:
 
     # a number of its own: the few bytes of a manifest would else be read, with all files behind them, by one task
     spread = files.select("path", "width", "before").repartition(max(1, manifest.count()), F.col("path"))
-    return spread.mapInArrow(run, DOCUMENTS)
+    return spread.mapInArrow(lean(run), DOCUMENTS)
 
 
 def crc(ids: bytes) -> int:

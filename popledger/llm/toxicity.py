@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from popledger.llm.common import keyed, prepare
+from popledger.llm.common import keyed, lean, prepare
 from popledger.llm.quality import is_held_out, sample_documents
 from popledger.llm.sequences import FOLDED_VALUES, WORD_BYTE, packed, parts, prefix, runs_of, stretch_hash, words
 
@@ -187,7 +187,7 @@ def counts_of(sample: DataFrame, wanted: np.ndarray | None, least: int) -> dict[
                 key, n = np.unique(pairs[:, 0], return_counts=True)
                 yield pa.record_batch([pa.array(key), pa.array(n)], names=["key", "n"])
 
-    found = sample.select("doc_id", "text").mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toArrow()
+    found = sample.select("doc_id", "text").mapInArrow(lean(run), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toArrow()
     return dict(zip(found.column("key").to_pylist(), found.column("n").to_pylist()))
 
 
@@ -204,7 +204,7 @@ def contexts_of(sample: DataFrame, wanted: np.ndarray) -> dict[int, int]:
                 pairs = np.unique(np.stack([every[keep], before[keep]], axis=1).astype(np.int64), axis=0)
                 yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["key", "before"])
 
-    found = sample.select("doc_id", "text").mapInArrow(run, "key bigint, before bigint").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("n")).toArrow()
+    found = sample.select("doc_id", "text").mapInArrow(lean(run), "key bigint, before bigint").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("n")).toArrow()
     return dict(zip(found.column("key").to_pylist(), found.column("n").to_pylist()))
 
 
@@ -257,7 +257,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, chain_rows:
     half = chain_rows // 2
     share = F.when(F.col("y") == 1, half / sizes[1]).otherwise(half / sizes[0])
     chosen = sample.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1_000_000)) < share * 1_000_000)
-    found = chosen.mapInArrow(sequences, "doc_id bigint, seen binary, marked binary").toArrow().sort_by("doc_id")
+    found = chosen.mapInArrow(lean(sequences), "doc_id bigint, seen binary, marked binary").toArrow().sort_by("doc_id")
     seen = np.frombuffer(b"".join(found.column("seen").to_pylist()), dtype=np.uint8).reshape(-1, 4).astype(np.int64)
     marked = np.frombuffer(b"".join(found.column("marked").to_pylist()), dtype=np.uint8).astype(np.int64)
     if not marked.any():
@@ -296,7 +296,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
             lists = [pa.array(x, pa.list_(t)) for x, t in zip(spans, (pa.int64(), pa.int64(), pa.float64()))]
             yield pa.record_batch([batch.column(0), pa.array(np.clip(scores, 0, 1)), *lists], names=["doc_id", "score", "span_start", "span_end", "span_score"])
 
-    return keyed(docs).mapInArrow(run, SCORES)
+    return keyed(docs).mapInArrow(lean(run), SCORES)
 
 
 __all__ = ["Chain", "Lexicon", "Model", "fit", "is_held_out", "score"]
