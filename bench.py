@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR   folder of the test tables   (default /root/testdata/sf0.1)
 BENCH_CPUS     local cores                 (default all)
-BENCH_RUNS     timed runs per query        (default 3, the median counts)
+BENCH_RUNS     timed runs per query        (default 5, after one that does not count; the median counts)
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from popledger import get_session  # noqa: E402
 from popledger.registry import QUERIES  # noqa: E402
+from popledger.registry.base import release  # noqa: E402
 
 HEADLINE = [
     "agg_claims", "cost_util", "members", "riskscr_service", "inpatient_metrics", "snf_readmissions", "roster_overlap",
@@ -27,7 +28,7 @@ HEADLINE = [
 def main() -> None:
     path = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = get_session(
         "popledger-bench", master=f"local[{cpus}]", shuffle_partitions=int(cpus) if cpus.isdigit() else 8,
         extra={"spark.driver.memory": "16g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
@@ -36,14 +37,13 @@ def main() -> None:
     timings: dict[str, float] = {}
     only = sys.argv[1:]
     for name in only or HEADLINE:
-        n = 1 if name == "metrics_key_value" else runs
-        if n > 1:
-            QUERIES[name](spark, path).write.format("noop").mode("overwrite").save()
         taken = []
-        for _ in range(n):
+        for _ in range(1 + runs):
             start = time.perf_counter()
             QUERIES[name](spark, path).write.format("noop").mode("overwrite").save()
             taken.append(time.perf_counter() - start)
+            release(spark)
+        taken = taken[1:]
         timings[name] = round(statistics.median(taken), 3)
         print(name, timings[name], file=sys.stderr, flush=True)
     print(json.dumps({

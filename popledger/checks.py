@@ -73,6 +73,12 @@ def populated(df: DataFrame, name: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("name_table"), "rows").where("rows = 0")
 
 
+def unpopulated_parts(expected: DataFrame, df: DataFrame, part: str) -> DataFrame:
+    """Expected parts (months, groups, sources) of which a table has no row."""
+    seen = df.groupBy(part).agg(F.count(F.lit(1)).alias("rows"))
+    return expected.join(seen, part, "left").withColumn("rows", F.coalesce("rows", F.lit(0))).where("rows = 0")
+
+
 def outside(df: DataFrame, value: Column, low: float | None = None, high: float | None = None) -> DataFrame:
     """A row when an aggregate lies outside its plausible range (bounds included)."""
     got = df.agg(value.cast("double").alias("value"))

@@ -160,7 +160,7 @@ def nearest_day(targets: DataFrame, target: str, days: DataFrame, day: str) -> D
         .where(F.col(target).isNotNull())
         .select(target, closest.alias(day))
     )
-    return targets.join(F.broadcast(found), target)
+    return targets.join(found, target)
 
 
 def carry_forward(

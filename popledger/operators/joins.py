@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def crosswalk(df: DataFrame, member: str, xref: DataFrame, previous: str, current: str) -> DataFrame:
@@ -71,6 +71,13 @@ def merge_flags(left: DataFrame, right: DataFrame, on: Sequence[str], names: tup
     )
 
 
+def reference(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """A reference table to be broadcast, for joins without a key to shuffle by. Fails beyond ``rows`` rows instead of going on."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))
+    small = F.assert_true(F.col("_rows") <= rows, F.lit(f"a reference table has more than {rows} rows")).isNull()
+    return F.broadcast(df.withColumn("_rows", n).where(small).drop("_rows"))
+
+
 def fanout_guard(before: DataFrame, after: DataFrame) -> DataFrame:
     """Row counts before and after a join, on one row."""
     n = F.count(F.lit(1))

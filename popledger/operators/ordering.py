@@ -52,7 +52,7 @@ def number_in_group(df: DataFrame, group: str, item: str, into: str, digits: int
 def latest(df: DataFrame, column: str) -> DataFrame:
     """Rows of the latest value of a column; the maximum is a scalar subquery of one row."""
     newest = df.agg(F.max(column).alias("_newest"))
-    return df.join(F.broadcast(newest), F.col(column) == F.col("_newest"), "inner").drop("_newest")
+    return df.join(newest, F.col(column) == F.col("_newest"), "inner").drop("_newest")
 
 
 def sorted_output(df: DataFrame, *order: Column) -> DataFrame:

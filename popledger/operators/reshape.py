@@ -66,3 +66,12 @@ def symmetric_difference(a: DataFrame, b: DataFrame) -> DataFrame:
         .unionByName(b.withColumn("_a", F.lit(0)).withColumn("_b", F.lit(1)))
     )
     return sides.groupBy(*a.columns).agg(F.max("_a").alias("_a"), F.max("_b").alias("_b")).where("_a + _b = 1").drop("_a", "_b")
+
+
+def one_field_rows(df: DataFrame, ids: Sequence[str], fields: Sequence[str], tag: str) -> DataFrame:
+    """A row per field and input row in which that field alone is set and all others are missing, as outputs that are reset in between."""
+    rows = F.array(*[
+        F.struct(F.lit(own).alias(tag), *[(F.col(f) if f == own else F.lit(None).cast(df.schema[f].dataType)).alias(f) for f in fields])
+        for own in fields
+    ])
+    return df.select(*ids, F.explode(rows).alias("_row")).select(*ids, "_row.*")

@@ -20,6 +20,7 @@ def _claim_columns() -> str:
     case when prm_line like 'P%' then o_custkey || '_' || year(d) || 'Q' || quarter(d) end as facilitycaseid,
     {_list(DISCHARGE_CODES)}[l_linenumber] as dischargestatus,
     case when l_suppkey % 17 <> 3 then cast(l_suppkey as varchar) end as providerid,
+    'C' || (l_suppkey % 50) as prm_prv_id_ccn,
     case when l_partkey % 13 <> 0 then 'J' || lpad(cast(l_partkey % 97 as varchar), 4, '0') end as hcpcs,
     case when l_suppkey % 5 = 1 then 'Y' when l_suppkey % 5 <> 4 then 'N' end as prv_net_aco_yn,
     cast(l_extendedprice * (1 - l_discount) as decimal(18,4)) as prm_costs,

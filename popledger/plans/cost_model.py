@@ -96,7 +96,7 @@ def claims_limited(
     if reporting_lines:
         # a handful of service lines: the small list cuts the claims before any shuffle
         lines = lines.where(F.col("mcrm_line").isin(reporting_lines))
-        wanted = F.broadcast(lines.select("prm_line"))
+        wanted = lines.select("prm_line")
         outclaims = outclaims.join(wanted, "prm_line", "left_semi")
         outpharmacy = None if outpharmacy is None else outpharmacy.join(wanted, "prm_line", "left_semi")
     dims = ["member_id", "prm_line", "elig_status_1", "memmos", "prv_net_aco_yn", "providerid", "hcpcs"]

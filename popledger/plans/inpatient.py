@@ -14,14 +14,6 @@ from popledger.plans.lattice import ClaimLattice
 from popledger.plans.risk import line_map, with_service_risk
 from popledger.settings import ReportSettings
 
-# Discharge codes with their description.
-DISCHARGE_STATUS = {
-    "01": "Discharged to Home",
-    "62": "Discharged to IRF",
-    "03": "Discharged to SNF",
-    "06": "Discharged to Home Health Care",
-    "20": "Died",
-}
 # Admission-quality codes of the combined indicator.
 COMBINED_PQI = [
     "PQI01", "PQI03", "PQI05", "PQI07", "PQI08", "PQI10",
@@ -80,21 +72,24 @@ def rostered_stays(medical: ClaimLattice, cases: DataFrame) -> DataFrame:
     return with_cases(medical.at([*STAY, "elig_status_1"], STAY_MEASURES, where=is_acute_line()), cases)
 
 
-def _discharge_text(code: str) -> Column:
-    mapping = F.create_map(*[F.lit(x) for kv in DISCHARGE_STATUS.items() for x in kv])
-    return F.coalesce(F.try_element_at(mapping, F.col(code)), F.lit("Other"))
+def with_discharge_text(claims: DataFrame, crosswalk: DataFrame) -> DataFrame:
+    """The text of the discharge code, as the site's file has it; 'Other' for a code that the file does not name. Codes repeated in the
+    file do not multiply claims."""
+    texts = crosswalk.groupBy("dischargestatus").agg(F.max("discharge_status_desc").alias("discharge_status_desc"))
+    named = claims.join(texts, "dischargestatus", "left")
+    return named.withColumn("discharge_status_desc", F.coalesce("discharge_status_desc", F.lit("Other")))
 
 
-def partial_details(claims: DataFrame, link: DataFrame, settings: ReportSettings) -> DataFrame:
+def partial_details(claims: DataFrame, link: DataFrame, crosswalk: DataFrame, settings: ReportSettings) -> DataFrame:
     """Stays of rostered members summed over everything the details and the metrics need."""
     lines = line_map(link, settings.lob).withColumnRenamed("mr_line", "prm_line")
     yn = lambda test: F.when(test, "Y").otherwise("N")
-    rows = claims.join(lines, "prm_line", "left").select(
+    rows = with_discharge_text(claims, crosswalk).join(lines, "prm_line", "left").select(
         "time_period",
         "elig_status_1",
         F.coalesce("providerid", F.lit("Unknown")).alias("prv_id_inpatient"),
         F.col("dischargestatus").alias("discharge_status_code"),
-        _discharge_text("dischargestatus").alias("discharge_status_desc"),
+        "discharge_status_desc",
         F.col("prm_drg").alias("drg_inpatient"),
         F.col("prm_drgversion").alias("drg_version_inpatient"),
         yn(~same_ci("prm_line", "I31")).alias("acute_yn"),

@@ -8,6 +8,7 @@ from popledger.functions.text import same_ci
 from popledger.operators.aggregate import freq, share_of_rows
 from popledger.operators.intervals import in_windows, nearest_day
 from popledger.operators.joins import crosswalk
+from popledger.operators.ordering import latest
 from popledger.operators.reshape import stack
 
 
@@ -79,10 +80,24 @@ def roster_overlap(assigned: DataFrame, feed: DataFrame, client: str) -> DataFra
     )
 
 
-def overlap_check_values(assigned: DataFrame, feed: DataFrame) -> DataFrame:
-    """Share of living feed members found in assignment, by window and status (for the plausibility limits)."""
+# Share that is plausible, lower bound left out, upper bound; of assigned members the upper bound is left out too.
+FEED_LIMITS = (0.1, 1.0)
+ASSIGNED_LIMITS = (0.2, 1.0)
+
+
+def overlap_limits(assigned: DataFrame, feed: DataFrame) -> DataFrame:
+    """Both shares of the overlap in the newest window, each with whether it is plausible: of living feed members found in assignment,
+    by status, and of assigned members found in the feed."""
     both = ["time_period", "member_id"]
-    mark = assigned.select(*both).distinct().withColumn("_in", F.lit(1))
-    return feed.where("died_in_period = 0").join(mark, both, "left").groupBy("time_period", "elig_status_1").agg(
-        share_of_rows(F.col("_in").isNotNull()).alias("metric_value")
-    )
+    share = share_of_rows(F.col("_in").isNotNull()).alias("value")
+    mark = lambda df: df.select(*both).distinct().withColumn("_in", F.lit(1))
+    newest_feed = latest(feed.where("died_in_period = 0"), "time_period")
+    in_assignment = newest_feed.join(mark(assigned), both, "left").groupBy("time_period", "elig_status_1").agg(share)
+    in_feed = latest(assigned, "time_period").join(mark(feed), both, "left").groupBy("time_period").agg(share)
+    value = F.round("value", 4)
+    return stack([
+        in_assignment.select(F.lit("feed_in_assignment").alias("measure"), "time_period", "elig_status_1", "value",
+                             ((value > FEED_LIMITS[0]) & (value <= FEED_LIMITS[1])).alias("plausible")),
+        in_feed.select(F.lit("assigned_in_feed").alias("measure"), "time_period", F.lit("All").alias("elig_status_1"), "value",
+                       ((value > ASSIGNED_LIMITS[0]) & (value < ASSIGNED_LIMITS[1])).alias("plausible")),
+    ])

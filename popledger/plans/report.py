@@ -101,7 +101,9 @@ class Report:
 
     @cached_property
     def inpatient_partial(self) -> DataFrame:
-        partial = inpatient.partial_details(inpatient.rostered_stays(self.medical, self.cases), self.m.link_mr_mcrm_line, self.s)
+        partial = inpatient.partial_details(
+            inpatient.rostered_stays(self.medical, self.cases), self.m.link_mr_mcrm_line, self.m.discharge_crosswalk, self.s
+        )
         return self._keep(partial, "inpatient")
 
     @cached_property

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from popledger.functions.nulls import safe_ratio
 from popledger.functions.text import same_ci
+from popledger.operators.joins import reference
 from popledger.operators.ordering import first_per_group
 from popledger.plans.roster import scores_for_period_type
 from popledger.settings import ReportSettings
@@ -79,10 +80,10 @@ def riskscr_service(
         F.col("mcrm_line").alias("_line"), "hcc_range_bottom", "hcc_range_top", "factor_util", "factor_cost"
     )
 
-    # grain is a few rows per window, status and cent; lines and factors are reference tables
-    crossed = grain.join(F.broadcast(lines))
+    # grain is a few rows per window, status and cent
+    crossed = grain.join(reference(lines))
     calibrated = crossed.join(
-        F.broadcast(factors),
+        factors,
         (F.col("mcrm_line") == F.col("_line")) & F.col("_cents").between(F.col("hcc_range_bottom"), F.col("hcc_range_top")),
         "left",
     )
@@ -134,7 +135,7 @@ def cost_util_benchmark(
     """Published rates times the mean service score, for every window and status with members."""
     dims = members.select("time_period", "elig_status_1").distinct()
     rates = ref_mcrm_line.where(same_ci("lob", settings.lob)).select("lob", "mcrm_line").join(benchmarks, ["lob", "mcrm_line"])
-    rows = with_service_risk(dims.join(F.broadcast(rates)), riskscr)
+    rows = with_service_risk(dims.join(reference(rates)), riskscr)
     util = F.coalesce("util_per1k", F.lit(0.0)) * F.col("riskscr_1_util_avg")
     return rows.select(
         F.lit(settings.client).alias("name_client"),

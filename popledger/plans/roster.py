@@ -41,7 +41,7 @@ def scores_for_period_type(component_scores: DataFrame, windows: DataFrame) -> D
     )
     return (
         component_scores.withColumn("_kind", F.upper(F.substring("model_name", 3, 3)))
-        .join(F.broadcast(wanted), ["time_slice", "_kind"])
+        .join(wanted, ["time_slice", "_kind"])
         .drop("_kind")
     )
 
@@ -117,7 +117,7 @@ def decedents(
     death = F.col("death_date_excluded")
     dead = (
         members.select("member_id", "time_period")
-        .join(F.broadcast(windows.select("time_period", "inc_start", "inc_end")), "time_period")
+        .join(windows.select("time_period", "inc_start", "inc_end"), "time_period")
         .join(excluded.withColumnRenamed("member_id_excluded", "member_id"), "member_id")
         .where(death.between(F.col("inc_start"), F.col("inc_end")))
         .select(

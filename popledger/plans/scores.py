@@ -72,7 +72,7 @@ def score_explanation(hcc_results: DataFrame, coefficients: DataFrame) -> DataFr
         .otherwise(F.col("MCAID_ORIGDIS"))
     )
     # one row per variable of the model
-    return long.join(F.broadcast(coefficients), "_variable", "left").select(
+    return long.join(coefficients, "_variable", "left").select(
         "hicno",
         "time_slice",
         F.when(F.upper(F.substring("_variable", 1, 2)) == "NE", prefix).otherwise(F.col("_variable")).alias("variable"),

@@ -10,7 +10,7 @@ from popledger.oracle.base import with_ctes
 from popledger.plans.report import Report, StoredReport
 from popledger.session import apply_plan_settings
 from popledger.sources.star import StarModel
-from popledger.sources.writers import staging_folder
+from popledger.sources.writers import remove_folder, staging_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,9 +45,19 @@ def report(spark: SparkSession, path: str) -> Report:
     return _REPORTS[key]
 
 
+_STAGED: list[str] = []
+
+
 def staged_report(spark: SparkSession, path: str) -> Report:
-    """Report whose shared intermediates are written to the shared folder."""
-    return Report(StarModel(apply_plan_settings(spark), path), folder=shared_folder(spark))
+    """Report whose shared intermediates are written to a folder of its own in the shared folder."""
+    _STAGED.append(f"{shared_folder(spark)}/report-{uuid.uuid4().hex[:12]}")
+    return Report(StarModel(apply_plan_settings(spark), path), folder=_STAGED[-1])
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what staged reports have written, once their results are used."""
+    while _STAGED:
+        remove_folder(spark, _STAGED.pop())
 
 
 _MARTS: dict[tuple[str, str], tuple[Report, StoredReport]] = {}
@@ -57,8 +67,10 @@ def written(spark: SparkSession, path: str) -> tuple[Report, StoredReport]:
     """Staged report over the tables of a folder and its stored mart, written once per application."""
     key = (spark.sparkContext.applicationId, path)
     if key not in _MARTS:
-        r = staged_report(spark, path)
-        _MARTS[key] = (r, r.write(f"{shared_folder(spark)}/mart-{uuid.uuid4().hex[:12]}"))
+        # kept for the whole application, unlike a staged report
+        folder = f"{shared_folder(spark)}/mart-{uuid.uuid4().hex[:12]}"
+        r = Report(StarModel(apply_plan_settings(spark), path), folder=f"{folder}-stages")
+        _MARTS[key] = (r, r.write(folder))
     return _MARTS[key]
 
 

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F, types as T
 
 from popledger.operators import ordering as O, reshape as R
-from popledger.plans import exclusions, mart
+from popledger.plans import exclusions, inpatient, mart
 from popledger.registry.base import query, shared_folder
 from popledger.sources import readers as rd, writers as wr
 
@@ -103,6 +103,20 @@ def _(r):
     return O.sorted_output(R.stack([a, b]), C("nationkey"), C("side"))
 
 
+@query(
+    "io_discharge_texts",
+    """select coalesce(t, 'Other') as discharge_status_desc, count(*) as n from med left join (values ('01', 'Discharged to Home'), ('62', 'Discharged to IRF'), ('03', 'Discharged to SNF'),
+      ('06', 'Discharged to Home Health Care'), ('20', 'Died')) v(c, t) on dischargestatus = c group by 1""",
+)
+def _(r):
+    """The crosswalk of discharge codes as a delivered text file, read and put on the claims."""
+    path = _folder(r)
+    wr.export_csv(r.m.discharge_crosswalk, path)
+    fields = T.StructType([T.StructField("dischargestatus", T.StringType()), T.StructField("discharge_status_desc", T.StringType())])
+    texts = rd.read_delimited(r.m.spark, path, fields)
+    return inpatient.with_discharge_text(r.outclaims.select("dischargestatus"), texts).groupBy("discharge_status_desc").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _sum(table: str, columns: str) -> str:
     """The manifest's checksum in SQL; a trailing # marks a fraction."""
     parts = []

@@ -10,9 +10,9 @@ from popledger.operators.claims import agg_claims, agg_memmos
 from popledger.operators.intervals import merge_spans
 from popledger.operators.windows import time_windows
 from popledger.plans import (
-    case_mix, cost_model, end_of_life, emergency, exclusions, fixes, groups, inpatient, mart, outpatient, roster, scores, snf, supplemental,
+    case_mix, cost_model, end_of_life, emergency, exclusions, fixes, groups, inpatient, mart, outpatient, overlap, roster, scores, snf, supplemental,
 )
-from popledger.registry.base import ORACLES, QUERIES, long_sql, money, query, ratio, staged_report, tidy, whole
+from popledger.registry.base import ORACLES, QUERIES, long_sql, money, query, ratio, tidy, whole, written
 from popledger.oracle.base import grouped_ctes, with_ctes
 from popledger.plans.roster import EOL_FLAGS
 from popledger.sources.star import StarModel
@@ -268,6 +268,19 @@ _OPT = f"""select {CLIENT}, time_period, 'Basic' as metric_category, 'All' as el
     {ratio("(select count(*) from beneexc where upper(beneexcreason) = 'BENEFICIARY DECLINED')")} as metric_value from (select distinct time_period from mc)"""
 
 
+@query(
+    "overlap_limits",
+    f"""select 'feed_in_assignment' as measure, time_period, elig_status_1, {ratio('v')} as value, round(v, 4) > 0.1 and round(v, 4) <= 1 as plausible from (
+      select time_period, elig_status_1, avg(case when a.member_id is null then 0.0 else 1.0 end) as v from feed f left join (select distinct member_id, time_period from assigned) a using (member_id, time_period)
+      where died_in_period = 0 and time_period = (select max(time_period) from feed where died_in_period = 0) group by 1, 2)
+    union all select 'assigned_in_feed', time_period, 'All', {ratio('v')}, round(v, 4) > 0.2 and round(v, 4) < 1 from (
+      select time_period, avg(case when f.member_id is null then 0.0 else 1.0 end) as v from assigned a left join (select distinct member_id, time_period from feed) f using (member_id, time_period)
+      where time_period = (select max(time_period) from assigned) group by 1)""",
+)
+def _(r):
+    return overlap.overlap_limits(r.assigned, r.feed)
+
+
 @query("opt_out", _OPT)
 def _(r):
     return r.metrics_optoutcount
@@ -378,7 +391,7 @@ def _case_mix_fit(spark, path):
     """The fit of a folder is solved once per application; its rounds are tables in the shared folder."""
     key = (spark.sparkContext.applicationId, path)
     if key not in _CASE_MIX:
-        r = staged_report(spark, path)
+        r, _ = written(spark, path)
         counts = r._keep(case_mix.case_counts(r.details_inpatient), "case_counts")
         cells = case_mix.fit_cells(counts, r._keep, rounds=CASE_MIX_ROUNDS)
         _CASE_MIX[key] = case_mix.normalised(case_mix.fit_shares(cells), case_mix.raw_shares(counts))
@@ -755,6 +768,19 @@ def _(r):
     return supplemental.outclaims(r.outclaims).groupBy("prm_line", "prm_util_type").agg(F.sum("prm_days").alias("prm_days"), F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "supplemental_facility",
+    f"""select m.prm_line, f.prv_org_name, {whole('sum(m.n)')} as n, {money('sum(m.paid)')} as paid from (
+      select prm_line, prm_prv_id_ccn as ccn, count(*) as n, sum(paid) as paid from med group by 1, 2) m
+    left join (select oscar, upper(left(nm, 1)) || lower(substr(nm, 2)) as prv_org_name from (select oscar, max(upper(s_name)) as nm from (
+      select s_name, list_extract([{_ids}], list_position([{_slots}], '06')) as oscar from supplier) where oscar is not null group by 1)) f on f.oscar = m.ccn group by all""",
+)
+def _(r):
+    """Claims with the name of their facility, by its certification number."""
+    names = supplemental.facility_names(r.m.provider_register, r.m.SLOTS)
+    return supplemental.with_facility_name(r.outclaims, names).groupBy("prm_line", "prv_org_name").agg(F.count(F.lit(1)).alias("n"), F.sum("paid").alias("paid"))
+
+
 @query(
     "supplemental_pharmacy",
     f"select coalesce(prv_net_hier_1, 'OON') as prv_net_hier_1, prm_line, count(*) as n, {money('sum(paid)')} as paid, {whole('sum(dayssupply)')} as dayssupply from rx left join prov on providerid = prv_id group by all",

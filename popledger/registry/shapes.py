@@ -16,6 +16,7 @@ from popledger.plans import cost_model, exclusions, fixes, inpatient, mart, outp
 from popledger.plans.roster import EOL_FLAGS
 from popledger.registry.base import money, query, ratio, whole
 from popledger.sources.readers import optional_table, read_parquet
+from popledger.sources.star import StarModel
 from popledger.sources.schema import MartSchema, conform, key_violations, value_violations
 
 C = F.col
@@ -514,9 +515,9 @@ def _(r):
     return R.pivot_ids(long, ["l_suppkey"], "l_returnflag", "n", list("ANR"))
 
 
-@query("r_sparse_long", "select hicno, time_slice, f as flag from (" + " union all ".join(f"select hicno, time_slice, 'hcc{j}' as f from hcc where hcc{j} = 1" for j in (2, 19, 85, 110)) + ")")
+@query("r_sparse_long", "select hicno, time_slice, f as flag from (" + " union all ".join(f"select hicno, time_slice, 'hcc{j}' as f from hcc where hcc{j} = 1" for j in StarModel.HCCS) + ")")
 def _(r):
-    return R.flags_set(r.m.hcc_results, ["hicno", "time_slice"], ["hcc2", "hcc19", "hcc85", "hcc110"], "flag")
+    return R.flags_set(r.m.hcc_results, ["hicno", "time_slice"], [f"hcc{j}" for j in StarModel.HCCS], "flag")
 
 
 @query("r_one_row", f"select 'lines' as name, {ratio('count(*)')} as value from lineitem union all select 'qty', {ratio('sum(l_quantity)')} from lineitem union all select 'max_part', {ratio('max(l_partkey)')} from lineitem")
@@ -628,6 +629,31 @@ def _(r):
     return checks.populated(r.m.table("lineitem").where("l_shipdate >= timestamp_ntz'2005-01-01'"), "rows_of_2005")
 
 
+@query(
+    "v_populated_months",
+    """with m as (select unnest(generate_series(date '1995-01-01', date '2002-06-01', interval 1 month)) as month),
+    n as (select date_trunc('month', l_shipdate) as month, count(*) as n from lineitem group by 1)
+    select 'lines_' || strftime(m.month, '%Y_%m') as name_table, cast(0 as bigint) as rows from m left join n on m.month = n.month where n.n is null""",
+)
+def _(r):
+    """Months from the first history to half a year past the run without a single line."""
+    months = r.m.spark.range(1).select(F.explode(F.expr("sequence(date'1995-01-01', date'2002-06-01', interval 1 month)")).alias("month"))
+    return checks.unpopulated_parts(months, r.m.table("lineitem").select(F.trunc(_day("l_shipdate"), "month").alias("month")), "month").select(
+        F.concat(F.lit("lines_"), F.date_format("month", "yyyy_MM")).alias("name_table"), "rows"
+    )
+
+
+@query(
+    "p_reset",
+    """select s_suppkey, 'name' as field, s_name as name, cast(null as bigint) as nation, cast(null as double) as balance from supplier
+    union all select s_suppkey, 'nation', null, s_nationkey, null from supplier union all select s_suppkey, 'balance', null, null, s_acctbal from supplier""",
+)
+def _(r):
+    """One output per field; the others are missing again in each."""
+    wide = r.m.table("supplier").select("s_suppkey", C("s_name").alias("name"), C("s_nationkey").cast("bigint").alias("nation"), C("s_acctbal").alias("balance"))
+    return R.one_field_rows(wide, ["s_suppkey"], ["name", "nation", "balance"], "field")
+
+
 @query("v_threshold", f"select {ratio('avg(case when memmos = 0 then 1.0 else 0.0 end)')} as value from mem_all where time_period = (select max(time_period) from mem_all) having avg(case when memmos = 0 then 1.0 else 0.0 end) < 0.01")
 def _(r):
     newest = O.latest(r.members_all.select("time_period", "memmos"), "time_period")

@@ -15,6 +15,7 @@ from popledger.functions.dates import month_begin, month_end
 from popledger.functions.numbers import money
 from popledger.operators.claims import DAYS_AFTER
 from popledger.operators.intervals import merge_spans
+from popledger.operators.joins import reference
 from popledger.operators.windows import windows_for
 from popledger.settings import ReportSettings
 
@@ -29,6 +30,14 @@ PHARMACY_LINES = ["R10a", "R10b", "R10c"]
 MAX_LINES = 7
 # Discharge status by l_linenumber 1..7.
 DISCHARGE_CODES = ["01", "62", "03", "06", "20", "65", "01"]
+# Discharge codes with their text, by n_nationkey from 1 on; a code may have none.
+DISCHARGE_TEXTS = [
+    ("01", "Discharged to Home"),
+    ("62", "Discharged to IRF"),
+    ("03", "Discharged to SNF"),
+    ("06", "Discharged to Home Health Care"),
+    ("20", "Died"),
+]
 NYU_SHARES = [
     "prm_nyu_emergent_non_avoidable", "prm_nyu_emergent_avoidable", "prm_nyu_emergent_primary_care",
     "prm_nyu_injury", "prm_nyu_nonemergent", "prm_nyu_unclassified",
@@ -213,6 +222,7 @@ class StarModel:
             F.when(prm_line.startswith("P"), case_id(k, day)).alias("facilitycaseid"),
             _pick(DISCHARGE_CODES, F.col("l_linenumber") - 1).alias("dischargestatus"),
             provider.alias("providerid"),
+            F.concat(F.lit("C"), (F.col("l_suppkey") % 50).cast("string")).alias("prm_prv_id_ccn"),
             F.when(F.col("l_partkey") % 13 != 0, F.concat(F.lit("J"), F.lpad((F.col("l_partkey") % 97).cast("string"), 4, "0"))).alias("hcpcs"),
             F.when(F.col("l_suppkey") % 5 == 1, "Y").when(F.col("l_suppkey") % 5 != 4, "N").alias("prv_net_aco_yn"),
             money(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("prm_costs"),
@@ -272,6 +282,14 @@ class StarModel:
             *[share(j).alias(name) for j, name in enumerate(NYU_SHARES)],
         )
 
+    @cached_property
+    def discharge_crosswalk(self) -> DataFrame:
+        """Text of a discharge code: the file of code and text that a site delivers."""
+        at = F.col("n_nationkey") - 1
+        codes, texts = zip(*DISCHARGE_TEXTS)
+        rows = self.table("nation").where(F.col("n_nationkey").between(1, len(DISCHARGE_TEXTS)))
+        return rows.select(_pick(list(codes), at).alias("dischargestatus"), _pick(list(texts), at).alias("discharge_status_desc"))
+
     # -- providers -----------------------------------------------------------------
 
     @cached_property
@@ -382,7 +400,7 @@ class StarModel:
         base = self._score_base().where("c_custkey % 2 = 1").select("c_custkey", "_s", models.alias("model_name"))
         base = base.withColumn("_s", F.when(F.col("model_name") == "DXCONLAG0", F.col("_s") * 2).otherwise(F.col("_s")))
         parts = {"tot": 1.0, "rx": 0.5, "med": 0.25, "ip": 1.5, "op": 0.75, "phy": 1.25, "er": 2.0, "other": 3.0}
-        return base.join(F.broadcast(self.windows.select(F.col("time_period").alias("time_slice")))).select(
+        return base.join(reference(self.windows.select(F.col("time_period").alias("time_slice")))).select(
             F.col("c_custkey").cast("string").alias("member_id"), "time_slice", "model_name",
             *[(F.col("_s") * f).alias(f"riskscr_{p}") for p, f in parts.items()],
         )
@@ -393,7 +411,7 @@ class StarModel:
     def hcc_results(self) -> DataFrame:
         """Diagnosis-based scores with the flags behind them, per member and window."""
         k = F.col("c_custkey")
-        base = self._score_base().join(F.broadcast(self.windows.select(F.col("time_period").alias("time_slice"), F.month("inc_start").alias("_m"))))
+        base = self._score_base().join(reference(self.windows.select(F.col("time_period").alias("time_slice"), F.month("inc_start").alias("_m"))))
         return base.select(
             k.cast("string").alias("hicno"), "time_slice",
             F.when((k + F.col("_m")) % 8 == 0, 7.0).otherwise(12.0).alias("riskscr_mm"),

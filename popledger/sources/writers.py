@@ -92,6 +92,12 @@ def staging_folder(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of intermediates, wherever the cluster keeps it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame, name: str, folder: str | None) -> DataFrame:
     """Write a shared intermediate to the staging folder and read it back.
 
