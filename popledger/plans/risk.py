@@ -83,7 +83,7 @@ def riskscr_service(
     # grain is a few rows per window, status and cent
     crossed = grain.join(reference(lines))
     calibrated = crossed.join(
-        factors,
+        reference(factors),
         (F.col("mcrm_line") == F.col("_line")) & F.col("_cents").between(F.col("hcc_range_bottom"), F.col("hcc_range_top")),
         "left",
     )

@@ -83,7 +83,7 @@ def test_absent_source_is_an_empty_typed_table(spark):
 def test_declared_schema_from_csv_equals_built_in(tmp_path):
     built = MartSchema.declared()
     fields = write(tmp_path / "f.csv", "name_field,label,data_type,data_size,allow_nulls,whitelist_nonnull_values,require_label_ifnotallnull\n" + "\n".join(
-        ",".join([n, "", t, s, nulls, allowed, lab]) for n, t, s, nulls, allowed, lab in (line.split("|") for line in FIELDS.strip().splitlines())
+        ",".join([n, "", t, str(s or ""), "NY"[nulls], "~".join(allowed), "NY"[lab]]) for n, t, s, nulls, allowed, lab in FIELDS
     ))
     tables = write(tmp_path / "t.csv", "name_field,name_table,key_table,key_global\n" + "\n".join(
         f"{c},{t},{'Y' if c in built.keys(t) else 'N'},N" for t in built.tables for c in built.columns(t)
