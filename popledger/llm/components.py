@@ -15,6 +15,11 @@ def attach(left: DataFrame, values: DataFrame, key: str, salts: int = 64) -> Dat
     return salted.join(dealt, [key, "salt"]).drop("salt")
 
 
+def few_files(edges: DataFrame) -> DataFrame:
+    """Edges in partitions of the advised size: the later rounds have few, and each round is written."""
+    return edges.hint("rebalance")
+
+
 def state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
 
@@ -26,16 +31,16 @@ def components(edges: DataFrame) -> DataFrame:
     nothing changes: then each component is one star. The number of rounds grows with the logarithm of the paths' length.
     """
     now = edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    now = stored(now, "edges")
+    now = stored(few_files(now), "edges")
     before = state(now)
     while before[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = attach(both.where("v > u"), least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        large = stored(large, "large-star")
+        large = stored(few_files(large), "large-star")
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         rest = large.join(lowest, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = stored(rest.unionByName(lowest.select("u", F.col("m").alias("v"))).distinct(), "small-star")
+        now = stored(few_files(rest.unionByName(lowest.select("u", F.col("m").alias("v"))).distinct()), "small-star")
         after = state(now)
         if after == before:
             break
