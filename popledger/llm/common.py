@@ -71,6 +71,19 @@ def keyed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     return docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
 
+#: Stands for a missing id where ids are put in order: after all others. No document has it as its id.
+NO_ID = 2**63 - 1
+
+
+def numbered(texts: DataFrame) -> DataFrame:
+    """Rows with NO_ID in place of a null ``doc_id``."""
+    return texts.withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID).cast("bigint")))
+
+
+def unnumbered(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))
+
+
 def text_bytes(docs: DataFrame) -> int:
     """Bytes of all texts: the size from which numbers of groups and buckets follow."""
     return docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]

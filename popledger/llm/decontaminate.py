@@ -6,7 +6,8 @@ each hit is verified word by word. The broadcast is checked: benchmarks above ``
 matched by a join on the windows instead, with the same result.
 
 Defined results: a null or empty text has no words and is clean; items without words match nothing; repeated items each count;
-overlapping hits count a word once; rows with equal doc_id are scanned apart (in the join way they share hits). Other columns are
+overlapping hits count a word once; every row is scanned apart, also those with equal or no doc_id; the windows of items without an id are hit
+like others, but are in no list of items. Other columns are
 not read. Empty tables give no rows, or no hits.
 """
 
@@ -18,8 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from popledger.llm.common import keyed, lean, prepare
-from popledger.llm.sequences import FOLDED_VALUES, WORD_BYTE, packed, parts, prefix, runs_of, stretch_hash, window_hashes, words
+from popledger.llm.common import keyed, lean, prepare, stored
+from popledger.llm.sequences import FOLDED_VALUES, WORD_BYTE, exact_long, packed, parts, prefix, runs_of, stretch_hash, window_hashes, words
 
 #: Windows that may be broadcast: at about 120 bytes each, under 64 MB in every worker.
 BROADCAST_WINDOWS = 500_000
@@ -27,7 +28,7 @@ PART = 1 << 20
 
 WINDOWS = "item string, length int, hash bigint, gram string"
 SCAN = "doc_id bigint, n_words bigint, n_hit bigint, items array<string>, span_start array<bigint>, span_end array<bigint>, clean string"
-DOC_WINDOWS = "doc_id bigint, start bigint, length int, gram string"
+DOC_WINDOWS = "row bigint, start bigint, length int, gram string"
 
 
 def word_hashes(column) -> Iterator[tuple]:
@@ -35,7 +36,8 @@ def word_hashes(column) -> Iterator[tuple]:
     for i, j in parts(offsets, PART):
         piece, at = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         starts, ends, word_at = words(piece, at, WORD_BYTE)
-        yield i, j, piece, at, starts, ends, word_at, prefix(stretch_hash(prefix(FOLDED_VALUES[piece]), starts, ends))
+        own = exact_long(stretch_hash(prefix(FOLDED_VALUES[piece]), starts, ends), piece, starts, ends, folded=True)
+        yield i, j, piece, at, starts, ends, word_at, prefix(own)
 
 
 def gram(piece: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: int, length: int) -> bytes:
@@ -61,19 +63,19 @@ def benchmark_windows(benchmark: DataFrame, n: int, key: str = "item_id", text:
             flat = np.concatenate(hashes or [np.zeros(0, np.uint64)]).astype(np.int64)
             yield pa.record_batch([pa.array(item, pa.string()), pa.array(length, pa.int32()), pa.array(flat), pa.array(grams, pa.string())], names=["item", "length", "hash", "gram"])
 
-    return benchmark.select(F.col(key).cast("string").alias("item"), F.col(text).cast("string").alias("text")).where("item is not null").mapInArrow(lean(cut), WINDOWS)
+    return benchmark.select(F.col(key).cast("string").alias("item"), F.col(text).cast("string").alias("text")).mapInArrow(lean(cut), WINDOWS)
 
 
 class Index:
     """Windows of a benchmark: sorted hashes per length, the words of each window, and the items that have it."""
 
     def __init__(self, windows: list):
-        self.items = sorted({w.item for w in windows})
+        self.items = sorted({w.item for w in windows if w.item is not None})
         number = {x: i for i, x in enumerate(self.items)}
         grams: dict[tuple[int, str], set[int]] = {}
         hashes: dict[tuple[int, str], int] = {}
         for w in windows:
-            grams.setdefault((w.length, w.gram), set()).add(number[w.item])
+            grams.setdefault((w.length, w.gram), set()).update([number[w.item]] if w.item is not None else [])
             hashes[w.length, w.gram] = w.hash
         self.by_length = {}
         for length in sorted({k[0] for k in grams}):
@@ -145,7 +147,7 @@ def scan_by_join(docs: DataFrame, windows: DataFrame) -> DataFrame:
                     ids = pa.array([batch.column(0)[i + doc].as_py()] * len(own), pa.int64())
                     yield pa.record_batch(
                         [ids, pa.array([x[0] for x in own], pa.int64()), pa.array([x[1] for x in own], pa.int32()), pa.array([x[2] for x in own], pa.string())],
-                        names=["doc_id", "start", "length", "gram"],
+                        names=["row", "start", "length", "gram"],
                     )
 
     def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,8 +174,9 @@ def scan_by_join(docs: DataFrame, windows: DataFrame) -> DataFrame:
                 names=["doc_id", "n_words", "n_hit", "items", "span_start", "span_end", "clean"],
             )
 
-    texts = keyed(docs)
-    met = texts.mapInArrow(lean(cut), DOC_WINDOWS).join(windows.select("gram", "length", "item").distinct(), ["gram", "length"])
-    found = met.groupBy("doc_id").agg(F.array_sort(F.collect_set("item")).alias("items"), F.collect_set(F.struct("start", "length")).alias("hits"))
-    joined = texts.join(found, "doc_id", "left").select("doc_id", "text", F.coalesce("items", F.array().cast("array<string>")).alias("items"), "hits")
+    # a written number for every row: ids may be missing or repeat
+    texts = stored(keyed(docs).withColumn("row", F.monotonically_increasing_id()), "texts")
+    met = texts.select("row", "text").mapInArrow(lean(cut), DOC_WINDOWS).join(windows.select("gram", "length", "item").distinct(), ["gram", "length"])
+    found = met.groupBy("row").agg(F.array_sort(F.collect_set("item")).alias("items"), F.collect_set(F.struct("start", "length")).alias("hits"))
+    joined = texts.join(found, "row", "left").select("doc_id", "text", F.coalesce("items", F.array().cast("array<string>")).alias("items"), "hits")
     return joined.mapInArrow(lean(rest), SCAN)

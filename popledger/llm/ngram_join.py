@@ -36,12 +36,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 from popledger.llm.common import keyed, lean, prepare, stored, text_bytes
 from popledger.llm.components import attach, components
 from popledger.llm.repeats import blob, by_bucket, unblob
-from popledger.llm.sequences import FOLDED_VALUES, NOT_WHITE, mix, packed, parts, prefix, stretch_hash, words
+from popledger.llm.sequences import FOLDED_VALUES, NOT_WHITE, exact_long, mix, packed, parts, prefix, stretch_hash, words
 
-PART = 1 << 20
+PART = 1 << 18
 BLOCK = 128
 #: Slices that a task holds before it sends them.
-HELD = 1 << 20
+HELD = 1 << 18
 BUCKET_BYTES = 8 << 20
 #: Slices that stand this often are common; at most one in MOST_COMMON of all slices, so the list stays below 32 MB.
 COMMON = 64
@@ -94,7 +94,7 @@ def sets_of(column, n: int) -> Iterator[np.ndarray]:
     for i, j in parts(offsets, PART):
         piece, at = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         starts, ends, word_at = words(piece, at, NOT_WHITE)
-        sums = prefix(stretch_hash(prefix(FOLDED_VALUES[piece]), starts, ends))
+        sums = prefix(exact_long(stretch_hash(prefix(FOLDED_VALUES[piece]), starts, ends), piece, starts, ends, folded=True))
         counts = np.diff(word_at)
         grams = np.where(counts >= n, counts - n + 1, np.minimum(counts, 1))
         first = np.repeat(word_at[:-1], grams) + np.arange(int(grams.sum())) - np.repeat(np.cumsum(grams) - grams, grams)

@@ -11,12 +11,14 @@ what follows, the last of several white characters stands apart, contractions cu
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import xxhash
 
-from popledger.llm.sequences import mix, prefix, stretch_hash
+from popledger.llm.sequences import LONG, mix, prefix, stretch_hash
 
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
 CONTRACTIONS = ["s", "t", "re", "ve", "m", "ll", "d"]
@@ -133,6 +135,8 @@ class BatchEncoder:
 
     def __init__(self, encode: Callable[[list[str]], list[list[int]]], special: dict[str, int]):
         self.cache, self.special = PieceCache(encode), special
+        longest_first = sorted(special, key=len, reverse=True)
+        self.specials = re.compile(f"({'|'.join(map(re.escape, longest_first))})") if special else None
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of every text."""
@@ -153,12 +157,7 @@ class BatchEncoder:
 
     def cut(self, text: str) -> list[str]:
         """Text, special string, text, ... in turn; the leftmost special string first, the longest of several."""
-        out = []
-        while found := [(at, -len(s), s) for s in self.special if (at := text.find(s)) >= 0]:
-            at, _, s = min(found)
-            out += [text[:at], s]
-            text = text[at + len(s) :]
-        return [*out, text]
+        return self.specials.split(text) if self.specials else [text]
 
     def part_ids(self, parts: list[str]) -> list[np.ndarray]:
         if not parts:
@@ -169,6 +168,8 @@ class BatchEncoder:
         starts = bounds(points, offsets)
         ends = np.r_[starts[1:], len(points)]
         keys = stretch_hash(prefix(mix(points.astype(np.uint64) + np.uint64(1))), starts, ends)
+        for i in np.flatnonzero(ends - starts > LONG):
+            keys[i] = xxhash.xxh3_64_intdigest(whole[starts[i] : ends[i]].encode("utf-8", errors="surrogatepass"))
         different, first, which = np.unique(keys, return_index=True, return_inverse=True)
         rows = self.cache.rows(different, lambda i: whole[starts[first[i]] : ends[first[i]]])
         begin, size = self.cache.begin[rows], self.cache.size[rows]

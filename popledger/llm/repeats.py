@@ -150,7 +150,7 @@ def grouped(docs: DataFrame) -> tuple[DataFrame, int]:
     """Texts with their group, and the number of buckets."""
     size = text_bytes(docs)
     groups, buckets = 48 + size // GROUP_BYTES, 48 + size // BUCKET_BYTES
-    return docs.withColumn("gid", F.pmod(F.xxhash64("doc_id"), F.lit(groups)).cast("int")), int(buckets)
+    return docs.withColumn("gid", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).cast("int")), int(buckets)
 
 
 def mark_windows(

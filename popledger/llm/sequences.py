@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 U64 = np.uint64
 _RNG = np.random.Generator(np.random.PCG64(20240229))
@@ -66,6 +67,19 @@ def stretch_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(U64))
 
 
+#: Stretches of more symbols than this are hashed whole. The polynomial is taken modulo 2**64, under which
+#: there are strings of some thousand symbols that differ and hash alike, whatever its base.
+LONG = 256
+
+
+def exact_long(hashes: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray, folded: bool = False) -> np.ndarray:
+    """``hashes`` of byte stretches with those of the long ones taken from all their bytes; ``folded``: A-Z count as a-z."""
+    for i in np.flatnonzero(end - start > LONG):
+        piece = data[start[i] : end[i]].tobytes()
+        hashes[i] = xxhash.xxh3_64_intdigest(piece.lower() if folded else piece)
+    return hashes
+
+
 def window_hashes(sums: np.ndarray, length: int) -> np.ndarray:
     """Hashes of all windows of one length, by start."""
     n = len(sums) - length

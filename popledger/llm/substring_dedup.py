@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 
 from popledger.llm.common import keyed, prepare
 from popledger.llm.repeats import Part, Sent, answer, covered, first_places, mark_windows, window_values, PART
-from popledger.llm.sequences import BYTE_VALUES, NOT_WHITE, packed, parts, prefix, runs_of, spread, stretch_hash, window_hashes, words
+from popledger.llm.sequences import BYTE_VALUES, NOT_WHITE, exact_long, packed, parts, prefix, runs_of, spread, stretch_hash, window_hashes, words
 
 SCHEMA = "doc_id bigint, n_words bigint, n_removed bigint, span_start array<bigint>, span_end array<bigint>, kept string"
 
@@ -29,7 +29,7 @@ def read(table: pa.Table):
     for i, j in parts(offsets, PART):
         piece, at = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         starts, ends, word_at = words(piece, at, NOT_WHITE)
-        hashes = stretch_hash(prefix(BYTE_VALUES[piece]), starts, ends)
+        hashes = exact_long(stretch_hash(prefix(BYTE_VALUES[piece]), starts, ends), piece, starts, ends)
         yield i, hashes, word_at, (piece, starts, ends, hashes)
 
 

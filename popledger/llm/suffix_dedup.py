@@ -9,7 +9,7 @@ a suffix stands directly above it and their common prefix tells whether the fact
 
 Defined results: a null or empty text has no bytes; texts shorter than ``length`` stay whole; matches never
 cross texts and a text is never matched with itself; the text with the smallest id keeps its bytes, so of equal texts one
-stays; rows with equal doc_id keep theirs against each other. Other columns are not read. An empty table gives no rows.
+stays; rows with equal doc_id keep theirs against each other; rows without an id come after all others, and keep theirs against each other. Other columns are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from popledger.llm.common import keyed, prepare
+from popledger.llm.common import keyed, numbered, prepare, unnumbered
 from popledger.llm.repeats import PART, Part, Sent, among_several, answer, covered, first_places, mark_windows, window_values
 from popledger.llm.sequences import BYTE_VALUES, mix, packed, parts, runs_of, spread
 
@@ -174,4 +174,5 @@ def find(docs: DataFrame, length: int = 50, k: int = 16, key: str = "doc_id", te
         )
 
     prepare(docs.sparkSession)
-    return mark_windows(keyed(docs, key, text), read, length, k, collect, resolve, apply, SCHEMA, distinct_texts=True, content=content)
+    found = mark_windows(numbered(keyed(docs, key, text)), read, length, k, collect, resolve, apply, SCHEMA, distinct_texts=True, content=content)
+    return unnumbered(found)

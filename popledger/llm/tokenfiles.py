@@ -9,8 +9,8 @@ any zstandard reader can read the whole and ours only what it needs.
 Files are written by the tasks of one range-partitioned job, ordered by document id within and across files; a repeated task
 writes a file of its own, and only files in the manifest count. Memory of a task is one batch of texts and one frame.
 
-Defined results: a null or empty text has the end id only; rows with equal ids follow each other; rows without an id are left out;
-an empty table gives an empty manifest. Other columns are not read.
+Defined results: a null or empty text has the end id only; rows with equal ids follow each other, in the order of
+their texts' digests; rows without an id come last, in that order as well; an empty table gives an empty manifest. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from popledger.llm.common import keyed, lean, prepare, text_bytes
+from popledger.llm.common import keyed, lean, numbered, prepare, text_bytes, unnumbered
 from popledger.llm.pretokens import BatchEncoder
 
 FRAME_TOKENS = 1 << 16
@@ -163,7 +163,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = 2, key: str = "
     """Encode all texts and write them in order of their ids. The manifest: one row per file."""
     spark = prepare(docs.sparkSession)
     width = 2 if max(vocabulary_size(path), end_id + 1) <= 1 << 16 else 4
-    texts = keyed(docs, key, text).where("doc_id is not null")
+    texts = numbered(keyed(docs, key, text))
     files = max(1, -(-text_bytes(texts) // FILE_BYTES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +182,9 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = 2, key: str = "
 
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hadoop)
-    return texts.repartitionByRange(int(files), "doc_id").sortWithinPartitions("doc_id").mapInArrow(lean(run), MANIFEST)
+    # rows of one id, or of none, in the order of their texts' digests: so they are spread over files as well
+    placed = texts.withColumn("place", F.xxhash64("text")).repartitionByRange(int(files), "doc_id", "place")
+    return placed.sortWithinPartitions("doc_id", "place").drop("place").mapInArrow(lean(run), MANIFEST)
 
 
 def read(manifest: DataFrame, only: list[int] | None = None) -> DataFrame:
@@ -209,7 +211,7 @@ def read(manifest: DataFrame, only: list[int] | None = None) -> DataFrame:
 
     # a number of its own: the few bytes of a manifest would else be read, with all files behind them, by one task
     spread = files.select("path", "width", "before").repartition(max(1, manifest.count()), F.col("path"))
-    return spread.mapInArrow(lean(run), DOCUMENTS)
+    return unnumbered(spread.mapInArrow(lean(run), DOCUMENTS))
 
 
 def crc(ids: bytes) -> int:

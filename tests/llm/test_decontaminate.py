@@ -43,6 +43,15 @@ def test_rows_with_one_id_are_scanned_apart(spark):
     assert sorted(r.n_hit for r in decontaminate.scan(docs, items).where("doc_id = 7").collect()) == [0, 2]
 
 
+@pytest.mark.parametrize("broadcast", [1000, 0])
+def test_rows_and_items_without_ids(spark, broadcast):
+    text = "one two three four five six seven eight nine ten eleven"
+    docs = spark.createDataFrame([(None, text), (None, "clean words"), (7, "other"), (7, "x " + text), (8, "secret item here")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(3, text), (None, "secret item")], "item_id bigint, text string")
+    got = sorted(((r.doc_id, r.n_hit, r["items"]) for r in decontaminate.scan(docs, items, broadcast_windows=broadcast).collect()), key=repr)
+    assert got == sorted([(None, 11, ["3"]), (None, 0, []), (7, 0, []), (7, 11, ["3"]), (8, 2, [])], key=repr)
+
+
 def test_empty_tables(spark):
     docs, items = tables(spark)
     assert decontaminate.scan(docs.limit(0), items).count() == 0

@@ -58,3 +58,31 @@ def test_spans_are_what_was_removed(spark):
 def test_empty_table(spark):
     assert substring_dedup.find(rows(spark, [])).count() == 0
     assert suffix_dedup.find(rows(spark, [])).count() == 0
+
+
+def test_rows_without_an_id_come_last(spark):
+    text = "".join(chr(97 + i * 7 % 26) for i in range(80)) + " tail of the text"
+    docs = [(9, text), (5, text), (None, text), (None, "x" + text), (2**53 + 1, text), (2**53, text)]
+    found = suffix_dedup.find(rows(spark, docs)).collect()
+    n = len(text)
+    assert sorted((r.doc_id or -1, r.n_removed) for r in found) == [(-1, n), (-1, n), (5, 0), (9, n), (2**53, n), (2**53 + 1, n)]
+    alone = suffix_dedup.find(rows(spark, [(None, text), (None, text)])).collect()
+    assert [(r.doc_id, r.n_removed) for r in alone] == [(None, 0), (None, 0)]
+
+
+def thue_morse(n, a="a", b="b"):
+    return "".join(b if i.bit_count() % 2 else a for i in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_long_words_that_a_polynomial_takes_for_equal(spark, n):
+    from popledger.llm import decontaminate, ngram_join
+
+    one, other = thue_morse(n), thue_morse(n, "b", "a")
+    common = " ".join(f"w{i}" for i in range(34))
+    docs = [(1, f"{common} {one}"), (2, f"{common} {other}")]
+    assert {r.doc_id: r.n_removed for r in substring_dedup.find(rows(spark, docs)).collect()} == {1: 0, 2: 0}
+    short = rows(spark, [(1, f"a b {one}"), (2, f"a b {other}"), (3, f"A B {one.upper()}")])
+    assert {r.doc_id: r.component_id for r in ngram_join.join(short).collect()} == {1: 1, 2: 2, 3: 1}
+    items = spark.createDataFrame([(5, one)], "item_id bigint, text string")
+    assert {r.doc_id: r.n_hit for r in decontaminate.scan(short, items).collect()} == {1: 1, 2: 0, 3: 1}

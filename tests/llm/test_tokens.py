@@ -120,3 +120,33 @@ def test_no_documents_no_files(spark, tmp_path):
     rows = spark.createDataFrame([], "doc_id bigint, text string")
     assert tokenfiles.write(rows, f"file://{tmp_path}/e", PATH).count() == 0
     assert glob.glob(f"{tmp_path}/e/*") == []
+
+
+def test_files_keep_rows_without_an_id_and_repeated_ids(spark, tmp_path, library):
+    docs = [(None, "no id"), (4, "four"), (None, None), (4, "four again"), (1, "one")]
+    rows = spark.createDataFrame([(d, t, 9, "x") for d, t in docs], "doc_id bigint, text string, start int, place string")
+    got = tokenfiles.read(tokenfiles.write(rows, f"file://{tmp_path}/n", PATH)).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [1, 4, 4, None, None]
+    assert sorted(tokenfiles.crc(bytes(r.ids)) for r in got) == sorted(x[3] for x in token_rows([(d or 0, t) for d, t in docs], library))
+    assert [r.start for r in got] == [0, *np.cumsum([r.n_tokens for r in got])[:-1].tolist()]
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_long_pieces_that_a_polynomial_takes_for_equal(spark, tmp_path, library, n):
+    one = "".join("ab"[i.bit_count() % 2] for i in range(n))
+    docs = [(1, one), (2, one.translate({97: 98, 98: 97}))]
+    rows = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = {r.doc_id: np.frombuffer(bytes(r.ids), "<u4").tolist() for r in bpe.encode(rows, PATH).collect()}
+    assert got == {d: library.encode(t, add_special_tokens=False).ids for d, t in docs}
+    files = tokenfiles.read(tokenfiles.write(rows, f"file://{tmp_path}/t", PATH))
+    assert [(r.doc_id, r.start, r.n_tokens, tokenfiles.crc(bytes(r.ids))) for r in files.orderBy("doc_id").collect()] == token_rows(docs, library)
+
+
+def test_many_special_strings(library):
+    special = {t.content: i for i, t in library.get_added_tokens_decoder().items()}
+    name = max(special, key=len)
+    from popledger.llm.bpe import encoder
+
+    text = f"x{name}{name} y" * 50_000
+    ids = encoder(PATH)([text])[0].tolist()
+    assert ids == library.encode(text, add_special_tokens=False).ids
