@@ -86,3 +86,29 @@ def stage_count_on_empty(spark, small):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, small)
     return docs.count()
+
+
+def test_every_row_is_judged_by_its_own_text(spark, small, tmp_path):
+    """Rows without an id, repeated ids and repeated rows: none is lost or doubled by stages that keep it."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    benchmark = spark.read.parquet(f"{small}/benchmark.parquet").where("length(text) > 100").first().text
+    plain = [f"row {i} " + " ".join(f"{chr(97 + i)}{j}word" for j in range(30)) for i in range(6)]
+    odd = [(None, plain[0]), (None, plain[1]), (None, benchmark), (7, plain[2]), (7, plain[3]), (7, plain[3]), (None, None), (9, plain[4]), (10, plain[4] + " end")]
+    rows = spark.createDataFrame([(i, t, "en", "web", len(t or "")) for i, t in odd], docs.schema)
+    run = lambda stage: sorted(((r.doc_id, r.text) for r in stage(spark, rows, small).collect()), key=repr)
+    every = sorted(odd, key=repr)
+    assert run(corpus_pipeline.benchmark_decontamination) == [x for x in every if x[1] != benchmark]
+    coded = run(corpus_pipeline.bpe_encoding)
+    assert coded == sorted(((i, t or "") for i, t in odd), key=repr)
+    near = run(corpus_pipeline.ngram_jaccard_join)
+    assert len(near) == len(odd) - 2 and (10, plain[4] + " end") not in near and near.count((7, plain[3])) == 1
+    kept = run(corpus_pipeline.suffix_array_dedup)
+    assert kept.count((7, plain[3])) == 1 and (9, plain[4]) in kept and (7, plain[2]) in kept
+    numbered = corpus_pipeline.with_rows(rows).collect()
+    assert len({r[corpus_pipeline.ROW] for r in numbered}) == len(odd) and {r[corpus_pipeline.ROW] for r in numbered if r.doc_id in (9, 10)} == {9, 10}
+
+
+def test_a_stage_without_documents(spark, small):
+    none = spark.read.parquet(f"{small}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES[1:]:
+        assert stage(spark, none, small).count() == 0
