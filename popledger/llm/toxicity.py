@@ -11,12 +11,14 @@ All texts of a batch are one stream of tokens; a text's first token ignores what
 side by side (block products first, then all blocks at once), so a text of any length is one pass.
 
 Defined results: a null or empty text, or one without words, has score 0 and no spans; a document's labels count once, with
-the larger one; labels that are null or of unknown documents are left out; without toxic and clean labelled documents all scores are 0.
+the larger one; labels that are null or of unknown documents are left out; without toxic and clean labelled documents, or without a word that
+tells them apart, all scores are 0, and the log says so. Words too rare for evidence of their own are taken together where no word has it.
 Columns other than key and text are never read. The sample is bounded by ``fit_rows`` documents, the chain's by ``chain_rows``.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,12 +30,16 @@ from popledger.llm.common import keyed, lean, prepare
 from popledger.llm.quality import is_held_out, sample_documents
 from popledger.llm.sequences import FOLDED_VALUES, WORD_BYTE, packed, parts, prefix, runs_of, stretch_hash, words
 
+LOG = logging.getLogger("popledger.toxicity")
 PART = 1 << 20
 BEGINNINGS = (3, 4, 5, 6)
 CLASS_BOUNDS = np.array([2.0, 3.0, 4.0, 5.0, 6.0])
 SURE = 4.0
 #: Log likelihood ratio (twice) from which a word's preference for toxic documents is no accident: about one in two million.
 EVIDENCE = 25.0
+#: Share of words that chance may explain, and the number of documents from which counts are taken together, where rare words are pooled.
+POOLED_ERROR = 0.01
+POOLED_MOST = 64
 CLASSES = len(CLASS_BOUNDS) + 1
 LENGTHS = np.array([3, 6, 10])
 FEATURES = 3 * CLASSES + len(LENGTHS) + 1
@@ -172,8 +178,8 @@ class Model:
     chain: Chain | None
 
 
-def counts_of(sample: DataFrame, wanted: np.ndarray | None, least: int) -> dict[int, int]:
-    """Number of documents with each word or beginning, of those in at least ``least`` (or of the ``wanted`` ones)."""
+def word_counts(sample: DataFrame, wanted: np.ndarray | None = None) -> DataFrame:
+    """Number of documents (n) with each word or beginning (key), or with each of the ``wanted`` ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,7 +193,37 @@ def counts_of(sample: DataFrame, wanted: np.ndarray | None, least: int) -> dict[
                 key, n = np.unique(pairs[:, 0], return_counts=True)
                 yield pa.record_batch([pa.array(key), pa.array(n)], names=["key", "n"])
 
-    found = sample.select("doc_id", "text").mapInArrow(lean(run), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toArrow()
+    return sample.select("doc_id", "text").mapInArrow(lean(run), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def counts_of(sample: DataFrame, wanted: np.ndarray | None, least: int) -> dict[int, int]:
+    """The counts of the words in at least ``least`` documents."""
+    found = word_counts(sample, wanted).where(F.col("n") >= least).toArrow()
+    return dict(zip(found.column("key").to_pylist(), found.column("n").to_pylist()))
+
+
+def fewest(evidence: float, base: float) -> int:
+    """Fewest toxic documents with which a word that no clean one has can reach the evidence: rarer words never can."""
+    return max(1, int(np.ceil(evidence / (-2 * np.log(base)))))
+
+
+def pooled_words(toxic: DataFrame, clean: DataFrame, base: float) -> dict[int, int]:
+    """Words of toxic documents only, where no single word has evidence of its own.
+
+    A word in n documents is in toxic ones only with probability base**n by chance. From the fewest documents on where words that
+    chance explains are at most POOLED_ERROR of those found, all of them count."""
+    both = word_counts(toxic).join(word_counts(clean).withColumnRenamed("n", "c"), "key", "full").select("key", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("c", F.lit(0)).alias("c"))
+    times = F.least(F.col("n") + F.col("c"), F.lit(POOLED_MOST)).alias("times")
+    seen = {r.times: (r.words, r.only) for r in both.groupBy(times).agg(F.count(F.lit(1)).alias("words"), F.count_if(F.col("c") == 0).alias("only")).collect()}
+    from_, chance, found_ = None, 0.0, 0
+    for n in range(POOLED_MOST, 0, -1):
+        words_, only = seen.get(n, (0, 0))
+        chance, found_ = chance + words_ * base**n, found_ + only
+        if only and chance <= POOLED_ERROR * found_:
+            from_ = n
+    if from_ is None:
+        return {}
+    found = both.where((F.col("c") == 0) & (F.col("n") >= from_)).toArrow()
     return dict(zip(found.column("key").to_pylist(), found.column("n").to_pylist()))
 
 
@@ -224,8 +260,8 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, chain_rows:
     sizes = {r.y: r.n for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes.get(1) or not sizes.get(0):
         return Model(Lexicon(), None)
-    least = max(3, sizes[1] // 200)
-    often = counts_of(toxic, None, least)
+    base = sizes[1] / (sizes[0] + sizes[1])
+    often = counts_of(toxic, None, fewest(EVIDENCE, base))
     keys = np.sort(np.array(list(often), dtype=np.int64).astype(np.uint64))
     rare = counts_of(clean, keys, 1)
     def numbers(counts: dict[int, int]) -> np.ndarray:
@@ -234,11 +270,23 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, chain_rows:
     n_toxic, n_clean = numbers(often), numbers(rare)
     kept = preferred(n_toxic, n_clean, sizes[1], sizes[0])[1]
     keys, n_toxic, n_clean = keys[kept], n_toxic[kept], n_clean[kept]
+    alone = len(keys) > 0
+    if not alone:
+        pooled = pooled_words(toxic, clean, base)
+        keys = np.sort(np.array(list(pooled), dtype=np.int64).astype(np.uint64))
+        n_toxic, n_clean = numbers(pooled), np.zeros(len(keys))
     odds = preferred(n_toxic, n_clean, sizes[1], sizes[0])[0]
-    capped = preferred(np.minimum(n_toxic, numbers(contexts_of(toxic, keys))), np.minimum(n_clean, numbers(contexts_of(clean, keys))), sizes[1], sizes[0])
-    # where no word stands in enough contexts, the plain counts decide
-    odds, kept = capped if capped[1].any() else (odds, np.ones(len(keys), dtype=bool))
+    kept = np.ones(len(keys), dtype=bool)
+    if alone:
+        capped = preferred(np.minimum(n_toxic, numbers(contexts_of(toxic, keys))), np.minimum(n_clean, numbers(contexts_of(clean, keys))), sizes[1], sizes[0])
+        # where no word stands in enough contexts, the plain counts decide
+        odds, kept = capped if capped[1].any() else (odds, kept)
     lexicon = Lexicon(keys[kept], odds[kept])
+    if not len(lexicon.keys):
+        LOG.warning("no word tells toxic documents from clean ones: all scores are 0")
+        return Model(lexicon, None)
+    # tokens of which the lexicon is sure, or all that it knows where it is sure of none
+    sure = SURE if lexicon.odds.max() >= SURE else CLASS_BOUNDS[0]
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
 
     def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,7 +295,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, chain_rows:
             for i, j, _, starts, ends, word_at, hashes in tokens(batch.column(1)):
                 odds = shared.value.of(hashes)
                 seen = observe(odds, ends - starts, word_at)
-                marked = (odds >= SURE) & (np.repeat(kinds[i:j], np.diff(word_at)) == 1)
+                marked = (odds >= sure) & (np.repeat(kinds[i:j], np.diff(word_at)) == 1)
                 cut = list(zip(word_at, word_at[1:]))
                 yield pa.record_batch(
                     [batch.column(0)[i:j], pa.array([seen[a:b].tobytes() for a, b in cut], pa.binary()), pa.array([marked[a:b].tobytes() for a, b in cut], pa.binary())],

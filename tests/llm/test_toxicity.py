@@ -53,3 +53,29 @@ def test_spans_and_odd_rows(spark):
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
     assert {r.score for r in toxicity.score(rows, toxicity.fit(rows, none)).collect()} == {0.0}
     assert toxicity.score(rows.limit(0), model).count() == 0
+
+
+def test_many_rare_toxic_words(spark):
+    """Half the documents are toxic, each by one of 200 words: no word alone is evidence."""
+    rng = np.random.default_rng(6)
+    plain = [f"plain{i}" for i in range(400)]
+    docs = []
+    for i in range(4000):
+        words = rng.choice(plain, 30).tolist()
+        if i % 2:
+            words.insert(int(rng.integers(30)), f"vile{(i // 2) % 200:03d}x")
+        docs.append((i, " ".join(words)))
+    # beginnings are shared by all toxic words here, so the words are told apart by their ends alone
+    docs = [(i, t.replace("vile", "") if i % 2 else t) for i, t in docs]
+    rows = spark.createDataFrame(docs, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(4000)], "doc_id bigint, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.score(rows, toxicity.fit(rows, labels)).collect()}
+    assert np.mean([got[i] >= 0.5 for i in range(1, 4000, 2)]) >= 0.9
+    assert np.mean([got[i] < 0.5 for i in range(0, 4000, 2)]) >= 0.99
+
+
+def test_nothing_tells_them_apart(spark, caplog):
+    rows = spark.createDataFrame([(i, "the same words") for i in range(60)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, toxic int")
+    model = toxicity.fit(rows, labels)
+    assert "no word" in caplog.text and {r.score for r in toxicity.score(rows, model).collect()} == {0.0}
