@@ -34,6 +34,26 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op1_ngram_jaccard_join"] = r"""
+with recursive w as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as words from documents
+), g as materialized (
+    select distinct doc_id, unnest(case when len(words) = 0 then [] when len(words) < 3 then [array_to_string(words, ' ')]
+        else list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i : i + 2], ' ')) end) as gram from w
+), n as materialized (select doc_id, count(*) as n from g group by 1
+), p as materialized (
+    select a.doc_id as a, b.doc_id as b, count(*) as common from g a join g b on a.gram = b.gram and a.doc_id < b.doc_id group by 1, 2
+), l as materialized (
+    select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * common >= 90 * (x.n + y.n - common)
+), e as materialized (select a, b from l union all select b, a from l
+), r as (
+    select distinct a as doc_id, a as other from e union select r.doc_id, e.b from r join e on e.a = r.other
+)
+select w.doc_id, coalesce(n.n, 0) as n_shingles, least(w.doc_id, coalesce(c.least, w.doc_id)) as component_id
+from w left join n using (doc_id) left join (select doc_id, min(other) as least from r group by 1) c using (doc_id)
+"""
+
+
 @query
 def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
@@ -64,6 +84,27 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+ORACLES["op3_benchmark_decontamination"] = r"""
+with d as materialized (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from documents
+), i as (
+    select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from benchmark
+), b as materialized (
+    select distinct item_id, size, array_to_string(words[pos : pos + size - 1], ' ') as gram
+    from (select *, unnest(range(1, len(words) - size + 2)) as pos from (select *, least(len(words), 10) as size from i) where size > 0)
+), h as materialized (
+    select doc_id, pos, x.size, array_to_string(words[pos : pos + x.size - 1], ' ') as gram
+    from (select *, unnest(range(1, len(words) - size + 2)) as pos from d, (select distinct size from b)) x
+), f as materialized (select h.doc_id, h.pos, h.size, b.item_id from h join b using (size, gram)
+), c as (select doc_id, count(distinct word) as n_hit from (select doc_id, unnest(range(pos, pos + size)) as word from f) group by 1
+), o as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct doc_id, cast(item_id as varchar) as item from f) group by 1
+)
+select doc_id, cast(len(words) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256,
+    coalesce(n_hit, 0) > 0 as contaminated
+from d left join c using (doc_id) left join o using (doc_id)
+"""
+
+
 @query
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -77,12 +118,48 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+ORACLES["op5_substring_dedup"] = r"""
+with d as materialized (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents
+), w as materialized (
+    select doc_id, pos, array_to_string(words[pos : pos + 34], ' ') as gram from (select *, unnest(range(1, len(words) - 33)) as pos from d)
+), f as materialized (select doc_id, pos from w where gram in (select gram from w group by 1 having count(*) > 1)
+), p as (select doc_id, unnest(words) as word, unnest(range(1, len(words) + 1)) as pos from d
+), c as materialized (
+    select p.doc_id, p.word, p.pos, max(f.pos) over (partition by p.doc_id order by p.pos) as last from p left join f on f.doc_id = p.doc_id and f.pos = p.pos
+)
+select d.doc_id, cast(len(words) as bigint) as n_words, cast(coalesce(removed, 0) as bigint) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from d left join (
+    select doc_id, count(*) filter (coalesce(pos - last < 35, false)) as removed, string_agg(word, ' ' order by pos) filter (not coalesce(pos - last < 35, false)) as kept from c group by 1
+) using (doc_id)
+"""
+
+
 @query
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.find(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+ORACLES["op8_suffix_array_dedup"] = r"""
+with d as materialized (select doc_id, hex(encode(coalesce(text, ''))) as bytes, octet_length(encode(coalesce(text, ''))) as n from documents
+), w as materialized (
+    select doc_id, pos, md5(substr(bytes, 2 * pos + 1, 100)) as gram from (select *, unnest(range(n - 49)) as pos from d)
+), f as materialized (
+    select w.doc_id, w.pos from w join (select gram, min(doc_id) as least from w group by 1 having count(distinct doc_id) > 1) using (gram) where least < w.doc_id
+), s as (
+    select doc_id, pos, pos + 50 as until, lag(pos + 50) over (partition by doc_id order by pos) as before from f
+), r as materialized (
+    select doc_id, min(pos) as a, max(until) as b from (select *, sum(case when before is null or before < pos then 1 else 0 end) over (partition by doc_id order by pos) as run from s) group by doc_id, run
+), k as (
+    select doc_id, b as a, lead(a) over (partition by doc_id order by a) as b, 1 as part from r union all select doc_id, 0, min(a), 0 from r group by 1
+), t as (
+    select d.doc_id, string_agg(substr(bytes, 2 * k.a + 1, 2 * (coalesce(k.b, n) - k.a)), '' order by k.a, k.part) as kept from d join k using (doc_id) group by 1
+)
+select d.doc_id, cast(n as bigint) as n_bytes, cast(coalesce(removed, 0) as bigint) as n_removed, coalesce(spans, 0) as n_spans, sha256(unhex(coalesce(t.kept, bytes))) as kept_sha256
+from d left join (select doc_id, sum(b - a) as removed, count(*) as spans from r group by 1) using (doc_id) left join t using (doc_id)
+"""
+
+
 @query
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
