@@ -4,13 +4,18 @@ Anchors are words that occur once in the text's stretch and once in the template
 kept, and the gaps between neighbouring anchors are aligned the same way. Where a gap has no anchor, equal words at its two ends
 are matched. The share of a template's words that are matched is its coverage.
 
+Where a text uses the template's words elsewhere too, or holds the license twice, few words are unique in the whole text and its alignment falls
+short. Then stretches about as long as the template are aligned on their own. Of a covered template at most a share of 1 - threshold is
+missing, so one more than that many of its words include one that every such place has: the rarest ones in the text are taken, and each
+of their occurrences proposes the stretch that it would stand in.
+
 Every pair of text and template is first bounded from above: no alignment can match more words than the two have in common, counted with
 repetition. Only pairs whose bound reaches the threshold are aligned, so texts without a license cost one lookup per word. Templates are few and fixed; they travel with
 the job.
 
 Defined results: a null or empty text has no license; words are lower-cased letters and digits, so layout and punctuation do
 not matter; of templates with equal coverage the longer one, then the first by name, is named first; a license that stands in a text twice counts once, at
-the alignment found; repeated rows are scanned each. Other columns are not read. An empty table gives no rows.
+the first of the best alignments found; repeated rows are scanned each. Other columns are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -141,6 +146,46 @@ def align(text: list[int], template: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def stretches(text: np.ndarray, template: Template, threshold: float) -> list[tuple[int, int]]:
+    """Stretches of a text that may hold the template, few and rising."""
+    words_ = np.array(template.words, dtype=np.uint64)
+    order = np.argsort(text, kind="stable")
+    ranked = text[order]
+    low, high = np.searchsorted(ranked, words_), np.searchsorted(ranked, words_, side="right")
+    rarest = np.argsort(high - low, kind="stable")[: int((1 - threshold) * len(words_)) + 1]
+    begins = [order[low[q] : high[q]] - q for q in rarest]
+    starts = np.unique(np.concatenate(begins)) if begins else np.zeros(0, np.int64)
+    slack = len(words_) // 4 + 4
+    out: list[tuple[int, int]] = []
+    last = None
+    for a in starts.tolist():
+        # beginnings close to each other propose the same place
+        if last is None or a - last > slack // 2:
+            out.append((max(0, a - slack), min(len(text), a + len(words_) + slack)))
+            last = a
+    return out
+
+
+def bound(text: np.ndarray, template: Template) -> int:
+    """Most words of the template that any alignment with the text can match."""
+    keys, many = np.unique(text, return_counts=True)
+    at = np.minimum(np.searchsorted(template.keys, keys), len(template.keys) - 1)
+    return int(np.minimum(many, template.counts[at])[template.keys[at] == keys].sum())
+
+
+def best_alignment(text: np.ndarray, template: Template, threshold: float) -> list[tuple[int, int]]:
+    """The alignment of the whole text, or of a stretch of it where that matches too little and the stretch more."""
+    need = threshold * len(template.words)
+    best = align(text.tolist(), template.words)
+    if len(best) < need:
+        for a, b in stretches(text, template, threshold):
+            if bound(text[a:b], template) >= max(need, len(best) + 1):
+                found = align(text[a:b].tolist(), template.words)
+                if len(found) > len(best):
+                    best = [(a + i, j) for i, j in found]
+    return best
+
+
 SCANS = "doc_id bigint, license string, coverage double, matched bigint, span_start bigint, span_end bigint, licenses array<string>"
 
 
@@ -168,7 +213,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
                     most = np.bincount(pairs // len(every), np.minimum(many, need[pairs % len(every)]), j - i)
                     for d in np.flatnonzero(most >= threshold * len(t.words)):
                         a, b = word_at[d], word_at[d + 1]
-                        matched = align(hashes[a:b].tolist(), t.words)
+                        matched = best_alignment(hashes[a:b], t, threshold)
                         share = len(matched) / len(t.words)
                         if share >= threshold:
                             span = int(starts[a + matched[0][0]] - at[d]), int(ends[a + matched[-1][0]] - at[d])

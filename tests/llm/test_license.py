@@ -86,3 +86,22 @@ def test_odd_texts(spark):
     assert got[4, "mit"].span_start == 300
     assert license_scan.scan(rows, {}).where("license is not null").count() == 0
     assert license_scan.scan(rows.limit(0)).count() == 0
+
+
+def test_a_license_twice_and_its_words_elsewhere(spark):
+    name, mit = "mit", TEMPLATES["mit"]
+    short = {"short": "Released under the MIT License.", "rights": "All rights reserved."}
+    rows = [
+        (1, "foo bar. Released under the MIT License. some code here. Released under the MIT License. more text"),
+        (2, "all the rights were reserved for all. " * 30 + "All rights reserved. " + "reserved rights of all " * 30),
+        (3, "released code under review, the license of the MIT is not meant; the under released license"),
+        (4, "x " * 5000 + mit + " y" * 5000 + " " + mit + " " + " ".join(reversed(mit.split())) * 3),
+        (5, "the license " * 4000),
+    ]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in license_scan.scan(df, short).collect()}
+    assert got[1].licenses == ["short"] and (got[1].span_start, got[1].span_end) == (9, 39)
+    assert got[2].licenses == ["rights"] and got[2].coverage == 1.0
+    assert [got[i].licenses for i in (3, 5)] == [[], []]
+    full = {r.doc_id: r for r in license_scan.scan(df).collect()}
+    assert name in full[4].licenses and full[4].coverage == 1.0
