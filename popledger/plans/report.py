@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
@@ -18,16 +19,18 @@ from popledger.sources.writers import materialise, staging_folder, write_observe
 
 class Report:
     """Lazy results by name. With ``staged`` the intermediates that many results share are
-    written once to the checkpoint folder (or to ``folder``); without it every result is one plan."""
+    written once to the checkpoint folder (or to ``folder``); without it every result is one plan. ``only`` names the
+    intermediates to write, where a single result needs few of them more than once."""
 
-    def __init__(self, model, staged: bool = False, folder: str | None = None):
+    def __init__(self, model, staged: bool = False, folder: str | None = None, only: Collection[str] | None = None):
         self.m = model
         self.s = model.settings
         self.folder = folder or (staging_folder(model.spark) if staged else None)
+        self.only = only
         self.schema = MartSchema.declared(self.s)
 
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
-        return materialise(df, name, self.folder)
+        return materialise(df, name, self.folder if self.only is None or name in self.only else None)
 
     # -- shared intermediates --------------------------------------------------------
 
@@ -48,7 +51,7 @@ class Report:
         return self.m.outpharmacy if self.s.has_rx else None
 
     def _lattice(self, claims: DataFrame, dims: list[str], name: str) -> ClaimLattice:
-        keep = self._keep if self.folder else None
+        keep = self._keep if self.folder and self.only is None else None
         return ClaimLattice(claims, self.m.windows, self.members, dims, self.s.claims_basis, name, keep)
 
     @cached_property

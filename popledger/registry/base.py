@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -48,10 +48,10 @@ def report(spark: SparkSession, path: str) -> Report:
 _STAGED: list[str] = []
 
 
-def staged_report(spark: SparkSession, path: str) -> Report:
-    """Report whose shared intermediates are written to a folder of its own in the shared folder."""
+def staged_report(spark: SparkSession, path: str, only: Collection[str] | None = None) -> Report:
+    """Report whose shared intermediates, or only those named, are written to a folder of its own in the shared folder."""
     _STAGED.append(f"{shared_folder(spark)}/report-{uuid.uuid4().hex[:12]}")
-    return Report(StarModel(apply_plan_settings(spark), path), folder=_STAGED[-1])
+    return Report(StarModel(apply_plan_settings(spark), path), folder=_STAGED[-1], only=only)
 
 
 def release(spark: SparkSession) -> None:
@@ -87,12 +87,13 @@ def shared_folder(spark: SparkSession) -> str:
     return staging_folder(spark)
 
 
-def query(name: str, sql: str | None = None, staged: bool = False):
+def query(name: str, sql: str | None = None, staged: bool | Collection[str] = False):
     """Register ``fn(report) -> DataFrame`` under a name; ``sql`` is its DuckDB counterpart. ``staged``: the report's shared
-    intermediates are stored first, anew for each run."""
+    intermediates, or those named, are stored first, anew for each run."""
+    only = None if isinstance(staged, bool) else staged
 
     def wrap(fn: Callable[[Report], DataFrame]):
-        QUERIES[name] = lambda spark, path: tidy(fn(staged_report(spark, path) if staged else report(spark, path)))
+        QUERIES[name] = lambda spark, path: tidy(fn(staged_report(spark, path, only) if staged else report(spark, path)))
         if sql:
             ORACLES[name] = with_ctes(sql)
         return fn

@@ -333,7 +333,7 @@ from popledger.oracle.base import CTE  # noqa: E402
 CTE["ipm"] = f"select * from {_IP_SRC}"
 
 
-@query("inpatient_metrics", _IP_SQL, staged=True)
+@query("inpatient_metrics", _IP_SQL, staged=["inpatient"])
 def _(r):
     return r.metrics_inpatient
 
@@ -558,7 +558,7 @@ CTE["snfm"] = "select time_period, elig_status_1, " + ", ".join(f"{e} as {m}" fo
 _SNF_SQL = long_sql("snfm", {m: (snf.LABELS[m], m) for m in _SNF_EXPR}, "SNF")
 
 
-@query("snf_metrics", _SNF_SQL, staged=True)
+@query("snf_metrics", _SNF_SQL)
 def _(r):
     return r.metrics_snf
 
