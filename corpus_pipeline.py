@@ -66,12 +66,16 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Strings of 50 bytes or more that a document with a smaller number has are cut out; characters cut in part go whole, and
     documents of which nothing is left go."""
     rows = with_rows(docs)
-    found = suffix_dedup.find(by_row(rows), characters=True).where("n_removed > 0")
-    changed = found.select(F.col("doc_id").alias("id"), F.col("kept").cast("string").alias("rest"), (F.col("n_removed") == F.col("n_bytes")).alias("gone"))
-    joined = rows.join(changed, rows[ROW] == changed["id"], "left").where(changed["gone"].isNull() | ~changed["gone"])
-    text = F.when(changed["id"].isNull(), rows["text"]).otherwise(changed["rest"])
-    new: dict[str, Column] = {"text": text, "n_chars": F.length(text).cast("bigint")}
-    return joined.select(*[new[c].alias(c) if c in new else rows[c] for c in docs.columns])
+    # the operator returns every text, so texts are joined once: the other side is without them
+    found = suffix_dedup.find(by_row(rows), characters=True).select(
+        F.col("doc_id").alias("id"), F.col("kept").cast("string").alias("rest"), (F.col("n_removed") > 0).alias("changed"),
+        ((F.col("n_removed") > 0) & (F.col("n_removed") == F.col("n_bytes"))).alias("gone"),
+    )
+    others = rows.withColumn("__none", F.col("text").isNull()).drop("text")
+    joined = others.join(found, others[ROW] == found["id"]).where(~found["gone"])
+    text = F.when(~others["__none"], found["rest"])
+    new: dict[str, Column] = {"text": text, "n_chars": F.when(found["changed"], F.length(found["rest"]).cast("bigint")).otherwise(others["n_chars"])}
+    return joined.select(*[new[c].alias(c) if c in new else others[c] for c in docs.columns])
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
