@@ -98,6 +98,19 @@ def test_mined_rules(spark):
     assert caught == sum(b for i, (_, b) in enumerate(urls()) if i % 4 == 1)
 
 
+def test_no_word_is_left_out_of_the_mining(spark):
+    # the words that tell are the ninth and tenth of their URLs, or stand behind 300 more telling ones
+    common = "/".join("abcdefgh")
+    labelled = [(f"http://{common}/" + ("x/" if i % 2 else "") + ("y/" if i % 3 else "") + "abcdefgh"[i % 8] * 2, i % 2 > 0 and i % 3 > 0 or i % 8 == 0) for i in range(480)]
+    labelled += [(f"http://site{i % 20}.org/p{i % 10}q/r{i % 25}s/long/{'/'.join(f'w{j}' for j in range(40))}", i % 20 == 7) for i in range(400)]
+    rules = {tuple(r.words): r.bound for r in url_rules.mine(spark.createDataFrame(labelled, "url string, blocked boolean")).collect()}
+    assert ("p:x", "p:y") in rules and ("h:site7",) in rules
+    several = [(u.replace("/long/" + "/".join(f"w{j}" for j in range(40)), ""), b) for u, b in labelled]
+    want = brute_rules(several, max_items=20)
+    assert {k: v for k, v in rules.items() if not any(w == "p:long" or w[:3] == "p:w" for w in k)} == pytest.approx(want)
+    assert url_rules.mine(spark.createDataFrame(labelled, "url string, blocked boolean")).groupBy("words").count().where("count > 1").isEmpty()
+
+
 def test_odd_urls_and_explicit_rules(spark):
     rows = [
         None, "", "example.net/en/1", "http://", "http://NET", "http://NET/", "http://a.Example.NET/EN/x", "http://a.example.net/en/x", "http://xnet/", "http://www.example.com/de/",
