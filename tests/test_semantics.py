@@ -120,3 +120,17 @@ def test_unknown_basis_is_refused(bad):
 
     with pytest.raises(ValueError):
         incurred_day(bad)
+
+
+def test_a_round_of_the_case_mix_moves_no_cells(spark):
+    from popledger.plans import case_mix
+
+    rows = [("w", f"P{p}", s, f"D{d}", p + d + 1) for p in range(4) for d in range(3) for s in ("Died", "Home")]
+    counts = spark.createDataFrame(rows, "time_period string, prv_id_inpatient string, discharge_status_desc string, drg string, discharges_sum bigint")
+    frames = {}
+    cells = case_mix.cell_rows(counts).localCheckpoint()
+    done, state = case_mix.fit_round(cells, case_mix.first_state(cells).localCheckpoint(), lambda df, name: frames.setdefault(name, df), "r")
+    assert done.count() == 8 and state.count() == 2 and state.select(F.size("v")).distinct().collect() == [(3,)]
+    for name in ("r", "r_intercepts", "r_levels"):
+        plan = frames[name]._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(prv_id_inpatient" not in plan and not any("prv_id_inpatient" in x for x in plan.split("\n") if "Exchange hash" in x), plan
