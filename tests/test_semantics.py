@@ -134,3 +134,14 @@ def test_a_round_of_the_case_mix_moves_no_cells(spark):
     for name in ("r", "r_intercepts", "r_levels"):
         plan = frames[name]._jdf.queryExecution().executedPlan().toString()
         assert "hashpartitioning(prv_id_inpatient" not in plan and not any("prv_id_inpatient" in x for x in plan.split("\n") if "Exchange hash" in x), plan
+
+
+def test_a_mart_table_is_written_when_it_is_asked_for(model, tmp_path):
+    from popledger.plans.report import Report
+
+    folder = f"file://{tmp_path}/mart"
+    stored = Report(model, folder=f"file://{tmp_path}/stages").store(folder)
+    assert stored.table("meta_project").count() == 5 and stored.table("time_windows").count() > 0
+    assert sorted(p.name for p in (tmp_path / "mart").iterdir()) == ["meta_project", "time_windows"] and not (tmp_path / "stages").exists()
+    before = {p.name for p in (tmp_path / "mart" / "time_windows").iterdir()}
+    assert stored.table("time_windows").count() and {p.name for p in (tmp_path / "mart" / "time_windows").iterdir()} == before
