@@ -145,3 +145,12 @@ def test_a_mart_table_is_written_when_it_is_asked_for(model, tmp_path):
     assert sorted(p.name for p in (tmp_path / "mart").iterdir()) == ["meta_project", "time_windows"] and not (tmp_path / "stages").exists()
     before = {p.name for p in (tmp_path / "mart" / "time_windows").iterdir()}
     assert stored.table("time_windows").count() and {p.name for p in (tmp_path / "mart" / "time_windows").iterdir()} == before
+
+
+def test_months_are_dealt_by_member_and_month_before_they_are_summed(model):
+    from popledger.plans import supplemental
+
+    plan = supplemental.memmos_elig(model.member_time, model.member)._jdf.queryExecution().executedPlan().toString()
+    dealt, summed = plan.index("Exchange hashpartitioning(member_id"), plan.index("HashAggregate(keys=[member_id")
+    line = next(x for x in plan.split("\n") if "Exchange hashpartitioning(member_id" in x and "elig_month" in x)
+    assert "REPARTITION" in line and plan.index(line) < plan.index("Generate explode") and summed < plan.index(line), (dealt, plan)
