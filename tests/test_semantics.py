@@ -154,3 +154,45 @@ def test_months_are_dealt_by_member_and_month_before_they_are_summed(model):
     dealt, summed = plan.index("Exchange hashpartitioning(member_id"), plan.index("HashAggregate(keys=[member_id")
     line = next(x for x in plan.split("\n") if "Exchange hashpartitioning(member_id" in x and "elig_month" in x)
     assert "REPARTITION" in line and plan.index(line) < plan.index("Generate explode") and summed < plan.index(line), (dealt, plan)
+
+
+def test_months_meet_their_status_within_the_member(spark):
+    """Months that are dealt by member are not dealt by month to meet the reported statuses; a missing status and a member without any stay."""
+    from popledger.plans.cost_model import member_elig, monthly_status
+
+    day = lambda m: date(2001, m, 15)
+    months = spark.createDataFrame(
+        [("a", day(m), 1.0, "own", "Y") for m in (1, 2, 3, 4)] + [("b", day(1), 1.0, "mine", "Y"), ("c", day(1), 1.0, "out", "Y")],
+        "member_id string, elig_month date, memmos double, elig_status_1 string, cover_medical string",
+    )
+    reported = spark.createDataFrame(
+        [("a", date(2001, 2, 1), "x"), ("a", date(2001, 3, 1), None), ("a", date(2001, 9, 1), "y"), ("z", date(2001, 1, 1), "x")],
+        "hicno string, date_elig_start date, elig_status string",
+    )
+    windows = spark.createDataFrame([("w1", date(2001, 1, 1), date(2001, 2, 28)), ("w2", date(2001, 2, 1), date(2001, 4, 30))], "time_period string, inc_start date, inc_end date")
+    members = spark.createDataFrame([("a", "w1"), ("a", "w2"), ("b", "w1")], "member_id string, time_period string")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        monthly = monthly_status(months, reported)
+        assert values(monthly, "member_id", "elig_month", "elig_status") == sorted(
+            [("a", day(4), "own"), ("a", day(3), "own"), ("a", day(2), "x"), ("a", day(1), "x"), ("b", day(1), "mine"), ("c", day(1), "out")], key=str)
+        placed = member_elig(monthly, windows, members, "C")
+        assert values(placed, "member_id", "time_period", "elig_status_1", "elig_months") == [
+            ("a", "w1", "x", 2.0), ("a", "w2", "own", 2.0), ("a", "w2", "x", 1.0), ("b", "w1", "mine", 1.0)]
+        plan = monthly_status(months.repartition("member_id"), reported)._jdf.queryExecution().executedPlan().toString()
+        assert not [x for x in plan.split("\n") if "Exchange hashpartitioning" in x and "elig_month" in x], plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_a_staged_report_merges_spans_once(spark, small, tmp_path):
+    """Member months and assignment spans derive from the stored eligibility: neither reads the orders again."""
+    from popledger.plans.report import Report
+    from popledger.sources.star import StarModel
+
+    plain, staged = Report(StarModel(spark, small)), Report(StarModel(spark, small), folder=str(tmp_path / "stages"), only=["eligibility"])
+    for name in ("member_time", "client_member_time"):
+        got, want = getattr(staged, name), getattr(plain, name)
+        assert not [f for f in got.inputFiles() if "orders.parquet" in f], name
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect())), name
