@@ -196,3 +196,27 @@ def test_a_staged_report_merges_spans_once(spark, small, tmp_path):
         got, want = getattr(staged, name), getattr(plain, name)
         assert not [f for f in got.inputFiles() if "orders.parquet" in f], name
         assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect())), name
+
+
+def test_stored_claims_are_summed_once(spark):
+    """A roll-up that is summed again takes the stored rows as they are, by group and by member; the sums are the same."""
+    from popledger.plans.cost_model import MEASURE_NAMES, member_spend
+    from popledger.plans.groups import GroupLattice
+    from popledger.plans.lattice import ClaimLattice
+
+    dims = ["member_id", "elig_status_1", "memmos", "prm_line"]
+    kinds = "member_id string, elig_status_1 string, memmos double, prm_line string, time_period string, " + ", ".join(f"{m} bigint" for m in [*MEASURE_NAMES, "claim_lines"])
+    rows = spark.createDataFrame(
+        [("a", "s", 2.0, "I11", "w", 1, 1, 1, 1, 1, 1), ("a", "s", 2.0, "P32", "w", 2, 2, 2, 2, 2, 2), ("b", None, 3.0, "P32", "w", 4, 4, None, 4, 4, 4)], kinds)
+    lattice = ClaimLattice.__new__(ClaimLattice)
+    lattice.dims, lattice.keep, lattice._stored = dims, lambda df, name: df, [(frozenset(dims), rows)]
+    sums = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [")
+
+    closure = spark.createDataFrame([("a", "g"), ("a", "h"), ("b", "g")], "member_id string, group string")
+    by_group = GroupLattice(lattice, closure).at(["elig_status_1"], ["prm_costs", "paid"])
+    assert values(by_group, "time_period", "elig_status_1", "prm_costs", "paid", "claim_lines") == sorted(
+        [("g\x1fw", "s", 3, 3, 3), ("h\x1fw", "s", 3, 3, 3), ("g\x1fw", None, None, 4, 4)], key=str)
+    assert sums(by_group) == 1
+    spend = member_spend(lattice, lattice)
+    assert values(spend, "member_id", "elig_status_1", "prm_costs", "paid", "claim_lines") == [("a", "s", 6, 6, 6), ("b", "Unknown", 0, 8, 8)]
+    assert sums(spend) == 1
