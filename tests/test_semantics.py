@@ -186,6 +186,30 @@ def test_months_meet_their_status_within_the_member(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
+def test_months_before_all_windows_are_cut(spark, small, tmp_path):
+    """Statuses are carried to earlier months only, so months before the first window are left out and the others come out as before."""
+    from popledger.plans.cost_model import monthly_status
+    from popledger.plans.report import Report
+    from popledger.sources.star import StarModel
+
+    day = lambda m: date(2001, m, 15)
+    months = spark.createDataFrame(
+        [("a", day(m), 1.0, "own", "Y") for m in (1, 2, 3, 4, 5)] + [("b", day(1), 1.0, "mine", "Y")],
+        "member_id string, elig_month date, memmos double, elig_status_1 string, cover_medical string",
+    )
+    reported = spark.createDataFrame([("a", date(2001, 1, 1), "v"), ("a", date(2001, 4, 1), "x")], "hicno string, date_elig_start date, elig_status string")
+    whole = monthly_status(months, reported)
+    assert values(monthly_status(months, reported, date(2001, 3, 1)), "member_id", "elig_month", "elig_status") == values(
+        whole.where("elig_month >= '2001-03-01'"), "member_id", "elig_month", "elig_status")
+    plain, staged = Report(StarModel(spark, small)), Report(StarModel(spark, small), folder=str(tmp_path / "stages"), only=["eligibility", "members"])
+    got, want = staged.member_elig, plain.member_elig
+    assert values(got, *want.columns) == values(want, *want.columns)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "elig_month" in plan and "date_end#" in plan and "1999-01-01" in plan.split("elig_months")[-1]
+    spans = [x for x in plan.split("\n") if "Filter" in x and "(date_end#" in x and ">= 1999-01-01" in x]
+    assert spans, plan
+
+
 def test_a_staged_report_merges_spans_once(spark, small, tmp_path):
     """Member months and assignment spans derive from the stored eligibility: neither reads the orders again."""
     from popledger.plans.report import Report

@@ -73,6 +73,26 @@ def test_checksum_tells_rows_apart(spark):
     assert len(set(sums)) == len(sums)
 
 
+def test_checksum_is_the_sum_of_whole_digests(spark, tmp_path):
+    """Digests are summed as whole numbers, in parts, by the checksum and by the writer, and the total is that of the digests themselves."""
+    import hashlib
+
+    from popledger.sources.schema import MartSchema
+
+    rows = [(f"m{i}", None if i % 3 else "x", i) for i in range(200)]
+    text = lambda row: "".join("N" if v is None else f"{len(str(v))}:{v}" for v in row)
+    want = sum(int(hashlib.md5(text(row).encode()).hexdigest()[:15], 16) for row in rows)
+    df = wr.checksum(spark.createDataFrame(rows, "a string, b string, c long"), "t")
+    assert (df.first()["rows"], df.first().checksum) == (200, str(want)) and want > 2**60
+    assert "decimal(20,0)" not in df._jdf.queryExecution().executedPlan().toString().lower()
+    assert wr.checksum(spark.createDataFrame([], "a string"), "t").first().checksum == "0"
+    schema = MartSchema.declared()
+    costs = spark.createDataFrame([("C", f"m{i}", "w", i / 4) for i in range(100)], schema.struct("member_costs"))
+    seen = wr.write_observed(costs, schema, "member_costs", str(tmp_path))
+    again = wr.checksum(spark.read.parquet(str(tmp_path / "member_costs")), "member_costs").first()
+    assert (seen["rows"], seen["checksum"]) == (again["rows"], again.checksum) and seen["checksum"] != "0"
+
+
 def test_absent_source_is_an_empty_typed_table(spark):
     s = MartSchema.declared()
     assert empty_table(spark, s, "member_costs").count() == 0
