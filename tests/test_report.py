@@ -32,6 +32,39 @@ def test_declared_keys_are_unique(stored):
         assert checks.duplicate_keys(stored.table(name), stored.schema.keys(name)).isEmpty(), name
 
 
+def test_dictionary_counts_values_by_field_number(spark, report):
+    """Cells travel as numbers, not as the names of their table and field, and the counts are those of the tables."""
+    from popledger.plans import mart
+
+    ddl = lambda t: ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in report.schema.struct(t).fields)
+    costs = [("C", "a", "w", 1.001), ("C", "b", None, 1.004), ("C", None, "w", None), (None, "a", "v", -2.0)]
+    tables = {"member_costs": spark.createDataFrame([dict(zip(("name_client", "member_id", "time_period", "total_cost"), r)) for r in costs], ddl("member_costs")),
+              "memmos": spark.createDataFrame([{"name_client": "C", "prm_coverage_type": "Rx"}], ddl("memmos"))}
+    found = mart.data_dictionary(tables, report.schema)
+    counts = {(r.name_table, r.name_field): (r.values_present, r.values_distinct) for r in found.collect()}
+    for t, df in tables.items():
+        for c in df.columns:
+            have = [round(v, 2) if isinstance(v, float) else v for v in (r[c] for r in df.collect()) if v is not None]
+            assert counts[t, c] == (len(have), len(set(have))), (t, c)
+    dealt = [x for x in found._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning" in x]
+    assert dealt and not any("name_table" in x or "name_field" in x for x in dealt), dealt
+
+
+def test_what_metrics_share_with_tables_is_stored_once(spark, model, tmp_path):
+    """Results that are tables of the mart and the source of metrics, or that a metric reads on both sides, come from their own files."""
+    from popledger.plans.report import Report
+
+    staged = Report(model, folder=str(tmp_path / "stages"))
+    for name, file in [("details_inpatient", "details_inpatient-"), ("details_snf_professional", "details_snf_professional-"), ("feed", "feed-"), ("assigned", "assigned-")]:
+        files = getattr(staged, name).inputFiles()
+        assert files and all(f"/{file}" in f for f in files), name
+    plain = Report(model)
+    for name in ("metrics_cclf_assign", "metrics_snf_professional", "metrics_discharge_status", "metrics_claims_percentages"):
+        got, want = getattr(staged, name), getattr(plain, name)
+        rows = lambda df: sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in df.select(*want.columns).fillna("-").collect())
+        assert rows(got) == rows(want) != [], name
+
+
 def test_enforce_raises_or_warns(spark):
     rows = spark.createDataFrame([(1,), (1,)], "k int")
     with pytest.raises(checks.CheckFailed):
