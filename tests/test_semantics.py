@@ -210,6 +210,23 @@ def test_months_before_all_windows_are_cut(spark, small, tmp_path):
     assert spans, plan
 
 
+def test_claims_of_the_dead_are_cut_before_lines_meet_orders(spark, small):
+    """Claims of a few members are the same rows, and their orders are picked below the join of lines and orders."""
+    from popledger.plans.report import Report
+    from popledger.sources.star import StarModel
+
+    model = StarModel(spark, small)
+    who = model.member.where("member_id like '%7'").select("member_id")
+    for name in ("outclaims", "outpharmacy"):
+        want = getattr(model, name).join(who, "member_id", "left_semi")
+        got = getattr(model.of_members(who), name).select(*want.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) != []
+    plan = Report(model).decedents._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+    at = next(i for i, x in enumerate(plan) if "Join Inner" in x and "l_orderkey" in x)
+    assert [x for x in plan[at + 1 :] if "LeftSemi" in x and "cast(o_custkey" in x and depth(x) > depth(plan[at])], plan
+
+
 def test_a_staged_report_merges_spans_once(spark, small, tmp_path):
     """Member months and assignment spans derive from the stored eligibility: neither reads the orders again."""
     from popledger.plans.report import Report
